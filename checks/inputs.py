@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.scalar import MONTHS
 from demandspark.keys import SeriesKeys, epoch_seconds, from_epoch_seconds
+from demandspark.operators.chunks import stage
 from demandspark.operators.contracts import SheetContract
 from demandspark.operators.fill import fill_both
 from demandspark.operators.spine import insert_missing
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tidy(value, places: int = 6):
+    """Rounded, with values that lie exactly between two results moved up."""
+    return F.round(value + F.lit(10.0 ** -(places + 3)), places) + F.lit(0.0)
+
+
 def floor_time(ts, seconds: int):
     s = epoch_seconds(ts)
     return from_epoch_seconds(s - F.pmod(s, F.lit(seconds)))
@@ -28,12 +34,15 @@ def floor_time(ts, seconds: int):
 def base(spark: SparkSession, sf: str) -> DataFrame:
     """Mean value per event type and quarter of an hour; slots without events are absent."""
     return table(spark, sf, "events").groupBy("event_type", floor_time(F.col("ts"), 900).alias("ts")).agg(
-        F.round(F.avg("value"), 6).alias("y"))
+        tidy(F.avg("value")).alias("y"))
 
 
 def regular(spark: SparkSession, sf: str) -> DataFrame:
-    """The same on its grid, null where there was no event."""
-    return insert_missing(base(spark, sf), EVENTS)
+    """The same on its grid, null where there was no event.
+
+    The means are read twice and are staged, so the events are read once.
+    """
+    return insert_missing(stage(base(spark, sf)), EVENTS)
 
 
 def filled(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,7 +53,7 @@ def daily_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Mean order price per status and day."""
     return table(spark, sf, "orders").groupBy(
         "o_orderstatus", F.to_date("o_orderdate").cast("timestamp_ntz").alias("ts")
-    ).agg(F.round(F.avg("o_totalprice"), 6).alias("y"))
+    ).agg(tidy(F.avg("o_totalprice")).alias("y"))
 
 
 def order_sheets(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,14 +94,16 @@ def order_sheets(spark: SparkSession, sf: str) -> DataFrame:
                         F.lit("-"), F.year("d").cast("string"))
     title = F.when((F.col("p") == "4") & (F.month("d") == 7), F.lit("Other Centre")).otherwise(F.lit(c.title))
     blank = F.lit("")
-    head = o.select("partition_key", "p", "d", "m").distinct().select("partition_key", F.inline(F.array(
-        F.struct(F.lit(0).cast("bigint").alias("row_idx"), F.array(title, blank, blank, blank, blank).alias("cells")),
-        F.struct(F.lit(1).cast("bigint"), F.array(blank, blank, blank, blank, blank)),
-        F.struct(F.lit(2).cast("bigint"), F.array(F.lit("Date"), day_text, blank, blank, blank)),
-        F.struct(F.lit(3).cast("bigint"), F.array(blank, blank, blank, F.lit(f" {c.forecast_heading} "),
-                                                  F.lit(c.actual_heading))),
-        F.struct(F.lit(4).cast("bigint"), F.array(blank, F.lit(f"{c.period_heading} "), blank, blank, blank)),
-    )))
+    rows = [
+        [title, blank, blank, blank, blank],
+        [blank, blank, blank, blank, blank],
+        [F.lit("Date"), day_text, blank, blank, blank],
+        [blank, blank, blank, F.lit(f" {c.forecast_heading} "), F.lit(c.actual_heading)],
+        [blank, F.lit(f"{c.period_heading} "), blank, blank, blank],
+    ]
+    head = o.select("partition_key", "p", "d", "m").distinct().select("partition_key", F.posexplode(
+        F.array(*[F.array(*r) for r in rows])).alias("row_idx", "cells"))
+    head = head.withColumn("row_idx", F.col("row_idx").cast("bigint"))
     return head.unionByName(data)
 
 

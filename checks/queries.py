@@ -15,14 +15,14 @@ from pyspark.sql import types as T
 
 from checks.inputs import (
     EVENTS, ORDERS, base, daily_orders, dashboard_pages, filled, floor_time, listing_pages, order_sheets,
-    regular, table,
+    regular, table, tidy,
 )
 from demandspark.functions import calendar as cal
 from demandspark.functions import scalar
 from demandspark.operators import contracts as con
 from demandspark.operators import decompose, dedup, drift, fill, lags, metrics, naive, outliers, profile
 from demandspark.operators import quantiles, rolling, select, spine, split, stats, trees
-from demandspark.operators.chunks import row_position, running_sum, with_chunk
+from demandspark.operators.chunks import row_position, running_sum, stage, with_chunk
 from demandspark.operators.impute import ImputeConfig, impute_series
 from demandspark.sources import grid, pages
 from demandspark.streaming import jobs
@@ -41,18 +41,20 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles rounded (and -0.0 as 0.0); other columns unchanged."""
-    return df.select(*[
-        (F.round(c, places) + F.lit(0.0)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    """Doubles rounded (and -0.0 as 0.0); other columns unchanged.
+
+    A mean of two-digit values often ends in exactly 5 after the last digit; it is
+    moved off that edge, so that the last bit of a sum does not decide.
+    """
+    return df.select(*[tidy(F.col(c), places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def parts(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return split.split_by_horizon(filled(s, d), K, HORIZON, TEST_DAYS)
+    return split.split_by_horizon(stage(filled(s, d)), K, HORIZON, TEST_DAYS)
 
 
-def predictions(s: SparkSession, d: str) -> DataFrame:
+def predictions(train: DataFrame) -> DataFrame:
     """Daily and weekly seasonal naive forecasts and their blend, in long form."""
-    train, _ = parts(s, d)
     day = naive.seasonal_naive(train, K, SEASON, N_TEST).withColumn("model", F.lit("naive_day"))
     week = naive.seasonal_naive(train, K, WEEK, N_TEST).withColumn("model", F.lit("naive_week"))
     both = day.unionByName(week)
@@ -379,13 +381,13 @@ def backtest_metrics(s, d):
 
 @query
 def fold_metric_means(s, d):
-    errors = metrics.forecast_errors(naive.backtest(filled(s, d), K), K, ["event_type", "fold"])
+    errors = metrics.forecast_errors(naive.backtest(stage(filled(s, d)), K), K, ["event_type", "fold"])
     return rounded(metrics.fold_metric_means(metrics.metric_rows(errors, ["event_type", "fold"])))
 
 
 @query
 def worst_folds(s, d):
-    errors = metrics.forecast_errors(naive.backtest(filled(s, d), K), K, ["event_type", "fold"])
+    errors = metrics.forecast_errors(naive.backtest(stage(filled(s, d)), K), K, ["event_type", "fold"])
     return rounded(metrics.worst_folds(errors.select("event_type", "fold", "mape"), 5, ["event_type", "fold"]))
 
 
@@ -398,19 +400,19 @@ def backtest_fenced(s, d):
 
 @query
 def blend(s, d):
-    return rounded(predictions(s, d))
+    return rounded(predictions(parts(s, d)[0]))
 
 
 @query
 def prediction_metrics(s, d):
-    _, test = parts(s, d)
-    errors = metrics.forecast_errors(metrics.align(predictions(s, d), test, K), K, ["event_type", "model"])
+    train, test = parts(s, d)
+    errors = metrics.forecast_errors(metrics.align(predictions(train), test, K), K, ["event_type", "model"])
     return rounded(metrics.metric_rows(errors, ["event_type", "model"]))
 
 
 def _score_inputs(s, d):
-    _, test = parts(s, d)
-    errors = metrics.forecast_errors(metrics.align(predictions(s, d), test, K), K, ["model"])
+    train, test = parts(s, d)
+    errors = metrics.forecast_errors(metrics.align(predictions(train), test, K), K, ["model"])
     return metrics.metric_rows(errors, ["model"]), test
 
 
@@ -442,7 +444,7 @@ def named_metrics(s, d):
 def selection_record(s, d):
     rows, test = _score_inputs(s, d)
     record = select.selection_record(select.model_scores(rows, test, "y"))
-    return record.select("best_model_name", "model_type", "selection_metric", F.round("score", 6).alias("score"),
+    return record.select("best_model_name", "model_type", "selection_metric", tidy(F.col("score")).alias("score"),
                          F.size("all_compared_models").alias("n_models"))
 
 
@@ -540,7 +542,7 @@ def drift_seasonal_residual(s, d):
     """The same on the difference to the day before, rows with a null dropped."""
     k = K.with_(target="seasonal_residual")
     p = [lags.seasonal_difference(x, K, SEASON, drop_incomplete=True) for x in parts(s, d)]
-    p = [rounded(x) for x in p]
+    p = [stage(rounded(x)) for x in p]
     return rounded(drift.ks_by_chunk(p[0], drift.number_chunks(p[1], k), k))
 
 
@@ -707,7 +709,7 @@ def listing_live(s, d):
 
 @query
 def month_folders(s, d):
-    found = pages.month_folders(listing_pages(s, d), "html", range(1990, 2010))
+    found = pages.month_folders(listing_pages(s, d).select("o_orderkey", "html"), "html", range(1990, 2010))
     counted = found.groupBy("month").agg(F.count(F.lit(1)).alias("n"))
     return pages.calendar_order(counted).withColumn("month_no", scalar.month_number(F.col("month")).cast("bigint"))
 

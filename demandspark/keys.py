@@ -59,7 +59,9 @@ class SeriesKeys:
 
     def slot(self) -> Column:
         """Grid position of a row: whole steps since 1970."""
-        return F.floor(epoch_seconds(F.col(self.time)) / F.lit(self.step)).cast("bigint")
+        t = f"`{self.time}`"
+        seconds = f"unix_date(to_date({t})) * 86400L + hour({t}) * 3600 + minute({t}) * 60 + second({t})"
+        return F.expr(f"floor(({seconds}) / {self.step})")
 
     def with_(self, **changes) -> "SeriesKeys":
         return replace(self, **changes)

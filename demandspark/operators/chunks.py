@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
+from demandspark.sources.tables import cut_lineage
 
 SALTS = 16
 
@@ -44,7 +45,7 @@ def series_join(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
 def with_chunk(df: DataFrame, keys: SeriesKeys, slot: Column | None = None) -> DataFrame:
     """Add ``_slot`` and ``_chunk``."""
     out = df.withColumn("_slot", keys.slot() if slot is None else slot)
-    return out.withColumn("_chunk", F.floor(F.col("_slot") / F.lit(keys.chunk)).cast("bigint"))
+    return out.withColumn("_chunk", F.expr(f"floor(_slot / {keys.chunk})"))
 
 
 def with_halo(df: DataFrame, keys: SeriesKeys, before: int, after: int = 0) -> DataFrame:
@@ -53,17 +54,10 @@ def with_halo(df: DataFrame, keys: SeriesKeys, before: int, after: int = 0) -> D
     A frame looks ``before`` slots back and ``after`` slots ahead, so a row at
     slot s serves the slots s-after .. s+before. Filter on ``_own`` at the end.
     """
-    size = F.lit(keys.chunk)
-    home = F.floor(F.col("_slot") / size).cast("bigint")
-    first = F.floor((F.col("_slot") - F.lit(after)) / size).cast("bigint")
-    last = F.floor((F.col("_slot") + F.lit(before)) / size).cast("bigint")
-    return (
-        df.withColumn("_slot", keys.slot())
-        .withColumn("_home", home)
-        .withColumn("_chunk", F.explode(F.sequence(first, last)))
-        .withColumn("_own", F.col("_home") == F.col("_chunk"))
-        .drop("_home")
-    )
+    size = keys.chunk
+    reach = f"sequence(floor((_slot - {after}) / {size}), floor((_slot + {before}) / {size}))"
+    copies = df.withColumn("_slot", keys.slot()).withColumn("_chunk", F.explode(F.expr(reach)))
+    return copies.withColumn("_own", F.expr(f"floor(_slot / {size}) = _chunk"))
 
 
 def chunk_window(keys: SeriesKeys, descending: bool = False):
@@ -81,29 +75,50 @@ def _join_chunks(df: DataFrame, edges: DataFrame, keys: SeriesKeys) -> DataFrame
     return df.join(edges, [*keys.ids, "_chunk"], "left")
 
 
-def carry(df: DataFrame, keys: SeriesKeys, cols: Sequence[str], forward: bool = True,
-          prefix: str = "_carried_") -> DataFrame:
-    """For each column add the nearest non-null value at or before (after) the row.
+def carry(df: DataFrame, keys: SeriesKeys, cols: Sequence[str], before: bool = True,
+          after: bool = False, first: bool = False) -> DataFrame:
+    """Add nearest non-null values of each column, along the series.
 
-    ``df`` must hold ``_slot`` and ``_chunk`` (:func:`with_chunk`).
+    ``before`` adds ``_before_<c>``, the last value at or before the row;
+    ``after`` adds ``_after_<c>``, the next at or after it; ``first`` adds
+    ``_first_<c>``, the first value of the series, but only where nothing is
+    before the row's chunk. ``df`` must hold ``_slot`` and ``_chunk``
+    (:func:`with_chunk`). One summary and one join serve all of them.
     """
-    pick = F.max_by if forward else F.min_by
-    edges = df.groupBy(*keys.ids, "_chunk").agg(
-        *[pick(F.col(c), F.when(F.col(c).isNotNull(), F.col("_slot"))).alias(f"_edge_{c}")
-          for c in cols]
-    )
-    over = _series_window(keys, descending=not forward).rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.select(
-        *keys.ids, "_chunk",
-        *[F.last(f"_edge_{c}", ignorenulls=True).over(over).alias(f"_edge_{c}") for c in cols],
-    )
-    inside = chunk_window(keys, descending=not forward).rowsBetween(Window.unboundedPreceding, 0)
-    joined = _join_chunks(df, edges, keys)
-    return joined.select(
-        *df.columns,
-        *[F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_edge_{c}"))
-          .alias(f"{prefix}{c}") for c in cols],
-    )
+    def at(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.col("_slot"))
+
+    ends = []
+    for c in cols:
+        if before:
+            ends.append(F.max_by(F.col(c), at(c)).alias(f"_hi_{c}"))
+        if after or first:
+            ends.append(F.min_by(F.col(c), at(c)).alias(f"_lo_{c}"))
+    edges = df.groupBy(*keys.ids, "_chunk").agg(*ends)
+    rows = Window.unboundedPreceding
+    ahead = _series_window(keys).rowsBetween(rows, -1)
+    back = _series_window(keys, descending=True).rowsBetween(rows, -1)
+    through = _series_window(keys, descending=True).rowsBetween(rows, 0)
+    picked = []
+    for c in cols:
+        if before:
+            picked.append(F.last(f"_hi_{c}", ignorenulls=True).over(ahead).alias(f"_eb_{c}"))
+        if after:
+            picked.append(F.last(f"_lo_{c}", ignorenulls=True).over(back).alias(f"_ea_{c}"))
+        if first:
+            picked.append(F.last(f"_lo_{c}", ignorenulls=True).over(through).alias(f"_first_{c}"))
+    joined = _join_chunks(df, edges.select(*keys.ids, "_chunk", *picked), keys)
+    down = chunk_window(keys).rowsBetween(rows, 0)
+    up = chunk_window(keys, descending=True).rowsBetween(rows, 0)
+    out = []
+    for c in cols:
+        if before:
+            out.append(F.coalesce(F.last(c, ignorenulls=True).over(down), F.col(f"_eb_{c}")).alias(f"_before_{c}"))
+        if after:
+            out.append(F.coalesce(F.last(c, ignorenulls=True).over(up), F.col(f"_ea_{c}")).alias(f"_after_{c}"))
+        if first:
+            out.append(F.col(f"_first_{c}"))
+    return joined.select(*df.columns, *out)
 
 
 def neighbour(df: DataFrame, keys: SeriesKeys, cols: Sequence[str], forward: bool = False,
@@ -147,6 +162,15 @@ def row_position(df: DataFrame, keys: SeriesKeys, out: str = "row_no") -> DataFr
     return counted.withColumn(out, F.col(out) - 1).drop("_one")
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Write an intermediate result to the checkpoint folder and go on from there.
+
+    Used where a composite reads a costly table several times. Runs a job. The
+    copy is reliable: losing executors does not bring the lineage back.
+    """
+    return cut_lineage(df)
+
+
 def drop_helpers(df: DataFrame) -> DataFrame:
     """Remove the underscore columns the helpers above add."""
     return df.drop(*[c for c in df.columns if c.startswith("_")])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
-from demandspark.operators.chunks import series_join
+from demandspark.operators.chunks import series_join, stage
 from demandspark.operators.quantiles import quantile_columns
 from demandspark.operators.rolling import rolling_trend
 from demandspark.operators.spine import future_frame
@@ -37,6 +37,7 @@ def seasonal_decompose(df: DataFrame, keys: SeriesKeys, periods: Sequence[int])
     out = rolling_trend(df.select(*keys.key, keys.target), keys, periods[-1], out="trend")
     out = out.withColumn("_left", F.col(keys.target) - F.col("trend"))
     for p in periods:
+        out = stage(out)  # read for the season table and for the rows
         table = _season_table(out, keys, p).withColumnRenamed("_season", f"seasonal_{p}")
         out = series_join(out.withColumn("_phase", _phase(keys, p)), table, [*keys.ids, "_phase"], "left",
                           spread=keys.key).drop("_phase")
@@ -48,6 +49,7 @@ def decomposition_forecast(parts: DataFrame, keys: SeriesKeys, periods: Sequence
                            level: float = 0.9) -> DataFrame:
     """Last trend value plus the seasons of each future slot, with a remainder band."""
     tail = (1 - level) / 2
+    parts = stage(parts)
     last = parts.groupBy(*keys.ids).agg(
         F.max_by("trend", F.when(F.col("trend").isNotNull(), F.col(keys.time))).alias("_trend"))
     band = quantile_columns(parts, keys.ids, "remainder", {"_lo": tail, "_hi": 1 - tail}, "linear")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys, epoch_seconds
-from demandspark.operators.chunks import series_join
+from demandspark.operators.chunks import series_join, stage
 from demandspark.operators.quantiles import cumulative_counts
 
 CHUNK_ROWS = 96
@@ -87,7 +87,11 @@ def alert_limits(reference_statistics: DataFrame, keys: SeriesKeys, sigmas: floa
 
 def drift_report(reference: DataFrame, analysis: DataFrame, keys: SeriesKeys,
                  rows: int = CHUNK_ROWS, bins: int = 20) -> DataFrame:
-    """Both statistics per analysis chunk with limits from the reference chunks."""
+    """Both statistics per analysis chunk with limits from the reference chunks.
+
+    Both parts are read many times and staged first.
+    """
+    reference, analysis = stage(reference), stage(analysis)
     ref_chunks, new_chunks = number_chunks(reference, keys, rows), number_chunks(analysis, keys, rows)
     reports = []
     for method, measure in (("kolmogorov_smirnov", ks_by_chunk),

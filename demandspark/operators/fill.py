@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
-from demandspark.operators.chunks import carry, drop_helpers, series_join, with_chunk
+from demandspark.operators.chunks import carry, drop_helpers, series_join, stage, with_chunk
 from demandspark.operators.rolling import rolling_trend
 from demandspark.operators.spine import insert_missing
 
@@ -20,30 +20,24 @@ def _filled(df: DataFrame, cols: Sequence[str], prefix: str) -> list:
 def forward_fill(df: DataFrame, keys: SeriesKeys, cols: Sequence[str] | None = None) -> DataFrame:
     """Replace nulls by the last value before them."""
     cols = list(cols or [keys.target])
-    return carry(with_chunk(df, keys), keys, cols, True).select(*_filled(df, cols, "_carried_"))
+    return carry(with_chunk(df, keys), keys, cols).select(*_filled(df, cols, "_before_"))
 
 
 def backward_fill(df: DataFrame, keys: SeriesKeys, cols: Sequence[str] | None = None) -> DataFrame:
     """Replace nulls by the next value after them."""
     cols = list(cols or [keys.target])
-    return carry(with_chunk(df, keys), keys, cols, False).select(*_filled(df, cols, "_carried_"))
+    return carry(with_chunk(df, keys), keys, cols, before=False, after=True).select(*_filled(df, cols, "_after_"))
 
 
 def fill_both(df: DataFrame, keys: SeriesKeys, cols: Sequence[str] | None = None) -> DataFrame:
     """Forward fill, then backward fill for what is left at the start.
 
     After a forward fill only rows before the first value are null, and they all
-    take that first value: one aggregate per series instead of a second pass.
+    take that first value, which the same chunk summary holds.
     """
     cols = list(cols or [keys.target])
-    first = df.groupBy(*keys.ids).agg(
-        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(keys.time))).alias(f"_first_{c}")
-          for c in cols]
-    )
-    ahead = forward_fill(df, keys, cols)
-    joined = series_join(ahead, first, keys.ids, "left", spread=keys.key)
-    return joined.select(*[
-        F.coalesce(F.col(c), F.col(f"_first_{c}")).alias(c) if c in cols else F.col(c)
+    return carry(with_chunk(df, keys), keys, cols, first=True).select(*[
+        F.coalesce(F.col(f"_before_{c}"), F.col(f"_first_{c}")).alias(c) if c in cols else F.col(c)
         for c in df.columns
     ])
 
@@ -54,9 +48,8 @@ def interpolate(df: DataFrame, keys: SeriesKeys, out: str | None = None) -> Data
     out = out or y
     rows = with_chunk(df, keys).withColumn(
         "_pt", F.when(F.col(y).isNotNull(), F.struct(F.col("_slot").alias("s"), F.col(y).alias("v"))))
-    rows = carry(rows, keys, ["_pt"], True, "_before")
-    rows = carry(rows, keys, ["_pt"], False, "_after")
-    a, b = F.col("_before_pt"), F.col("_after_pt")
+    rows = carry(rows, keys, ["_pt"], after=True)
+    a, b = F.col("_before__pt"), F.col("_after__pt")
     share = (F.col("_slot") - a["s"]) / (b["s"] - a["s"])
     line = F.when(F.col(y).isNotNull(), F.col(y)).when(
         a.isNotNull() & b.isNotNull(), a["v"] + (b["v"] - a["v"]) * share)
@@ -66,8 +59,11 @@ def interpolate(df: DataFrame, keys: SeriesKeys, out: str | None = None) -> Data
 
 
 def repair(df: DataFrame, keys: SeriesKeys, cols: Sequence[str] | None = None) -> DataFrame:
-    """Drop null targets, put the series on its grid, fill forward and backward."""
-    known = df.na.drop(subset=[keys.target])
+    """Drop null targets, put the series on its grid, fill forward and backward.
+
+    What is left is read several times and staged.
+    """
+    known = stage(df.na.drop(subset=[keys.target]))
     return fill_both(insert_missing(known, keys), keys, cols)
 
 
@@ -83,11 +79,12 @@ def seasonal_median_impute(df: DataFrame, keys: SeriesKeys, trend_window: int =
     value minus trend over all rows with the same weekday and time of day; such a
     group has one row per week of history, so an exact median is safe. Also adds
     ``is_imputed``. For exploration only: it looks ahead.
+    The trend is read twice and therefore staged.
     """
     y = keys.target
     grid = insert_missing(df, keys).withColumn("is_imputed", F.col(y).isNull())
     bridged = interpolate(grid, keys, out="_bridge")
-    trend = rolling_trend(bridged, keys, trend_window, out="_trend", value="_bridge")
+    trend = stage(rolling_trend(bridged, keys, trend_window, out="_trend", value="_bridge"))
     tod = F.hour(keys.time) * 3600 + F.minute(keys.time) * 60 + F.second(keys.time)
     phased = trend.withColumn("_dow", F.weekday(keys.time) + 1).withColumn("_tod", tod)
     swing = phased.groupBy(*keys.ids, "_dow", "_tod").agg(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.calendar import baseline_features, no_gaps
 from demandspark.keys import SeriesKeys
+from demandspark.operators.chunks import stage
 from demandspark.operators.outliers import null_outliers
 from demandspark.sources.tables import ensure_checkpoint_dir
 
@@ -78,9 +79,9 @@ def impute_series(df: DataFrame, keys: SeriesKeys, config: ImputeConfig = Impute
 
     Lags are taken after known bad values are nulled and before the fence.
     """
-    featured = baseline_features(df, keys, bad_times)
+    featured = stage(baseline_features(df, keys, bad_times))
     fenced = null_outliers(featured, keys, config.outlier_multiplier, config.quantile_mode)
-    return model_impute(fenced, keys, config)
+    return model_impute(stage(fenced), keys, config)
 
 
 def imputed_count(df: DataFrame, keys: SeriesKeys) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
-from demandspark.operators.chunks import chunk_window, series_join, with_halo
+from demandspark.operators.chunks import series_join, with_halo
 from demandspark.operators.quantiles import quantile_columns
 
 
@@ -72,14 +72,13 @@ def autocorrelation(df: DataFrame, keys: SeriesKeys, lags: int = 50) -> DataFram
     data = series_join(df.select(*keys.key, keys.target), mean, keys.ids, spread=keys.key)
     data = data.select(*keys.key, (F.col(keys.target) - F.col("_mean")).alias("_d"))
     rows = with_halo(data, keys, before=lags)
-    w = chunk_window(keys)
-    products = [(F.col("_d") * F.lag("_d", k).over(w) if k else F.col("_d") * F.col("_d")).alias(f"_p{k}")
-                for k in range(lags + 1)]
-    sums = rows.select(*keys.ids, "_own", *products).filter("_own").groupBy(*keys.ids).agg(
-        *[F.sum(f"_p{k}").alias(f"_p{k}") for k in range(lags + 1)])
-    pairs = F.array(*[F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"_p{k}"), F.col("_p0")).alias("acf"))
-                      for k in range(lags + 1)])
-    return sums.select(*keys.ids, F.inline(pairs))
+    over = f"over (partition by {', '.join(f'`{c}`' for c in keys.ids)}, _chunk order by _slot)"
+    products = rows.selectExpr(*keys.ids, "_own", "_d * _d as _p0",
+                               *[f"_d * lag(_d, {k}) {over} as _p{k}" for k in range(1, lags + 1)])
+    sums = products.filter("_own").groupBy(*keys.ids).agg(
+        *[F.expr(f"sum(_p{k}) as _p{k}") for k in range(lags + 1)])
+    pairs = ", ".join(f"struct({k} as lag, try_divide(_p{k}, _p0) as acf)" for k in range(lags + 1))
+    return sums.select(*keys.ids, F.expr(f"inline(array({pairs}))"))
 
 
 def partial_autocorrelation(acf: DataFrame, keys: SeriesKeys) -> DataFrame:

@@ -5,7 +5,7 @@ points come from a quantile sketch, so the parts are even for any distribution.
 Counts per part tell in which part a rank lies, and only there are values
 ordered. The sketch affects balance only: results are exact whatever it says.
 Equal values are counted together before the shuffle, so a value that fills a
-third of the table is one row.
+third of the table is one row, and the cut points are taken over the distinct values.
 """
 
 from __future__ import annotations
@@ -21,12 +21,15 @@ BUCKETS = 256  # a power of two
 ACCURACY = 10000
 
 
-def cut_points(df: DataFrame, ids: Sequence[str], value: str) -> DataFrame:
-    """Per key the ``BUCKETS - 1`` inner cut points and the number of values."""
+def cut_points(counts: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Per key the ``BUCKETS - 1`` inner cut points of its distinct values and its row count.
+
+    ``counts`` has one row per key and value (``_v``, ``_n``), so the parts hold
+    about equally many distinct values, which is what a task has to order.
+    """
     shares = [i / BUCKETS for i in range(1, BUCKETS)]
-    return df.groupBy(*ids).agg(
-        F.percentile_approx(value, shares, ACCURACY).alias("_cuts"), F.count(value).alias("_total")
-    )
+    return counts.groupBy(*ids).agg(
+        F.percentile_approx("_v", shares, ACCURACY).alias("_cuts"), F.sum("_n").alias("_total"))
 
 
 def bucket_of(value: Column, cuts: Column) -> Column:
@@ -63,9 +66,8 @@ def exact_quantiles(df: DataFrame, ids: Sequence[str], value: str, qs: Sequence[
         raise ValueError(f"unknown quantile mode {mode!r}")
     ids = list(ids)
     data = df.select(*ids, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    cuts = cut_points(data, ids, "_v")
     counts = data.groupBy(*ids, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    placed = series_join(counts, cuts, ids).select(
+    placed = series_join(counts, cut_points(counts, ids), ids).select(
         *ids, "_v", "_n", "_total", bucket_of(F.col("_v"), F.col("_cuts")).alias("_b"))
     parts = placed.groupBy(*ids, "_b").agg(F.sum("_n").alias("_c"), F.first("_total").alias("_total"))
     # at most BUCKETS rows per key
@@ -116,14 +118,14 @@ def cumulative_counts(reference: DataFrame, points: DataFrame, ids: Sequence[str
     ids = list(ids)
     ref = reference.select(*ids, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     pts = points.select(*ids, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    cuts = cut_points(ref, ids, "_v")
     counts = (
-        ref.select("*", F.lit(1).cast("bigint").alias("_r"), F.lit(False).alias("_p"))
-        .unionByName(pts.select("*", F.lit(0).cast("bigint").alias("_r"), F.lit(True).alias("_p")))
-        .groupBy(*ids, "_v").agg(F.sum("_r").alias("_r"), F.max("_p").alias("_p"))
+        ref.select("*", F.lit(1).cast("bigint").alias("_n"), F.lit(False).alias("_p"))
+        .unionByName(pts.select("*", F.lit(0).cast("bigint").alias("_n"), F.lit(True).alias("_p")))
+        .groupBy(*ids, "_v").agg(F.sum("_n").alias("_n"), F.max("_p").alias("_p"))
     )
+    cuts = cut_points(counts.filter("_n > 0"), ids)
     placed = series_join(counts, cuts, ids).select(
-        *ids, "_v", "_r", "_p", "_total", bucket_of(F.col("_v"), F.col("_cuts")).alias("_b"))
+        *ids, "_v", F.col("_n").alias("_r"), "_p", "_total", bucket_of(F.col("_v"), F.col("_cuts")).alias("_b"))
     parts = placed.groupBy(*ids, "_b").agg(F.sum("_r").alias("_c"))
     before = F.sum("_c").over(
         Window.partitionBy(*ids).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")

@@ -38,7 +38,7 @@ def _id_fields(df: DataFrame, keys: SeriesKeys) -> str:
 
 def _gram(columns: Sequence[str]) -> list:
     """Sums of all products, upper triangle row by row, as one array column."""
-    return [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(columns) for b in columns[i:]]
+    return [F.expr(f"sum({a} * {b})") for i, a in enumerate(columns) for b in columns[i:]]
 
 
 def _square(flat: np.ndarray, k: int) -> np.ndarray:
@@ -116,11 +116,11 @@ def phillips_perron(df: DataFrame, keys: SeriesKeys, lags: int = 96, alpha: floa
     res = series_join(pairs, fit.select(*keys.ids, "_mx", "_my", "_rho"), keys.ids, spread=keys.key)
     res = res.select(*keys.key, (v - F.col("_my") - F.col("_rho") * (x - F.col("_mx"))).alias("_u"))
     rows = with_halo(res, keys, before=lags)
-    w = chunk_window(keys)
-    u = F.col("_u")
-    terms = rows.select(*keys.ids, "_own", (u * u).alias("_g0"),
-                        sum(((u * F.coalesce(F.lag("_u", k).over(w), F.lit(0.0)))
-                             * F.lit(2 * (1 - k / (lags + 1))) for k in range(1, lags + 1)), F.lit(0.0)).alias("_gk"))
+    over = f"over (partition by {', '.join(f'`{c}`' for c in keys.ids)}, _chunk order by _slot)"
+    # Bartlett weights: twice the autocovariance at each lag, falling to zero
+    weighted = " + ".join(
+        f"{2 * (1 - k / (lags + 1))!r}D * coalesce(lag(_u, {k}) {over}, 0D)" for k in range(1, lags + 1))
+    terms = rows.selectExpr(*keys.ids, "_own", "_u * _u as _g0", f"_u * ({weighted}) as _gk")
     cov = terms.filter("_own").groupBy(*keys.ids).agg(F.sum("_g0").alias("_g0"), F.sum("_gk").alias("_gk"))
     n = F.col("_n")
     both = fit.join(cov, list(keys.ids))
@@ -147,6 +147,13 @@ def boxcox(value, lam):
     return F.when(F.abs(lam) < 1e-12, F.log(value)).otherwise((F.pow(value, lam) - 1) / lam)
 
 
+def _transform_variance(value, lam):
+    """Variance of the transform; the constant part is left out so as not to drown small powers."""
+    near_zero = F.abs(lam) < 1e-12
+    powered = F.var_pop(F.when(near_zero, F.log(value)).otherwise(F.pow(value, lam)))
+    return powered / F.max(F.when(near_zero, F.lit(1.0)).otherwise(lam * lam))
+
+
 def boxcox_likelihood(df: DataFrame, keys: SeriesKeys, lambdas: Sequence[float]) -> DataFrame:
     """Profile log likelihood ``(ids, lambda, log_likelihood)`` on a grid.
 
@@ -157,7 +164,7 @@ def boxcox_likelihood(df: DataFrame, keys: SeriesKeys, lambdas: Sequence[float])
     rows = df.filter(v > 0).select(*keys.ids, v.alias("_v"), F.explode(
         F.array(*[F.lit(float(x)) for x in lambdas])).alias("lambda"))
     got = rows.groupBy(*keys.ids, "lambda").agg(
-        F.var_pop(boxcox(F.col("_v"), F.col("lambda"))).alias("_var"),
+        _transform_variance(F.col("_v"), F.col("lambda")).alias("_var"),
         F.sum(F.log("_v")).alias("_logs"), F.count(F.lit(1)).alias("_n"))
     likelihood = (F.col("lambda") - 1) * F.col("_logs") - F.col("_n") / 2 * F.log("_var")
     return got.filter("_var > 0").select(*keys.ids, "lambda", likelihood.alias("log_likelihood"))
@@ -173,7 +180,7 @@ def boxcox_lambda(df: DataFrame, keys: SeriesKeys) -> DataFrame:
     near = near.select(*keys.ids, v.alias("_v"), F.explode(F.transform(
         F.sequence(F.lit(-10), F.lit(10)), lambda i: F.round(F.col("_l0") + i * F.lit(0.01), 10))).alias("lambda"))
     got = near.groupBy(*keys.ids, "lambda").agg(
-        F.var_pop(boxcox(F.col("_v"), F.col("lambda"))).alias("_var"),
+        _transform_variance(F.col("_v"), F.col("lambda")).alias("_var"),
         F.sum(F.log("_v")).alias("_logs"), F.count(F.lit(1)).alias("_n")).filter("_var > 0")
     likelihood = (F.col("lambda") - 1) * F.col("_logs") - F.col("_n") / 2 * F.log("_var")
     return got.groupBy(*keys.ids).agg(

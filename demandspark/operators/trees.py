@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.calendar import add_calendar, by_prefix, exogenous_names, no_gaps
 from demandspark.keys import SeriesKeys, shift_time
-from demandspark.operators.chunks import series_join
+from demandspark.operators.chunks import series_join, stage
 from demandspark.operators.dedup import keep_last
 from demandspark.operators.fill import fill_both
 from demandspark.operators.lags import shift_columns
@@ -74,14 +74,14 @@ def prepare_training(train: DataFrame, keys: SeriesKeys, order: Sequence[str] |
     rows = train.select(*keys.key, keys.target, *(order or []))
     unique = keep_last(rows, keys, order or [keys.target]).select(*keys.key, keys.target)
     grid = insert_missing(unique.na.drop(subset=[keys.target]), keys)
-    return add_calendar(fill_both(grid, keys), keys, candidate=True)
+    return add_calendar(stage(fill_both(grid, keys)), keys, candidate=True)
 
 
 def prepare_test(test: DataFrame, keys: SeriesKeys, order: Sequence[str] | None = None) -> DataFrame:
     """The same repair for the part that is predicted; null targets are filled too."""
     rows = test.select(*keys.key, keys.target, *(order or []))
     unique = keep_last(rows, keys, order or [keys.target]).select(*keys.key, keys.target)
-    return add_calendar(fill_both(insert_missing(unique, keys), keys), keys, candidate=True)
+    return add_calendar(stage(fill_both(insert_missing(unique, keys), keys)), keys, candidate=True)
 
 
 def exogenous(df: DataFrame) -> list[str]:

@@ -23,7 +23,7 @@ def explode_sheets(files: DataFrame, width: int | None = None) -> DataFrame:
     Row numbers are made inside one sheet and are therefore exact. One final
     newline is not a row.
     """
-    text = F.regexp_replace("value", r"\r?\n$", "")
+    text = F.regexp_replace("value", r"\r?\n\z", "")
     rows = files.select("partition_key", F.posexplode(F.split(text, r"\r?\n", -1)).alias("row_idx", "_line"))
     return rows.select("partition_key", F.col("row_idx").cast("bigint").alias("row_idx"), split_cells(F.col("_line"), width).alias("cells"))
 
