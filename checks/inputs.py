@@ -46,7 +46,8 @@ def regular(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def filled(spark: SparkSession, sf: str) -> DataFrame:
-    return fill_both(regular(spark, sf), EVENTS)
+    """The grid series without nulls, staged as a repaired series would be."""
+    return stage(fill_both(regular(spark, sf), EVENTS))
 
 
 def daily_orders(spark: SparkSession, sf: str) -> DataFrame:

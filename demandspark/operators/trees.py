@@ -272,6 +272,8 @@ def fit_variant(prepared: DataFrame, keys: SeriesKeys, variant: str, params: Tre
     training = _assemble(rows, keys, features, [label]).select(
         "features", F.col(label).cast("double").alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if training.isEmpty():
+            raise ValueError(f"no complete training row for variant {variant!r}")
         members: dict[str, object] = {}
         if variant == "ensemble":
             members["huber"] = LinearRegression(

@@ -30,6 +30,6 @@ def explode_sheets(files: DataFrame, width: int | None = None) -> DataFrame:
 
 def read_sheets(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
     """All sheet files under a directory (``<year>/<month>/<file>``) as one grid."""
-    files = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
              .select(F.regexp_extract(F.col("_metadata.file_path"), KEY_PATTERN, 1).alias("partition_key"), "value"))
     return explode_sheets(files, width)
