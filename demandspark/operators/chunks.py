@@ -24,24 +24,37 @@ from demandspark.keys import SeriesKeys
 from demandspark.sources.tables import cut_lineage
 
 SALTS = 16
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def series_join(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-                salts: int = SALTS, spread: Sequence[str] | None = None) -> DataFrame:
+def salted_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
+                spread: Sequence[str] | None = None, salts: int = SALTS) -> DataFrame:
     """Join rows to a table with one row per key when single keys may be huge.
 
     The table is repeated ``salts`` times and the rows of one key are spread over
     the copies by a hash of ``spread`` (default: all columns), so no key is bound
-    to one task. Adaptive execution still turns this into a broadcast when the
-    table turns out to be below the configured threshold.
+    to one task.
     """
     on = list(on)
-    cols = list(spread) if spread else df.columns
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    left = df.withColumn("_salt", F.pmod(F.xxhash64(*(spread or df.columns)), F.lit(salts)).cast("int"))
+    right = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def series_join(df: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner",
+                spread: Sequence[str] | None = None, row_bytes: int = 200) -> DataFrame:
+    """Join rows to a summary with a few rows per series (bounds, means, fences).
+
+    The summary is staged and counted, which costs the pass that makes it and no
+    more. Below ``BROADCAST_BYTES`` it is broadcast, so the rows are not shuffled
+    at all; with more series than that it is a :func:`salted_join`.
+    """
+    summary = stage(summary)
+    if summary.count() * row_bytes <= BROADCAST_BYTES:
+        return df.join(F.broadcast(summary), list(on), how)
+    return salted_join(df, summary, on, how, spread)
+
+
 def with_chunk(df: DataFrame, keys: SeriesKeys, slot: Column | None = None) -> DataFrame:
     """Add ``_slot`` and ``_chunk``."""
     out = df.withColumn("_slot", keys.slot() if slot is None else slot)
@@ -166,9 +179,14 @@ def stage(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the checkpoint folder and go on from there.
 
     Used where a composite reads a costly table several times. Runs a job. The
-    copy is reliable: losing executors does not bring the lineage back.
+    copy is reliable: losing executors does not bring the lineage back. A table that
+    was just staged is returned as it is.
     """
-    return cut_lineage(df)
+    if getattr(df, "_is_staged", False):
+        return df
+    out = cut_lineage(df)
+    out._is_staged = True
+    return out
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from demandspark.functions.scalar import (
     date_from_cell, date_from_key, has_key_date, lenient_double, period_timestamp,
 )
 from demandspark.keys import SeriesKeys
-from demandspark.operators.chunks import series_join
+from demandspark.operators.chunks import salted_join
 from demandspark.operators.dedup import keep_one
 
 
@@ -133,7 +133,7 @@ def counters(checks: DataFrame) -> DataFrame:
 def valid_grid(grid: DataFrame, checks: DataFrame) -> DataFrame:
     """Rows of the sheets that passed."""
     good = checks.filter("is_valid").select("partition_key")
-    return series_join(grid, good, ["partition_key"], "left_semi", spread=["row_idx"])
+    return salted_join(grid, good, ["partition_key"], "left_semi", spread=["row_idx"])
 
 
 def to_primary(grid: DataFrame, checks: DataFrame, contract: SheetContract = SheetContract()) -> DataFrame:
@@ -146,7 +146,7 @@ def to_primary(grid: DataFrame, checks: DataFrame, contract: SheetContract = She
     c = contract
     good = checks.filter(F.col("is_valid") & F.col("sheet_date").isNotNull()).select("partition_key", "sheet_date")
     data = grid.filter(F.col("row_idx") >= c.first_data_row)
-    return series_join(data, good, ["partition_key"], spread=["row_idx"]).select(
+    return salted_join(data, good, ["partition_key"], spread=["row_idx"]).select(
         F.col("sheet_date").alias("date"),
         cell(c.period_column).alias("period"),
         lenient_double(cell(c.actual_column)).alias(c.actual_name),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys, epoch_seconds
-from demandspark.operators.chunks import series_join, stage
+from demandspark.operators.chunks import salted_join, series_join, stage
 from demandspark.operators.quantiles import cumulative_counts
 
 CHUNK_ROWS = 96
@@ -38,7 +38,7 @@ def ks_by_chunk(reference: DataFrame, chunks: DataFrame, keys: SeriesKeys) -> Da
         F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
         F.sum("_c").over(whole).alias("_size"),
     )
-    both = series_join(own, ref, [*ids, y], spread=[*ids, "part"])
+    both = salted_join(own, ref, [*ids, y], spread=[*ids, "part"])
     at = F.abs(F.col("at_or_below") / F.col("n_reference") - F.col("_upto") / F.col("_size"))
     below = F.abs(F.col("below") / F.col("n_reference") - (F.col("_upto") - F.col("_c")) / F.col("_size"))
     return both.groupBy(*ids, "part").agg(F.max(F.greatest(at, below)).alias("statistic"))
@@ -52,8 +52,8 @@ def js_by_chunk(reference: DataFrame, chunks: DataFrame, keys: SeriesKeys, bins:
     chunk rows adds half its reference share, so only occupied bins are joined.
     """
     ids, y = list(keys.ids), keys.target
-    edges = reference.groupBy(*ids).agg(
-        F.min(y).alias("_lo"), F.max(y).alias("_hi"), F.count(y).alias("_nref"))
+    edges = stage(reference.groupBy(*ids).agg(
+        F.min(y).alias("_lo"), F.max(y).alias("_hi"), F.count(y).alias("_nref")))
 
     def histogram(df: DataFrame, by: list[str]) -> DataFrame:
         rows = series_join(df.filter(F.col(y).isNotNull()), edges, ids)

@@ -67,7 +67,7 @@ def exact_quantiles(df: DataFrame, ids: Sequence[str], value: str, qs: Sequence[
     ids = list(ids)
     data = df.select(*ids, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     counts = data.groupBy(*ids, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    placed = series_join(counts, cut_points(counts, ids), ids).select(
+    placed = series_join(counts, cut_points(counts, ids), ids, row_bytes=8 * BUCKETS + 200).select(
         *ids, "_v", "_n", "_total", bucket_of(F.col("_v"), F.col("_cuts")).alias("_b"))
     parts = placed.groupBy(*ids, "_b").agg(F.sum("_n").alias("_c"), F.first("_total").alias("_total"))
     # at most BUCKETS rows per key
@@ -124,7 +124,7 @@ def cumulative_counts(reference: DataFrame, points: DataFrame, ids: Sequence[str
         .groupBy(*ids, "_v").agg(F.sum("_n").alias("_n"), F.max("_p").alias("_p"))
     )
     cuts = cut_points(counts.filter("_n > 0"), ids)
-    placed = series_join(counts, cuts, ids).select(
+    placed = series_join(counts, cuts, ids, row_bytes=8 * BUCKETS + 200).select(
         *ids, "_v", F.col("_n").alias("_r"), "_p", "_total", bucket_of(F.col("_v"), F.col("_cuts")).alias("_b"))
     parts = placed.groupBy(*ids, "_b").agg(F.sum("_r").alias("_c"))
     before = F.sum("_c").over(

@@ -131,3 +131,14 @@ def test_undo_seasonal_difference(series):
     want = column(df.filter(~cut))
     for n in "ab":
         assert back[n] == pytest.approx(want[n])
+
+
+def test_many_series_take_the_salted_join(monkeypatch, spark, series):
+    """With no room for a broadcast the result is the same."""
+    from demandspark.operators import outliers, split
+
+    df, k = series({n: [1, 2, 3, 4, 90 + i] for i, n in enumerate("abcdef")})
+    wide = column(outliers.null_outliers(split.train_part(df, k, 0), k, 0.1))
+    monkeypatch.setattr(chunks, "BROADCAST_BYTES", -1)
+    joined = outliers.null_outliers(split.train_part(df, k, 0), k, 0.1)
+    assert column(joined) == wide and wide["a"][-1] is None
