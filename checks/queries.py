@@ -284,7 +284,7 @@ def iqr_fence(s, d):
     """Fences of the line prices by return flag and the number of rows outside."""
     rows = table(s, d, "lineitem").select("l_returnflag", "l_extendedprice", "l_orderkey", "l_linenumber")
     k = K.with_(ids=("l_returnflag",), time="l_orderkey", target="l_extendedprice")
-    limits = outliers.iqr_bounds(rows, k.ids, k.target, 0.5)
+    limits = stage(outliers.iqr_bounds(rows, k.ids, k.target, 0.5))  # read twice
     marked = outliers.null_outliers(rows, k, limits=limits, flag="outside")
     counts = marked.groupBy("l_returnflag").agg(
         F.count_if("outside").alias("n_outside"), F.count("l_extendedprice").alias("n_inside"))
