@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,3 +197,8 @@ def boxcox_transform(df: DataFrame, keys: SeriesKeys, out: str = "y_boxcox") ->
     v = F.col(keys.target)
     return joined.select(*df.columns, F.log1p(v).alias("y_log"),
                          F.when(v > 0, boxcox(v, F.col("_l"))).alias(out))
+
+
+# Functions sent to tasks carry this module's code along, so that executors need
+# no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

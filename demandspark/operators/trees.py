@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import random
 import re
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel, cloudpickle, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
@@ -344,3 +345,8 @@ def known_future(history: DataFrame, known: DataFrame, keys: SeriesKeys, horizon
     frame = future_frame(history, keys, horizon).select(*keys.key)
     joined = frame.join(known.select(*keys.key, *cols), keys.key, "left")
     return fill_both(joined, keys, cols).na.fill(0.0, list(cols))
+
+
+# Functions sent to tasks carry this module's code along, so that executors need
+# no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
