@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from demandspark.llm.bpe import op7_byte_bpe
+from demandspark.llm.exact import OP9_SQL, op9_exact_dedup
+from demandspark.llm.langid import op10_language_id
 from demandspark.llm.packing import op4_best_fit_packing
+from demandspark.llm.sharding import op6_sharding
+from demandspark.llm.toxicity import op1_toxicity
+from demandspark.llm.warc import op2_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_warc": op2_warc,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_sharding": op6_sharding,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_exact_dedup": op9_exact_dedup,
+    "op10_language_id": op10_language_id,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op9_exact_dedup": OP9_SQL}
