@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 # An odd multiplier and its inverse modulo 2**64: powers of the second undo powers of the first.
@@ -72,4 +74,12 @@ def shingles(text: bytes, width: int, tables: Powers) -> np.ndarray:
     out = np.full(n, min(width, len(words)), np.uint64)
     for i in range(min(width, len(words))):
         out = mix(out * np.uint64(_P) + words[i:i + n])
-    return np.unique(out)
+    out.sort()
+    fresh = np.ones(n, bool)
+    np.not_equal(out[1:], out[:-1], out=fresh[1:])
+    return out[fresh]
+
+
+def set_digest(hashes: np.ndarray) -> bytes:
+    """128 bits that tell sets of hashes apart."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from demandspark.llm.bpe import op7_byte_bpe
 from demandspark.llm.exact import OP9_SQL, op9_exact_dedup
 from demandspark.llm.imatch import op8_imatch_fingerprints
+from demandspark.llm.jaccard import op5_jaccard_join
 from demandspark.llm.langid import op10_language_id
 from demandspark.llm.packing import op4_best_fit_packing
 from demandspark.llm.sharding import op6_sharding
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_sharding": op6_sharding,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_imatch_fingerprints": op8_imatch_fingerprints,
