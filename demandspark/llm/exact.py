@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from demandspark.llm.common import stage, table
 
-FIRST_RUN = 32
-WIDEN = 8
+FIRST_RUN = 256
+WIDEN = 16
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -29,14 +29,14 @@ def _split(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
     """One round: group by the next ``width`` bytes, then say for each row what became of it.
 
     Groups are counted with partial sums per task. The join that brings the count
-    back has one row per group on one side, so adaptive execution can split a group
-    however large.
+    back has one row per group on one side; as a merge join, adaptive execution can
+    split a group however large.
     """
     run = F.substring(F.col("_rest"), 1, width)
     rows = rows.withColumn("_run", run)
     groups = rows.groupBy(*keys, "_run").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     groups = stage(groups.withColumn("_next", F.monotonically_increasing_id()))
-    out = rows.join(groups, [*keys, "_run"], "left").drop(*keys)
+    out = rows.join(groups.hint("merge"), [*keys, "_run"], "left").drop(*keys)
     alive = F.col("_n").isNotNull()
     ended = F.length("_run") < width
     return stage(out.select(
@@ -78,7 +78,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fir
     best = many.groupBy("_level", "_group").agg(
         F.max(F.struct("_chars", F.col("_id").isNotNull().alias("has"), (-F.col("_id")).alias("id"), (-F.col("_row")).alias("row")))
         .alias("_best"))
-    many = many.join(best, ["_level", "_group"]).select(
+    many = many.join(best.hint("merge"), ["_level", "_group"]).select(
         "_doc", (-F.col("_best.id")).alias("keep_id"), F.col("_n").alias("group_size"),
         (F.col("_row") == -F.col("_best.row")).alias("kept"), F.col("_sha").alias("text_sha256"))
     return alone.unionByName(many)
