@@ -13,12 +13,14 @@ from demandspark.llm.jaccard import op5_jaccard_join
 from demandspark.llm.langid import op10_language_id
 from demandspark.llm.packing import op4_best_fit_packing
 from demandspark.llm.sharding import op6_sharding
+from demandspark.llm.suffixes import op3_suffix_dedup
 from demandspark.llm.toxicity import op1_toxicity
 from demandspark.llm.warc import op2_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_sharding": op6_sharding,
