@@ -418,3 +418,34 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def cut_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` with their texts cut; rows that lose all of their text go.
+
+    A character that is covered in part stays. ``n_chars``, if there is such a
+    column, counts the code points left of texts that were cut; all else is kept, and
+    so are rows whose text was empty or null before.
+    """
+    short, cut = repeated_spans(docs, doc_id, text)
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for doc, mark, value, spans in rows:
+            data = utf8(value)
+            left = without(data, inside_characters(data, merged(spans))).decode()
+            yield doc, mark, left
+
+    lost = map_rows(cut, ["doc", "mark", "text", "spans"], "_doc bigint, _mark bigint, _left string", run, 256)
+    gone = short.where(whole(F.col("copy"), F.col("n_bytes"))).select(
+        F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.lit("").alias("_left"))
+    changed = lost.unionByName(gone).dropDuplicates(["_doc", "_mark"])
+    value = F.col(f"`{text}`")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                        F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(LAST_ID)).alias("_doc"),
+                        F.xxhash64(F.coalesce(value, F.lit(""))).alias("_mark"))
+    rows = keyed.join(changed.hint("merge"), ["_doc", "_mark"], "left").where("_left is null or _left <> ''")
+    new = {text: F.coalesce("_left", F.col(f"_row.`{text}`"))}
+    if n_chars in docs.columns:
+        kind = docs.schema[n_chars].dataType
+        new[n_chars] = F.when(F.col("_left").isNull(), F.col(f"_row.`{n_chars}`")).otherwise(F.length("_left")).cast(kind)
+    return rows.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

@@ -124,9 +124,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_R
     return train(grams, np.array([r["toxic"] for r in rows]), found.get(1, 0) / max(1, sum(found.values())))
 
 
-def score_column(docs: DataFrame, model: NaiveBayesLinear, text: str = "text") -> DataFrame:
-    """Add ``score`` (0 to 1) of every whole text; null and empty texts get that of no n-gram but the blanks."""
-    docs = docs.drop("score")
+def score_column(docs: DataFrame, model: NaiveBayesLinear, text: str = "text", out: str = "score") -> DataFrame:
+    """Add ``out`` (0 to 1) of every whole text; null and empty texts get that of no n-gram but the blanks."""
+    docs = docs.drop(out)
     names = docs.columns
     at = names.index(text)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
@@ -137,7 +137,7 @@ def score_column(docs: DataFrame, model: NaiveBayesLinear, text: str = "text") -
         for row in rows:
             yield (*row, found.score(grams(row[at])))
 
-    return map_rows(docs, [F.col(f"`{c}`") for c in names], f"{kinds}, score double", run, 512)
+    return map_rows(docs, [F.col(f"`{c}`") for c in names], f"{kinds}, `{out}` double", run, 512)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
