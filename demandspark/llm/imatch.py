@@ -12,6 +12,8 @@ most D / ``low`` terms reach the share ``low``, however many texts there are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,13 +67,15 @@ def as_text(parts: str) -> Column:
     return F.array_join(F.transform(parts, lambda x: F.coalesce(F.lower(F.hex(x)), F.lit("0"))), "-")
 
 
-def with_next(df: DataFrame, doc_id: str, carried: list[str]) -> DataFrame:
+def with_next(df: DataFrame, doc_id: str, text: str, more: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Add ``next_<column>``: values of the row that follows in descending doc_id, the first after the last.
 
+    The columns are ``text`` and those that ``more`` adds to a table with it.
+
     Rows are dealt into ranges of doc_id cut at quantiles, so that no window holds
     more than a range; the first row of the next range is joined in for the last of
     each. A null doc_id comes last. Rows that repeat a doc_id follow each other in
-    order of the carried columns.
+    descending order of their texts.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -81,7 +85,7 @@ def with_next(df: DataFrame, doc_id: str, carried: list[str]) -> DataFrame:
     part = F.coalesce(F.size(F.filter(listed, lambda c: c > id_)), F.lit(n)).cast("int")
     part = F.when(id_.isNull(), F.lit(n + 1)).otherwise(part)
     df = df.withColumn("_part", part)
-    order = [id_.desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in carried]]
+    order = [id_.desc_nulls_last(), F.col(text).desc_nulls_last()]
     # At most one row per range: which id each range starts with.
     tops = sorted((r["_part"], r["top"]) for r in df.groupBy("_part").agg(F.max(doc_id).alias("top")).collect())
     follow = {p: tops[(i + 1) % len(tops)] for i, (p, _) in enumerate(tops)}
@@ -89,8 +93,11 @@ def with_next(df: DataFrame, doc_id: str, carried: list[str]) -> DataFrame:
     links = spark.createDataFrame([(p, q, top) for p, (q, top) in follow.items()], f"_part int, _at int, _top {kind}")
     firsts = df.join(F.broadcast(links.select(F.col("_at").alias("_part"), F.col("_top"), F.col("_part").alias("_to"))), "_part")
     firsts = firsts.where(id_.eqNullSafe(F.col("_top")))
-    best = F.max(F.struct(*[F.col(c) for c in carried])).alias("_first")
-    firsts = firsts.groupBy("_to").agg(best).select(F.col("_to").alias("_part"), "_first")
+    firsts = firsts.groupBy("_to").agg(F.max(text).alias(text))
+    known = set(df.columns)
+    df, firsts = more(df), more(firsts)
+    carried = [text, *[c for c in df.columns if c not in known]]
+    firsts = firsts.select(F.col("_to").alias("_part"), F.struct(*[F.col(c) for c in carried]).alias("_first"))
     w = Window.partitionBy("_part").orderBy(*order)
     df = df.withColumn("_lead", F.lead(F.struct(*[F.col(c) for c in carried])).over(w)).join(firsts, "_part", "left")
     df = df.withColumn("_lead", F.coalesce("_lead", "_first"))
@@ -98,16 +105,11 @@ def with_next(df: DataFrame, doc_id: str, carried: list[str]) -> DataFrame:
                      *[F.col(f"_lead.{c}").alias(f"next_{c}") for c in carried])
 
 
-def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> tuple[DataFrame, list[str]]:
-    """doc_id, text (null is empty) and ``parts`` of every row, and the lexicon of the same rows."""
-    words = lexicon(docs, "text", low, high)
-    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return with_fingerprint(plain, "text", "parts", words), words
-
-
 def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, words = fingerprints(table(spark, sf_dir, "documents"))
-    rows = with_next(found, "doc_id", ["text", "parts"]).withColumn("n_chars", F.length("text").cast("bigint"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    words = lexicon(docs)
+    rows = with_next(docs, "doc_id", "text", lambda df: with_fingerprint(df, "text", "parts", words))
+    rows = rows.withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.left("text", F.col("n_chars").cast("int") - half), F.left("next_text", half)))
     rows = rows.select("doc_id", "n_chars", "edited", "parts", "next_parts")

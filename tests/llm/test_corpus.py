@@ -363,11 +363,11 @@ def test_next_row_wraps(docs, with_repeats, nothing):
     rows = texts(docs)
     ids = sorted(rows, reverse=True)
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    for r in imatch.with_next(plain, "doc_id", ["text"]).collect():
+    for r in imatch.with_next(plain, "doc_id", "text").collect():
         assert r["next_text"] == rows[ids[(ids.index(r["doc_id"]) + 1) % len(ids)]]
     repeated = with_repeats.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    assert imatch.with_next(repeated, "doc_id", ["text"]).count() == with_repeats.count()
-    assert imatch.with_next(nothing.select("doc_id", "text"), "doc_id", ["text"]).count() == 0
+    assert imatch.with_next(repeated, "doc_id", "text").count() == with_repeats.count()
+    assert imatch.with_next(nothing.select("doc_id", "text"), "doc_id", "text").count() == 0
 
 
 # --- classifiers ---
