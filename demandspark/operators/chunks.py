@@ -16,6 +16,8 @@ The one window over a whole series id runs on that one-row-per-chunk summary.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +26,14 @@ from demandspark.keys import SeriesKeys
 from demandspark.sources.tables import cut_lineage
 
 SALTS = 16
-BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def null_safe_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where null equals null; the columns ``on`` are those of ``df``."""
+    on = list(on)
+    right = other.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in other.columns])
+    same = reduce(and_, [df[c].eqNullSafe(right[f"_r_{c}"]) for c in on])
+    return df.join(right, same, how).drop(*[f"_r_{c}" for c in on])
 
 
 def salted_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
@@ -35,24 +44,19 @@ def salted_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "
     the copies by a hash of ``spread`` (default: all columns), so no key is bound
     to one task.
     """
-    on = list(on)
     left = df.withColumn("_salt", F.pmod(F.xxhash64(*(spread or df.columns)), F.lit(salts)).cast("int"))
     right = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return null_safe_join(left, right, [*on, "_salt"], how).drop("_salt")
 
 
-def series_join(df: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner",
-                spread: Sequence[str] | None = None, row_bytes: int = 200) -> DataFrame:
+def series_join(df: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join rows to a summary with a few rows per series (bounds, means, fences).
 
-    The summary is staged and counted, which costs the pass that makes it and no
-    more. Below ``BROADCAST_BYTES`` it is broadcast, so the rows are not shuffled
-    at all; with more series than that it is a :func:`salted_join`.
+    Adaptive execution sees the size of the summary once it is made: it broadcasts a
+    small one and splits the rows of a series over several tasks otherwise. Nothing
+    runs while the plan is built.
     """
-    summary = stage(summary)
-    if summary.count() * row_bytes <= BROADCAST_BYTES:
-        return df.join(F.broadcast(summary), list(on), how)
-    return salted_join(df, summary, on, how, spread)
+    return null_safe_join(df, summary, on, how)
 
 
 def with_chunk(df: DataFrame, keys: SeriesKeys, slot: Column | None = None) -> DataFrame:
@@ -74,9 +78,16 @@ def with_halo(df: DataFrame, keys: SeriesKeys, before: int, after: int = 0) -> D
 
 
 def chunk_window(keys: SeriesKeys, descending: bool = False):
-    """The window specification shared by all chunk-wise operators."""
-    order = F.col("_slot").desc() if descending else F.col("_slot").asc()
-    return Window.partitionBy(*keys.ids, "_chunk").orderBy(order)
+    """The window specification shared by all chunk-wise operators.
+
+    Rows of one slot are in order of time.
+    """
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in ("_slot", keys.time)]
+    return Window.partitionBy(*keys.ids, "_chunk").orderBy(*order)
+
+
+def _place(keys: SeriesKeys) -> Column:
+    return F.struct("_slot", keys.time)
 
 
 def _series_window(keys: SeriesKeys, descending: bool = False):
@@ -85,7 +96,7 @@ def _series_window(keys: SeriesKeys, descending: bool = False):
 
 
 def _join_chunks(df: DataFrame, edges: DataFrame, keys: SeriesKeys) -> DataFrame:
-    return df.join(edges, [*keys.ids, "_chunk"], "left")
+    return null_safe_join(df, edges, [*keys.ids, "_chunk"], "left")
 
 
 def carry(df: DataFrame, keys: SeriesKeys, cols: Sequence[str], before: bool = True,
@@ -99,7 +110,7 @@ def carry(df: DataFrame, keys: SeriesKeys, cols: Sequence[str], before: bool = T
     (:func:`with_chunk`). One summary and one join serve all of them.
     """
     def at(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.col("_slot"))
+        return F.when(F.col(c).isNotNull(), _place(keys))
 
     ends = []
     for c in cols:
@@ -138,12 +149,12 @@ def neighbour(df: DataFrame, keys: SeriesKeys, cols: Sequence[str], forward: boo
               prefix: str = "_prev_") -> DataFrame:
     """For each column add its value in the previous (``forward``: next) row.
 
-    Rows may be irregular. ``df`` must hold ``_slot`` and ``_chunk``; slots are
-    unique within a series.
+    Rows may be irregular, also several to a slot. ``df`` must hold ``_slot`` and
+    ``_chunk``.
     """
     pick = F.min_by if forward else F.max_by
     edges = df.groupBy(*keys.ids, "_chunk").agg(
-        *[pick(F.col(c), F.col("_slot")).alias(f"_edge_{c}") for c in cols]
+        *[pick(F.col(c), _place(keys)).alias(f"_edge_{c}") for c in cols]
     )
     over = _series_window(keys, descending=forward)
     edges = edges.select(
@@ -179,8 +190,8 @@ def stage(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the checkpoint folder and go on from there.
 
     Used where a composite reads a costly table several times. Runs a job. The
-    copy is reliable: losing executors does not bring the lineage back. A table that
-    was just staged is returned as it is.
+    copy is a table in the shared folder: losing executors does not bring the lineage
+    back. A table that was just staged is returned as it is.
     """
     if getattr(df, "_is_staged", False):
         return df

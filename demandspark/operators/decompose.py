@@ -39,8 +39,7 @@ def seasonal_decompose(df: DataFrame, keys: SeriesKeys, periods: Sequence[int])
     for p in periods:
         out = stage(out)  # read for the season table and for the rows
         table = _season_table(out, keys, p).withColumnRenamed("_season", f"seasonal_{p}")
-        out = series_join(out.withColumn("_phase", _phase(keys, p)), table, [*keys.ids, "_phase"], "left",
-                          spread=keys.key).drop("_phase")
+        out = series_join(out.withColumn("_phase", _phase(keys, p)), table, [*keys.ids, "_phase"], "left").drop("_phase")
         out = out.withColumn("_left", F.col("_left") - F.col(f"seasonal_{p}"))
     return out.withColumnRenamed("_left", "remainder")
 

@@ -6,16 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys, epoch_seconds
-from demandspark.operators.chunks import salted_join, series_join, stage
+from demandspark.operators.chunks import row_position, salted_join, series_join, stage, with_chunk
 from demandspark.operators.quantiles import cumulative_counts
 
 CHUNK_ROWS = 96
 
 
-def number_chunks(df: DataFrame, keys: SeriesKeys, rows: int = CHUNK_ROWS) -> DataFrame:
-    """``(ids, part, value)``: consecutive pieces of ``rows`` slots from each series' start."""
+def number_chunks(df: DataFrame, keys: SeriesKeys, rows: int = CHUNK_ROWS, slots: bool = False) -> DataFrame:
+    """``(ids, part, value)``: consecutive pieces of ``rows`` rows from each series' start.
+
+    With ``slots`` a piece is that many grid slots instead, whether or not they have rows.
+    """
+    if not slots:
+        numbered = row_position(with_chunk(df.select(*keys.key, keys.target), keys), keys)
+        return numbered.select(*keys.ids, F.floor(F.col("row_no") / rows).cast("bigint").alias("part"), keys.target)
     start = df.groupBy(*keys.ids).agg(F.min(keys.time).alias("_start"))
-    joined = series_join(df.select(*keys.key, keys.target), start, keys.ids, spread=keys.key)
+    joined = series_join(df.select(*keys.key, keys.target), start, keys.ids)
     offset = (epoch_seconds(F.col(keys.time)) - epoch_seconds(F.col("_start"))) / F.lit(rows * keys.step)
     return joined.select(*keys.ids, F.floor(offset).cast("bigint").alias("part"), keys.target)
 
@@ -52,8 +58,7 @@ def js_by_chunk(reference: DataFrame, chunks: DataFrame, keys: SeriesKeys, bins:
     chunk rows adds half its reference share, so only occupied bins are joined.
     """
     ids, y = list(keys.ids), keys.target
-    edges = stage(reference.groupBy(*ids).agg(
-        F.min(y).alias("_lo"), F.max(y).alias("_hi"), F.count(y).alias("_nref")))
+    edges = reference.groupBy(*ids).agg(F.min(y).alias("_lo"), F.max(y).alias("_hi"), F.count(y).alias("_nref"))
 
     def histogram(df: DataFrame, by: list[str]) -> DataFrame:
         rows = series_join(df.filter(F.col(y).isNotNull()), edges, ids)
@@ -67,7 +72,7 @@ def js_by_chunk(reference: DataFrame, chunks: DataFrame, keys: SeriesKeys, bins:
     own = histogram(chunks.select(*ids, "part", y), [*ids, "part"])
     size = Window.partitionBy(*ids, "part")
     own = own.select(*ids, "part", "_bin", (F.col("_c") / F.sum("_c").over(size)).alias("_q"))
-    both = series_join(own, ref, [*ids, "_bin"], "left", spread=[*ids, "part"])
+    both = series_join(own, ref, [*ids, "_bin"], "left")
     p, q = F.coalesce(F.col("_p"), F.lit(0.0)), F.col("_q")
     m = (p + q) / 2
     term = F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0)) + q * F.log2(q / m)
@@ -89,17 +94,19 @@ def drift_report(reference: DataFrame, analysis: DataFrame, keys: SeriesKeys,
                  rows: int = CHUNK_ROWS, bins: int = 20) -> DataFrame:
     """Both statistics per analysis chunk with limits from the reference chunks.
 
-    Both parts are read many times and staged first.
+    Each statistic is computed once, over the chunks of both parts: those of the
+    reference are numbered below zero and give the limits.
     """
     reference, analysis = stage(reference), stage(analysis)
-    ref_chunks, new_chunks = number_chunks(reference, keys, rows), number_chunks(analysis, keys, rows)
+    before = number_chunks(reference, keys, rows).withColumn("part", -1 - F.col("part"))
+    chunks = stage(before.unionByName(number_chunks(analysis, keys, rows)))
     reports = []
     for method, measure in (("kolmogorov_smirnov", ks_by_chunk),
                             ("jensen_shannon", lambda r, c, k: js_by_chunk(r, c, k, bins))):
-        limits = alert_limits(measure(reference, ref_chunks, keys), keys)
-        found = series_join(measure(reference, new_chunks, keys), limits, keys.ids)
+        found = stage(measure(reference, chunks, keys))
+        limits = alert_limits(found.where("part < 0"), keys)
         s = F.col("statistic")
-        reports.append(found.select(
+        reports.append(series_join(found.where("part >= 0"), limits, keys.ids).select(
             *keys.ids, F.lit(method).alias("method"), "part", "statistic", "lower_limit", "upper_limit",
             ((s > F.col("upper_limit")) | (s < F.col("lower_limit"))).alias("alert")))
     return reports[0].unionByName(reports[1])

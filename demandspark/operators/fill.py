@@ -89,7 +89,7 @@ def seasonal_median_impute(df: DataFrame, keys: SeriesKeys, trend_window: int =
     phased = trend.withColumn("_dow", F.weekday(keys.time) + 1).withColumn("_tod", tod)
     swing = phased.groupBy(*keys.ids, "_dow", "_tod").agg(
         F.median(F.col(y) - F.col("_trend")).alias("_swing"))
-    joined = series_join(phased, swing, [*keys.ids, "_dow", "_tod"], "left", spread=keys.key)
+    joined = series_join(phased, swing, [*keys.ids, "_dow", "_tod"], "left")
     filled = F.coalesce(F.col(y), F.col("_trend") + F.col("_swing"))
     return drop_helpers(joined.withColumn(out, filled))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys, epoch_seconds, shift_time
@@ -19,7 +19,8 @@ def add_lags(df: DataFrame, keys: SeriesKeys, lags: Mapping[str, int],
 
     Any distance, one shuffle: each row is also sent, with its value only, to the
     timestamps where it is needed, and rows meet there by ``(ids, time)``. Keys
-    are as fine as rows, so nothing can pile up. Needs unique ``(ids, time)``.
+    are as fine as rows, so nothing can pile up. Rows that repeat ``(ids, time)``
+    all stay; the largest of their values is the one that others see.
     """
     value = value or keys.target
     rest = [c for c in df.columns if c not in keys.key]
@@ -36,24 +37,21 @@ def add_lags(df: DataFrame, keys: SeriesKeys, lags: Mapping[str, int],
         F.col(value).alias("_v"),
         *[F.when(base, F.col(c)).alias(c) for c in rest],
     )
-    met = sent.groupBy(*keys.key).agg(
-        F.max(base).alias("_base"),
-        *[F.any_value(c, ignoreNulls=True).alias(c) for c in rest],
-        *[F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(name) for name, k in lags.items()],
-    )
-    return met.filter("_base").select(*df.columns, *lags)
+    here = Window.partitionBy(*keys.key)
+    met = sent.select("*", *[F.max(F.when(F.col("_k") == k, F.col("_v"))).over(here).alias(name) for name, k in lags.items()])
+    return met.filter("_k = 0").select(*df.columns, *lags)
 
 
 def shift_columns(df: DataFrame, keys: SeriesKeys, shifts: Mapping[str, tuple[str, int]]) -> DataFrame:
-    """Add ``{name: (column, k)}``: several columns shifted by k < chunk rows.
+    """Add ``{name: (column, k)}``: several columns shifted by k rows.
 
-    One shuffle and one sort for all of them, by windows with a halo. Row based,
-    so the series must be on its grid
+    One shuffle and one sort for all of them, by windows with a halo, in chunks of at
+    least the longest shift. Row based, so the series must be on its grid
     (:func:`~demandspark.operators.spine.insert_missing`).
     """
     reach = max(k for _, k in shifts.values())
     if reach > keys.chunk:
-        raise ValueError("a shift is longer than a chunk; use add_lags")
+        keys = keys.with_(chunk=4 * reach)
     rows = with_halo(df, keys, before=reach)
     w = chunk_window(keys)
     out = rows.select(*df.columns, "_own", *[F.lag(c, k).over(w).alias(n) for n, (c, k) in shifts.items()])

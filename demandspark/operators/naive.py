@@ -79,7 +79,7 @@ def backtest_with_fences(df: DataFrame, keys: SeriesKeys, origins: Sequence[int]
     rows = numbered.select(*keys.key, keys.target, "yhat", r, F.explode(mine).alias("fold"))
     fences = prefix_fences(df.select(*keys.key, keys.target), keys, origins, multiplier)
     joined = series_join(rows, fences.select(*keys.ids, "fold", "lower_bound", "upper_bound"),
-                         [*keys.ids, "fold"], "left", spread=keys.key)
+                         [*keys.ids, "fold"], "left")
     out = F.coalesce((F.col("yhat") < F.col("lower_bound")) | (F.col("yhat") > F.col("upper_bound")), F.lit(False))
     return joined.select(*keys.key, "fold", (r - F.col("fold") + 1).alias("fold_step"), keys.target,
                          F.when(~out, F.col("yhat")).alias("yhat"), F.lit(MODEL).alias("model"))

@@ -33,8 +33,7 @@ def null_outliers(df: DataFrame, keys: SeriesKeys, multiplier: float = 1.5, mode
     """
     y = F.col(keys.target)
     limits = iqr_bounds(df, keys.ids, keys.target, multiplier, mode) if limits is None else limits
-    joined = series_join(df, limits.select(*keys.ids, "lower_bound", "upper_bound"), keys.ids, "left",
-                         spread=keys.key)
+    joined = series_join(df, limits.select(*keys.ids, "lower_bound", "upper_bound"), keys.ids, "left")
     outside = F.coalesce((y < F.col("lower_bound")) | (y > F.col("upper_bound")), F.lit(False))
     cols = [F.when(~outside, y).alias(c) if c == keys.target else F.col(c) for c in df.columns]
     return joined.select(*cols, *([outside.alias(flag)] if flag else []))

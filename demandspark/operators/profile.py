@@ -69,7 +69,7 @@ def autocorrelation(df: DataFrame, keys: SeriesKeys, lags: int = 50) -> DataFram
     task. Deviations are taken from the series mean.
     """
     mean = df.groupBy(*keys.ids).agg(F.avg(keys.target).alias("_mean"))
-    data = series_join(df.select(*keys.key, keys.target), mean, keys.ids, spread=keys.key)
+    data = series_join(df.select(*keys.key, keys.target), mean, keys.ids)
     data = data.select(*keys.key, (F.col(keys.target) - F.col("_mean")).alias("_d"))
     rows = with_halo(data, keys, before=lags)
     over = f"over (partition by {', '.join(f'`{c}`' for c in keys.ids)}, _chunk order by _slot)"

@@ -1,8 +1,10 @@
 """Rolling statistics over a fixed number of grid rows.
 
-All need a series on its grid. Wide frames are computed from running sums inside
-the chunk (cost per row independent of the width); narrow ones use the plain
-sliding frame.
+All need a series on its grid. The rows of a chunk are cut into blocks as long as
+the frame, so a frame is the end of one block and the start of the next. Count,
+mean and squared deviations run forward and backward inside each block; a frame
+merges two of them. Nothing is subtracted, so a NaN or a large value stays in the
+frames that hold it, and the cost per row does not depend on the width.
 """
 
 from __future__ import annotations
@@ -15,8 +17,6 @@ from pyspark.sql import functions as F
 from demandspark.keys import SeriesKeys
 from demandspark.operators.chunks import chunk_window, with_halo
 
-NARROW = 64  # frames up to this many rows slide; wider ones use running sums
-
 
 @dataclass(frozen=True)
 class Rolling:
@@ -51,28 +51,23 @@ def centred(out: str, stat: str, window: int, min_samples: int = 1) -> Rolling:
     return Rolling(out, stat, window // 2, (window - 1) // 2, min_samples)
 
 
-def _narrow(spec: Rolling, value: Column, w) -> Column:
-    frame = w.rowsBetween(-spec.before, spec.after)
-    stat = F.avg(value) if spec.stat == "mean" else F.stddev_samp(value)
-    need = max(spec.min_samples, 2 if spec.stat == "std" else 1)
-    return F.when(F.count(value).over(frame) >= need, stat.over(frame))
-
+def _state(value: Column, w) -> Column:
+    """Count, mean and sum of squared deviations of the non-null values in a frame."""
+    n = F.count(value).over(w)
+    return F.struct(n.alias("n"), F.avg(value).over(w).alias("m"), (F.var_pop(value).over(w) * n).alias("q"))
 
-def _wide(spec: Rolling, w, shift: Column) -> Column:
-    def span(name: str) -> Column:
-        upto = F.coalesce(F.lead(name, spec.after).over(w), F.col(f"{name}_all")) if spec.after else F.col(name)
-        return upto - F.coalesce(F.lag(name, spec.before + 1).over(w), F.lit(0))
 
-    n = span("_n")
-    total = span("_s")
-    if spec.stat == "mean":
-        return F.when(n >= max(spec.min_samples, 1), total / n + shift)
-    spread = F.greatest(span("_q") - total * total / n, F.lit(0.0))
-    return F.when(n >= max(spec.min_samples, 2), F.sqrt(spread / (n - 1)))
+def _merged(a: Column, b: Column) -> Column:
+    """State of two disjoint frames together."""
+    n = a["n"] + b["n"]
+    shift = b["m"] - a["m"]
+    both = F.struct(n.alias("n"), (a["m"] + shift * b["n"] / n).alias("m"),
+                    (a["q"] + b["q"] + shift * shift * a["n"] * b["n"] / n).alias("q"))
+    return F.when(a["n"] == 0, b).when(b["n"] == 0, a).otherwise(both)
 
 
 def add_rolling(df: DataFrame, keys: SeriesKeys, specs: list[Rolling], value: str | None = None) -> DataFrame:
-    """Add one column per specification, all from one shuffle and one sort."""
+    """Add one column per specification, all from one shuffle."""
     value = value or keys.target
     reach_back = max(s.before for s in specs)
     reach_on = max(s.after for s in specs)
@@ -80,28 +75,31 @@ def add_rolling(df: DataFrame, keys: SeriesKeys, specs: list[Rolling], value: st
         keys = keys.with_(chunk=4 * (reach_back + reach_on))
     rows = with_halo(df, keys, before=reach_back, after=reach_on)
     w = chunk_window(keys)
-    wide = [s for s in specs if s.width > NARROW]
-    if wide:
-        group = Window.partitionBy(*keys.ids, "_chunk")
-        upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        # values are taken relative to the chunk mean, which keeps the sums small
-        rows = rows.withColumn("_m", F.coalesce(F.avg(value).over(group), F.lit(0.0)))
-        centre = F.col(value) - F.col("_m")
-        rows = rows.withColumn("_n", F.count(value).over(upto)).withColumn(
-            "_s", F.coalesce(F.sum(centre).over(upto), F.lit(0.0)))
-        names = ["_n", "_s"]
-        if any(s.stat == "std" for s in wide):
-            rows = rows.withColumn("_q", F.coalesce(F.sum(centre * centre).over(upto), F.lit(0.0)))
-            names.append("_q")
-        if reach_on:
-            for name in names:
-                rows = rows.withColumn(f"{name}_all", F.last(name).over(
-                    w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    outs = [
-        (_wide(s, w, F.col("_m")) if s.width > NARROW else _narrow(s, F.col(value), w)).alias(s.out)
-        for s in specs
-    ]
-    return rows.select(*df.columns, "_own", *outs).filter("_own").drop("_own")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("_row", F.row_number().over(w)).withColumn("_rows", F.count(F.lit(1)).over(whole))
+    for width in sorted({s.width for s in specs}):
+        rows = rows.withColumn("_block", F.expr(f"(_row - 1) div {width}"))
+        block = Window.partitionBy(*keys.ids, "_chunk", "_block")
+        for name, order in (("start", F.col("_row").asc()), ("end", F.col("_row").desc())):
+            run = block.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+            rows = rows.withColumn(f"_{name}{width}", _state(F.col(value), run))
+    outs = []
+    for s in specs:
+        first, last = F.greatest(F.col("_row") - s.before, F.lit(1)), F.least(F.col("_row") + s.after, F.col("_rows"))
+        tail = F.coalesce(F.lag(f"_end{s.width}", s.before).over(w), F.first(f"_end{s.width}").over(whole))
+        head = F.coalesce(F.lead(f"_start{s.width}", s.after).over(w), F.last(f"_start{s.width}").over(whole))
+        of = lambda row, width=s.width: F.floor((row - 1) / width)
+        starts = (first == 1) | (F.pmod(first - 1, F.lit(s.width)) == 0)
+        outs.append(F.when(of(first) != of(last), _merged(tail, head)).when(starts, head).otherwise(tail).alias(f"_of_{s.out}"))
+    rows = rows.select(*df.columns, "_own", *outs).filter("_own")
+    found = []
+    for s in specs:
+        state = F.col(f"_of_{s.out}")
+        if s.stat == "mean":
+            found.append(F.when(state["n"] >= max(s.min_samples, 1), state["m"]).alias(s.out))
+        else:
+            found.append(F.when(state["n"] >= max(s.min_samples, 2), F.sqrt(state["q"] / (state["n"] - 1))).alias(s.out))
+    return rows.select(*df.columns, *found)
 
 
 def rolling_trend(df: DataFrame, keys: SeriesKeys, window: int = 672, out: str = "macro_trend",

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from demandspark.sources.tables import write_document
 
+# The baseline's name and the description of the score.
 BASELINE_NAME = "Baseline_Seasonal_Naive"
 _SUFFIX = r"(mae|rmse|mape)$"
 
 
 def named_metrics(rows: DataFrame) -> DataFrame:
-    """``(name, step, value)`` to ``(model, metric, value)``; the last step wins.
+    """``(name, step, value)`` to ``(model, metric, value)``; the last step wins,
+    of equal steps the larger value.
 
     Names are ``mape``, ``baseline.mape``, ``<model>_mape`` or
     ``candidate.<model>_mape``; one without a model is the baseline.
@@ -22,7 +24,7 @@ def named_metrics(rows: DataFrame) -> DataFrame:
     tagged = rows.select(
         F.when(model == "", F.lit(BASELINE_NAME)).otherwise(model).alias("model"),
         F.regexp_extract(clean, _SUFFIX, 1).alias("metric"), "step", "value")
-    return tagged.filter("metric != ''").groupBy("model", "metric").agg(F.max_by("value", "step").alias("value"))
+    return tagged.filter("metric != ''").groupBy("model", "metric").agg(F.max_by("value", F.struct("step", "value")).alias("value"))
 
 
 def model_scores(metrics: DataFrame, actuals: DataFrame, target: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys, epoch_seconds, shift_time
-from demandspark.operators.chunks import chunk_window, with_chunk
+from demandspark.operators.chunks import chunk_window, null_safe_join, with_chunk
 
 
 def bounds(df: DataFrame, keys: SeriesKeys) -> DataFrame:
@@ -45,12 +45,12 @@ def insert_missing(df: DataFrame, keys: SeriesKeys) -> DataFrame:
     """Put the table on its regular grid; inserted rows are null (keys unique per series)."""
     rest = [c for c in df.columns if c not in keys.key]
     spine = time_spine(bounds(df, keys), keys)
-    return spine.join(df, keys.key, "left").select(*keys.key, *rest)
+    return null_safe_join(spine, df, keys.key, "left").select(*keys.key, *rest)
 
 
 def missing_slots(df: DataFrame, keys: SeriesKeys) -> DataFrame:
     """Grid slots for which there is no row."""
-    return time_spine(bounds(df, keys), keys).join(df.select(*keys.key), keys.key, "left_anti")
+    return null_safe_join(time_spine(bounds(df, keys), keys), df.select(*keys.key), keys.key, "left_anti")
 
 
 def completeness(df: DataFrame, keys: SeriesKeys) -> DataFrame:

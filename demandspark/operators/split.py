@@ -13,7 +13,7 @@ from demandspark.operators.spine import bounds
 def _with_cutoff(df: DataFrame, keys: SeriesKeys, n_test: int) -> DataFrame:
     limits = bounds(df, keys).select(
         *keys.ids, shift_time(F.col("last_ts"), -(n_test - 1) * keys.step).alias("_cutoff"))
-    return series_join(df, limits, keys.ids, spread=keys.key)
+    return series_join(df, limits, keys.ids)
 
 
 def test_part(df: DataFrame, keys: SeriesKeys, n_test: int) -> DataFrame:
@@ -49,6 +49,6 @@ def rolling_folds(df: DataFrame, keys: SeriesKeys, initial: int = 96, horizon: i
     picked = numbered.filter(r >= initial).withColumn(
         "_i", F.explode(F.when(hi >= lo, F.sequence(lo, hi))))
     picked = picked.withColumn("fold", F.lit(initial) + F.col("_i") * F.lit(step))
-    joined = series_join(picked, sizes, keys.ids, spread=keys.key)
+    joined = series_join(picked, sizes, keys.ids)
     return joined.filter(F.col("fold") < F.col("_rows") - horizon).select(
         *df.columns, "fold", (r - F.col("fold") + 1).alias("fold_step"))

@@ -60,7 +60,7 @@ def dickey_fuller(df: DataFrame, keys: SeriesKeys, max_lag: int = 24, alpha: flo
     y = keys.target
     w = chunk_window(keys)
     rows = with_halo(df.select(*keys.key, y), keys, before=max_lag + 2)
-    rows = rows.select(*keys.ids, "_slot", "_chunk", "_own", y, F.lag(y).over(w).alias("_level"))
+    rows = rows.select(*keys.key, "_slot", "_chunk", "_own", y, F.lag(y).over(w).alias("_level"))
     rows = rows.withColumn("_d", F.col(y) - F.col("_level"))
     cols = ["_c", "_level", *[f"_d{k}" for k in range(1, max_lag + 1)], "_d"]
     lagged = rows.select(
@@ -115,7 +115,7 @@ def phillips_perron(df: DataFrame, keys: SeriesKeys, lags: int = 96, alpha: floa
         F.count(F.lit(1)).alias("_n"), F.avg(x).alias("_mx"), F.avg(v).alias("_my"),
         F.var_pop(x).alias("_vx"), F.covar_pop(x, v).alias("_cxy"))
     fit = fit.withColumn("_rho", F.try_divide(F.col("_cxy"), F.col("_vx")))
-    res = series_join(pairs, fit.select(*keys.ids, "_mx", "_my", "_rho"), keys.ids, spread=keys.key)
+    res = series_join(pairs, fit.select(*keys.ids, "_mx", "_my", "_rho"), keys.ids)
     res = res.select(*keys.key, (v - F.col("_my") - F.col("_rho") * (x - F.col("_mx"))).alias("_u"))
     rows = with_halo(res, keys, before=lags)
     over = f"over (partition by {', '.join(f'`{c}`' for c in keys.ids)}, _chunk order by _slot)"
@@ -178,7 +178,7 @@ def boxcox_lambda(df: DataFrame, keys: SeriesKeys) -> DataFrame:
     coarse = boxcox_likelihood(df, keys, grid).groupBy(*keys.ids).agg(
         F.max_by("lambda", F.struct("log_likelihood", -F.col("lambda"))).alias("_l0"))
     v = F.col(keys.target)
-    near = series_join(df.filter(v > 0).select(*keys.key, keys.target), coarse, keys.ids, spread=keys.key)
+    near = series_join(df.filter(v > 0).select(*keys.key, keys.target), coarse, keys.ids)
     near = near.select(*keys.ids, v.alias("_v"), F.explode(F.transform(
         F.sequence(F.lit(-10), F.lit(10)), lambda i: F.round(F.col("_l0") + i * F.lit(0.01), 10))).alias("lambda"))
     got = near.groupBy(*keys.ids, "lambda").agg(
@@ -193,7 +193,7 @@ def boxcox_lambda(df: DataFrame, keys: SeriesKeys) -> DataFrame:
 def boxcox_transform(df: DataFrame, keys: SeriesKeys, out: str = "y_boxcox") -> DataFrame:
     """Adds the transform with the fitted lambda and ``y_log`` = log(1 + y)."""
     best = boxcox_lambda(df, keys).select(*keys.ids, F.col("best_lambda").alias("_l"))
-    joined = series_join(df, best, keys.ids, "left", spread=keys.key)
+    joined = series_join(df, best, keys.ids, "left")
     v = F.col(keys.target)
     return joined.select(*df.columns, F.log1p(v).alias("y_log"),
                          F.when(v > 0, boxcox(v, F.col("_l"))).alias(out))

@@ -192,7 +192,7 @@ class Forecaster:
         exog = [f for f in self.features if f not in LAG_FEATURES]
         limits = bounds(history, keys).select(
             *keys.ids, shift_time(F.col("last_ts"), -TAIL * keys.step).alias("_from"))
-        tail = series_join(history.select(*keys.key, keys.target), limits, keys.ids, spread=keys.key)
+        tail = series_join(history.select(*keys.key, keys.target), limits, keys.ids)
         tail = tail.filter(F.col(keys.time) > F.col("_from")).select(
             *keys.key, F.col(keys.target).cast("double").alias("_y"), F.lit(False).alias("_future"),
             *[F.lit(0.0).alias(f) for f in exog])

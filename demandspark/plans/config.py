@@ -27,7 +27,7 @@ class RunConfig:
     trials: int = 40
     search_ranges: dict = field(default_factory=lambda: dict(SEARCH_RANGES))
     drift_rows: int = 96
-    run: int = 0  # number of this run; the latest run's metrics decide
+    run: int | None = None  # step of this run's metrics, of which the latest decide; default: one more than the last
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -18,7 +18,7 @@ from demandspark.operators.split import split_by_horizon
 from demandspark.operators.trees import evaluate, fit_variant, prepare_test, prepare_training, search
 from demandspark.plans.config import RunConfig
 from demandspark.sources.grid import read_sheets
-from demandspark.sources.tables import METRICS, append_metrics, latest_metrics, read_table, write_table
+from demandspark.sources.tables import METRICS, append_metrics, latest_metrics, next_step, read_table, write_table
 
 
 def ingest(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
@@ -67,10 +67,12 @@ def weekly(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
     keys = cfg.keys
     train, test = read_table(spark, cfg.path("train")), read_table(spark, cfg.path("test"))
     n_test = cfg.horizon * cfg.test_days
+    append_metrics(spark.createDataFrame([], METRICS), cfg.path("metrics"))  # so that a first run has a history
+    run = next_step(read_table(spark, cfg.path("metrics"), METRICS)) if cfg.run is None else cfg.run
 
     naive = seasonal_naive(train, keys, cfg.season, n_test).withColumn("model", F.lit(BASELINE_NAME))
     errors = forecast_errors(align(naive, test, keys), keys, ["model"])
-    append_metrics(history_rows(metric_rows(errors, ["model"]), "baseline", cfg.run), cfg.path("metrics"))
+    append_metrics(history_rows(metric_rows(errors, ["model"]), "baseline", run), cfg.path("metrics"))
 
     write_table(prepare_training(train, keys), cfg.path("candidate_train"))
     write_table(prepare_test(test, keys), cfg.path("candidate_test"))
@@ -82,7 +84,7 @@ def weekly(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
     if models:
         write_table(evaluate(models, c_test, c_train, keys), cfg.path("predictions"))
         errors = forecast_errors(read_table(spark, cfg.path("predictions")), keys, ["model"])
-        append_metrics(history_rows(metric_rows(errors, ["model"]), "candidate", cfg.run), cfg.path("metrics"))
+        append_metrics(history_rows(metric_rows(errors, ["model"]), "candidate", run), cfg.path("metrics"))
 
     metrics = latest_metrics(read_table(spark, cfg.path("metrics"), METRICS))
     scores = model_scores(metrics, test, keys.target)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +50,15 @@ def append_metrics(rows: DataFrame, path: str) -> None:
 
 
 def latest_metrics(history: DataFrame) -> DataFrame:
-    """The value with the highest step of each metric."""
-    return history.groupBy("prefix", "model", "metric").agg(F.max_by("value", "step").alias("value"))
+    """The value with the highest step of each metric; of equal steps the larger value."""
+    newest = F.max_by("value", F.struct("step", "value"))
+    return history.groupBy("prefix", "model", "metric").agg(newest.alias("value"))
+
+
+def next_step(history: DataFrame) -> int:
+    """The step of a new run: one more than the highest so far."""
+    highest = history.agg(F.max("step")).first()[0]
+    return 0 if highest is None else highest + 1
 
 
 def write_document(row: DataFrame, path: str) -> None:
@@ -58,18 +66,30 @@ def write_document(row: DataFrame, path: str) -> None:
     row.select(F.to_json(F.struct(*row.columns)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``).
+
+    A local session, whose executors are the driver, may do without.
+    """
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        top = "/tmp/checkpoints"
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; a temporary one only if none is set."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    """Let fits that cut their lineage themselves do so in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark, "fit"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that repeated use neither recomputes nor depends on one executor."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Written copy in the shared folder, so that repeated use neither recomputes nor depends on one executor.
+
+    As a columnar table it can still be pruned and filtered at the scan.
+    """
+    path = shared_dir(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

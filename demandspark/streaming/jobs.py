@@ -25,11 +25,14 @@ def ingest_sheets(spark: SparkSession, source: str, primary: str, refused: str,
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        grid = explode_sheets(batch)
-        checks = check_sheets(grid, contract)
-        for rows, path in ((to_primary(grid, checks, contract), primary), (quarantine(checks), refused)):
-            (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        grid = explode_sheets(batch).persist()  # the files are read and parsed once for all uses
+        try:
+            checks = check_sheets(grid, contract)
+            for rows, path in ((to_primary(grid, checks, contract), primary), (quarantine(checks), refused)):
+                (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+                     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        finally:
+            grid.unpersist()
 
     return (files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -58,3 +61,25 @@ def append_to(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
     for name, value in options.items():
         writer = writer.option(name, value)
     return writer.trigger(availableNow=True).start(path)
+
+
+def upsert_to(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write every change of a streaming aggregate, with its batch, until the available input is used up.
+
+    Unlike appending, this also writes windows that the watermark has not closed, so
+    the end of a bounded input is complete; the watermark still lets old state go. A
+    replayed batch replaces its own rows. :func:`latest` reads the result.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+    return (rows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def latest(changes: DataFrame, key: list[str]) -> DataFrame:
+    """The last written row of each key."""
+    rest = [c for c in changes.columns if c not in (*key, "batch_id")]
+    newest = changes.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
+    return newest.select(*key, "_row.*")

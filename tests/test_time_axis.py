@@ -1,9 +1,12 @@
+import math
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from demandspark.operators import chunks, dedup, lags, spine
+from demandspark.keys import SeriesKeys
+from demandspark.operators import chunks, dedup, lags, rolling, spine
 from tests.conftest import T0, column, slots
 
 
@@ -133,12 +136,65 @@ def test_undo_seasonal_difference(series):
         assert back[n] == pytest.approx(want[n])
 
 
-def test_many_series_take_the_salted_join(monkeypatch, spark, series):
+def test_many_series_do_without_a_broadcast(spark, series):
     """With no room for a broadcast the result is the same."""
     from demandspark.operators import outliers, split
 
     df, k = series({n: [1, 2, 3, 4, 90 + i] for i, n in enumerate("abcdef")})
     wide = column(outliers.null_outliers(split.train_part(df, k, 0), k, 0.1))
-    monkeypatch.setattr(chunks, "BROADCAST_BYTES", -1)
-    joined = outliers.null_outliers(split.train_part(df, k, 0), k, 0.1)
-    assert column(joined) == wide and wide["a"][-1] is None
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        assert column(outliers.null_outliers(split.train_part(df, k, 0), k, 0.1)) == wide and wide["a"][-1] is None
+    finally:
+        spark.conf.set(limit, before)
+
+
+@pytest.mark.parametrize("width", [3, 64, 65, 200])
+def test_a_nan_stays_in_its_frames(series, width):
+    """Narrow and wide frames alike: only frames that hold the NaN are NaN, and constant stretches have no spread."""
+    values = [1e6 * (i % 7) for i in range(150)] + [float("nan")] + [5.0] * 450
+    df, k = series({"a": values}, chunk=256)
+    specs = [rolling.trailing("m", "mean", width), rolling.trailing("s", "std", width), rolling.centred("c", "mean", width)]
+    rows = sorted(rolling.add_rolling(df, k, specs).collect(), key=lambda r: r["ds"])
+    for i, r in enumerate(rows):
+        frame = values[max(0, i - width + 1):i + 1]
+        if len(frame) < width:
+            assert r["m"] is None and r["s"] is None
+        elif any(math.isnan(v) for v in frame):
+            assert math.isnan(r["m"]) and math.isnan(r["s"])
+        else:
+            assert r["m"] == pytest.approx(sum(frame) / width) and (set(frame) != {5.0} or r["s"] == 0.0)
+        around = values[max(0, i - width // 2):i + (width - 1) // 2 + 1]
+        want = sum(around) / len(around)
+        assert math.isnan(want) == math.isnan(r["c"]) and (math.isnan(want) or r["c"] == pytest.approx(want))
+
+
+def test_rows_inside_one_slot_keep_their_order(spark):
+    t = [datetime(2024, 1, 1, 0, m) for m in (10, 1, 5, 40)]
+    df = spark.createDataFrame([("a", x, 1.0) for x in t], "unique_id string, ds timestamp_ntz, y double")
+    k = SeriesKeys(step=900, chunk=4)
+    got = sorted((r["ds"].minute, r["seconds_since_previous"]) for r in lags.time_since_previous(df, k).collect())
+    assert got == [(1, None), (5, 240), (10, 300), (40, 1800)]
+    gaps = spine.gap_blocks(df, k).collect()
+    assert [(g["missing_start"].minute, g["missing_points"]) for g in gaps] == [(25, 1)]
+
+
+def test_repeated_rows_all_keep_their_lags(spark):
+    t0, t1 = datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 15)
+    rows = [("a", t0, 1.0, "p"), ("a", t0, 2.0, "q"), ("a", t1, 3.0, "r"), ("a", t1, 3.0, "r")]
+    df = spark.createDataFrame(rows, "unique_id string, ds timestamp_ntz, y double, note string")
+    got = lags.add_lags(df, SeriesKeys(step=900), {"l": 1}).collect()
+    assert sorted((r["y"], r["note"], r["l"]) for r in got if r["l"]) == [(3.0, "r", 2.0)] * 2 and len(got) == 4
+
+
+def test_null_series_ids_are_a_series(spark):
+    from demandspark.operators import split
+
+    rows = [(None, datetime(2024, 1, 1, 0, m), float(m)) for m in (0, 15, 45)]
+    df = spark.createDataFrame(rows, "unique_id string, ds timestamp_ntz, y double")
+    k = SeriesKeys(step=900)
+    grid = spine.insert_missing(df, k)
+    assert sorted((r["ds"].minute, r["y"]) for r in grid.collect()) == [(0, 0.0), (15, 15.0), (30, None), (45, 45.0)]
+    assert split.test_part(df, k, 1).count() == 1 and split.train_part(df, k, 1).count() == 2
