@@ -5,7 +5,6 @@ Doubles are rounded to six places at the end, as in the SQL they are checked wit
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import datetime
 
@@ -24,12 +23,13 @@ from demandspark.operators import decompose, dedup, drift, fill, lags, metrics,
 from demandspark.operators import quantiles, rolling, select, spine, split, stats, trees
 from demandspark.operators.chunks import row_position, running_sum, stage, with_chunk
 from demandspark.operators.impute import ImputeConfig, impute_series
-from demandspark.sources import grid, pages
+from demandspark.sources import grid, pages, tables
 from demandspark.streaming import jobs
 
 K = EVENTS
 BAD_TIMES = (datetime(2024, 1, 10, 12, 0), datetime(2024, 1, 20, 6, 15))
 SEASON, WEEK, HORIZON, TEST_DAYS = 96, 672, 96, 14
+PERIODS = [SEASON, WEEK, 20160]
 N_TEST = HORIZON * TEST_DAYS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -304,8 +304,14 @@ def quantiles_three_ways(s, d):
 
 @query
 def quantiles_approximate(s, d):
-    return quantiles.quantile_columns(
-        table(s, d, "lineitem"), ["l_returnflag"], "l_extendedprice", {"q1": 0.25, "q3": 0.75}, "approx")
+    """Whether the sketch's values have their rank, up to the stated error."""
+    rows, ids, v = table(s, d, "lineitem"), ["l_returnflag"], "l_extendedprice"
+    found = stage(quantiles.approx_quantiles(rows, ids, v, [0.25, 0.75]))
+    ranks = quantiles.cumulative_counts(rows, found.withColumnRenamed("value", v), ids, v)
+    n, rank = F.col("n_reference"), F.col("q") * F.col("n_reference")
+    error = n / quantiles.ACCURACY + 1
+    ok = (F.col("below") <= rank + error) & (F.col("at_or_below") >= rank - error)
+    return found.withColumnRenamed("value", v).join(ranks, [*ids, v]).select(*ids, "q", ok.alias("within"))
 
 
 @query
@@ -503,7 +509,7 @@ def tail_rows(s, d):
 
 @query
 def table_size(s, d):
-    return profile.table_size(table(s, d, "lineitem"))
+    return profile.table_size(table(s, d, "lineitem")).select("n_rows", "n_files")
 
 
 @query
@@ -539,11 +545,10 @@ def drift_alerts(s, d):
 
 @query
 def drift_seasonal_residual(s, d):
-    """The same on the difference to the day before, rows with a null dropped."""
+    """Both statistics, limits and alerts on the difference to the day before, rows with a null dropped."""
     k = K.with_(target="seasonal_residual")
     p = [lags.seasonal_difference(x, K, SEASON, drop_incomplete=True) for x in parts(s, d)]
-    p = [stage(rounded(x)) for x in p]
-    return rounded(drift.ks_by_chunk(p[0], drift.number_chunks(p[1], k), k))
+    return rounded(drift.drift_report(*[rounded(x) for x in p], k))
 
 
 # ---- transforms, decomposition, tests --------------------------------------
@@ -562,18 +567,19 @@ def boxcox_best(s, d):
 
 @query
 def boxcox_transform(s, d):
-    return rounded(stats.boxcox_transform(daily_orders(s, d), ORDERS))
+    out = stats.boxcox_transform(daily_orders(s, d), ORDERS)
+    return rounded(out.withColumn("y_boxcox", tidy(F.col("y_boxcox"), 3)))
 
 
 @query
 def decomposition(s, d):
-    return rounded(decompose.seasonal_decompose(filled(s, d), K, [SEASON, WEEK]))
+    return rounded(decompose.seasonal_decompose(filled(s, d), K, PERIODS))
 
 
 @query
 def decomposition_forecast(s, d):
-    out = decompose.seasonal_decompose(filled(s, d), K, [SEASON, WEEK])
-    return rounded(decompose.decomposition_forecast(out, K, [SEASON, WEEK], HORIZON))
+    out = decompose.seasonal_decompose(filled(s, d), K, PERIODS)
+    return rounded(decompose.decomposition_forecast(out, K, PERIODS, HORIZON))
 
 
 @query
@@ -583,7 +589,7 @@ def adf(s, d):
 
 @query
 def phillips_perron(s, d):
-    return rounded(stats.phillips_perron(filled(s, d), K))
+    return rounded(stats.phillips_perron(filled(s, d), K).drop("p_value"))
 
 
 # ---- models (rows only) ----------------------------------------------------
@@ -788,11 +794,8 @@ def grid_series(s, d):
 
 
 def _scratch(s: SparkSession) -> str:
-    """A new folder below the shared checkpoint folder, or a local one if none is configured."""
-    shared = s.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/stream-{datetime.now():%Y%m%d%H%M%S%f}"
-    return tempfile.mkdtemp(prefix="run-")
+    """A new folder below the shared checkpoint folder."""
+    return tables.shared_dir(s, "query")
 
 
 def _event_stream(s: SparkSession, d: str) -> DataFrame:
@@ -803,11 +806,11 @@ def _event_stream(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_tumbling_means(s, d):
-    """Means per event type and quarter of an hour, windows closed by the watermark."""
+    """Means per event type and quarter of an hour, also of windows still open at the end."""
     out = _scratch(s)
     rows = jobs.tumbling_means(_event_stream(s, d), ["event_type"], "ts", ["value"])
-    jobs.append_to(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    got = s.read.parquet(f"{out}/rows")
+    jobs.upsert_to(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    got = jobs.latest(s.read.parquet(f"{out}/rows"), ["event_type", "window_start", "window_end"])
     return rounded(got.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                               F.col("window_end").cast("timestamp_ntz").alias("window_end"), "value", "n"))
 
@@ -817,6 +820,88 @@ def stream_drop_repeats(s, d):
     """One row per event type and hour, whichever came first."""
     out = _scratch(s)
     hourly = _event_stream(s, d).select("event_type", F.date_trunc("hour", "ts").alias("ts"))
-    rows = jobs.drop_repeats(hourly, ["event_type", "ts"], "ts", "60 days")
+    rows = jobs.drop_repeats(hourly, ["event_type", "ts"], "ts", "2 hours")
     jobs.append_to(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
     return s.read.parquet(f"{out}/rows").select("event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+# ---- written and read back -------------------------------------------------
+
+
+@query
+def whole_table_rewrite(s, d):
+    """A table replaced by a smaller one."""
+    path, orders = _scratch(s), table(s, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    tables.write_table(orders.drop("o_orderstatus"), path)
+    small = orders.where("o_orderstatus = 'F'").drop("o_orderstatus")
+    tables.write_table(small, path)
+    return tables.read_table(s, path, small.schema)
+
+
+@query
+def keyed_rewrite(s, d):
+    """One key of a keyed table replaced, two keys read."""
+    path = _scratch(s)
+    orders = table(s, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"), "o_orderpriority")
+    tables.write_keyed(orders, path, "o_orderpriority")
+    changed = orders.where("o_orderpriority = '1-URGENT'").withColumn("price", -F.col("price"))
+    tables.write_keyed(changed, path, "o_orderpriority")
+    return tables.read_keyed(s, path, orders.schema).where("o_orderpriority in ('1-URGENT', '2-HIGH')")
+
+
+@query
+def csv_appends(s, d):
+    """Rows appended in two steps; every file has the header."""
+    path, orders = _scratch(s), table(s, d, "orders").select("o_orderkey", "o_orderpriority", "o_custkey", "o_orderstatus")
+    for part in (orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus <> 'F'")):
+        tables.append_csv(part.drop("o_orderstatus"), path)
+    return s.read.schema(orders.drop("o_orderstatus").schema).option("header", True).csv(path)
+
+
+@query
+def metrics_history(s, d):
+    """Two runs of metrics, of which the second counts."""
+    path, orders = _scratch(s), table(s, d, "orders").groupBy(F.col("o_orderpriority").alias("model"))
+    for f in (F.min, F.max):
+        tables.append_metrics(s.createDataFrame([], tables.METRICS), path)
+        step = tables.next_step(tables.read_table(s, path, tables.METRICS))
+        tables.append_metrics(orders.agg(f("o_totalprice").alias("value")).select(
+            F.lit("candidate").alias("prefix"), "model", F.lit("rmse").alias("metric"), F.lit(step).alias("step"), "value"), path)
+    return tables.latest_metrics(tables.read_table(s, path, tables.METRICS))
+
+
+@query
+def json_record(s, d):
+    """The record of a selection, written as a document and parsed again."""
+    path, orders = _scratch(s), table(s, d, "orders")
+    found = orders.groupBy(F.col("o_orderpriority").alias("model")).agg(
+        (F.avg("o_totalprice") / 1e6).alias("mape"), F.stddev_pop("o_totalprice").alias("rmse"))
+    long = found.select("model", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("mape", "rmse")])))
+    record = select.selection_record(select.model_scores(long, orders, "o_totalprice"))
+    tables.write_document(record, path)
+    read = s.read.schema(record.schema).json(path)
+    return rounded(read.select("best_model_name", "model_type", "score", F.size("all_compared_models").cast("bigint").alias("n_models")))
+
+
+@query
+def features_without_gaps(s, d):
+    """History columns with 0 for null."""
+    names = ["y", *cal.HISTORY_LAGS]
+    rows = lags.add_lags(regular(s, d), K, cal.HISTORY_LAGS)
+    return cal.no_gaps(rows, names).select("event_type", "ts", *names)
+
+
+@query
+def rolling_with_nan(s, d):
+    """A NaN is seen by the frames that hold it and by no other."""
+    nan = F.when(F.col("ts") == F.lit("2024-01-10 12:00:00").cast("timestamp_ntz"), F.lit(float("nan"))).otherwise(F.col("y"))
+    rows = filled(s, d).withColumn("y", nan)
+    found = rolling.add_rolling(rows, K, [rolling.trailing("wide", "mean", 200)])
+    return rounded(found.where("wide is not null").select("event_type", "ts", "wide"))
+
+
+@query
+def time_since_previous_raw(s, d):
+    """Events as they come, many to a slot."""
+    rows = table(s, d, "events").groupBy("event_type", "ts").agg(F.min("event_id").alias("event_id"))
+    return lags.time_since_previous(rows, K).select("event_type", "event_id", "seconds_since_previous")

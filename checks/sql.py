@@ -137,9 +137,8 @@ def gaps(source: str) -> str:
 
 
 def chunked(source: str, name: str, value: str = "y") -> str:
-    return f"""{name} AS (SELECT event_type, (epoch(ts) - epoch(first_ts))::BIGINT // 86400 AS part, {value} AS v
- FROM {source} JOIN (SELECT event_type, min(ts) AS first_ts FROM {source} GROUP BY 1) USING (event_type)
- WHERE {value} IS NOT NULL)"""
+    return f"""{name} AS (SELECT event_type, part, v FROM (
+ SELECT event_type, (row_number() OVER ({W}) - 1) // 96 AS part, {value} AS v FROM {source}) WHERE v IS NOT NULL)"""
 
 
 def ks(name: str, chunks: str, ref: str = "train", value: str = "y") -> str:
@@ -195,14 +194,17 @@ def box_select(name: str) -> str:
 
 
 PHASES = "((epoch(ts)::BIGINT // 900) % {0})"
-DECOMPOSED = FILLED + f""", t AS (SELECT event_type, ts, y, avg(y) OVER ({W} ROWS BETWEEN 336 PRECEDING AND 335 FOLLOWING) AS trend FROM filled),
-d0 AS (SELECT *, y - trend AS a, {PHASES.format(96)} AS p1, {PHASES.format(672)} AS p2 FROM t),
+DECOMPOSED = FILLED + f""", t AS (SELECT event_type, ts, y, avg(y) OVER ({W} ROWS BETWEEN 10080 PRECEDING AND 10079 FOLLOWING) AS trend FROM filled),
+d0 AS (SELECT *, y - trend AS a, {PHASES.format(96)} AS p1, {PHASES.format(672)} AS p2, {PHASES.format(20160)} AS p3 FROM t),
 m1 AS (SELECT event_type, p1, avg(a) AS m FROM d0 GROUP BY 1, 2),
 s1 AS (SELECT event_type, p1, m - avg(m) OVER (PARTITION BY event_type) AS s FROM m1),
 d1 AS (SELECT d0.*, s AS seasonal_96, a - s AS b FROM d0 JOIN s1 USING (event_type, p1)),
 m2 AS (SELECT event_type, p2, avg(b) AS m FROM d1 GROUP BY 1, 2),
 s2 AS (SELECT event_type, p2, m - avg(m) OVER (PARTITION BY event_type) AS s FROM m2),
-d2 AS (SELECT d1.*, s AS seasonal_672, b - s AS remainder FROM d1 JOIN s2 USING (event_type, p2))"""
+d2 AS (SELECT d1.*, s AS seasonal_672, b - s AS g FROM d1 JOIN s2 USING (event_type, p2)),
+m3 AS (SELECT event_type, p3, avg(g) AS m FROM d2 GROUP BY 1, 2),
+s3 AS (SELECT event_type, p3, m - avg(m) OVER (PARTITION BY event_type) AS s FROM m3),
+d3 AS (SELECT d2.*, s AS seasonal_20160, g - s AS remainder FROM d2 JOIN s3 USING (event_type, p3))"""
 
 Z = FILLED + f""", zz AS (SELECT s.event_type, s.ts, s.y - p.y AS z FROM filled s JOIN filled p
  ON p.event_type = s.event_type AND p.ts = s.ts - 96 * {STEP}),
@@ -417,8 +419,6 @@ SQL["drift_alerts"] = f"""WITH {BASE}, {parts('base')}, {chunked('test', 'c')},
 {alerts('kolmogorov_smirnov', 'k', 'kr')} UNION ALL {alerts('jensen_shannon', 'j', 'jr')}"""
 _RESIDUAL = """{0}s AS (SELECT s.event_type, s.ts, round(s.y - p.y + 1e-9::DOUBLE, 6) + CAST(0 AS DOUBLE) AS d FROM {0} s JOIN {0} p
  ON p.event_type = s.event_type AND p.ts = s.ts - INTERVAL 1 DAY)"""
-SQL["drift_seasonal_residual"] = f"""WITH {FILLED}, {parts('filled')}, {_RESIDUAL.format('train')}, {_RESIDUAL.format('test')},
-{chunked('tests', 'c', 'd')}, {ks('k', 'c', 'trains', 'd')} SELECT event_type, part, {r('statistic')} AS statistic FROM k"""
 
 SQL["boxcox_grid"] = f"""WITH {DAILY}, g AS (SELECT unnest(range(0, 17)) * 0.25::DOUBLE - 2 AS lam),
 x AS (SELECT o_orderstatus, lam, y, CASE WHEN lam = 0 THEN ln(y) ELSE pow(y, lam) END AS t,
@@ -426,12 +426,12 @@ x AS (SELECT o_orderstatus, lam, y, CASE WHEN lam = 0 THEN ln(y) ELSE pow(y, lam
 SELECT o_orderstatus, {r('lam', 3)} AS "lambda", {r('(lam - 1) * sum(ln(y)) - count(*) / 2.0::DOUBLE * ln(var_pop(t) / first(l2))', 3)} AS log_likelihood
 FROM x GROUP BY o_orderstatus, lam HAVING var_pop(t) > 0"""
 SQL["decomposition"] = f"""WITH {DECOMPOSED} SELECT event_type, ts, y, {r('trend')} AS trend, {r('seasonal_96')} AS seasonal_96,
- {r('seasonal_672')} AS seasonal_672, {r('remainder')} AS remainder FROM d2"""
+ {r('seasonal_672')} AS seasonal_672, {r('seasonal_20160')} AS seasonal_20160, {r('remainder')} AS remainder FROM d3"""
 SQL["decomposition_forecast"] = f"""WITH {DECOMPOSED}, q AS (SELECT event_type, quantile_cont(remainder, 0.05) AS lo_q,
- quantile_cont(remainder, 0.95) AS hi_q, max(ts) AS last_ts, max_by(trend, ts) AS level FROM d2 GROUP BY 1),
+ quantile_cont(remainder, 0.95) AS hi_q, max(ts) AS last_ts, max_by(trend, ts) AS level FROM d3 GROUP BY 1),
 fr AS (SELECT event_type, last_ts + k * {STEP} AS ts, k, lo_q, hi_q, level FROM q, range(1, 97) AS g(k)),
-fp AS (SELECT *, {PHASES.format(96)} AS p1, {PHASES.format(672)} AS p2 FROM fr),
-v AS (SELECT fp.*, level + coalesce(s1.s, 0) + coalesce(s2.s, 0) AS yhat FROM fp LEFT JOIN s1 USING (event_type, p1) LEFT JOIN s2 USING (event_type, p2))
+fp AS (SELECT *, {PHASES.format(96)} AS p1, {PHASES.format(672)} AS p2, {PHASES.format(20160)} AS p3 FROM fr),
+v AS (SELECT fp.*, level + coalesce(s1.s, 0) + coalesce(s2.s, 0) + coalesce(s3.s, 0) AS yhat FROM fp LEFT JOIN s1 USING (event_type, p1) LEFT JOIN s2 USING (event_type, p2) LEFT JOIN s3 USING (event_type, p3))
 SELECT event_type, ts, CAST(k AS INTEGER) AS horizon_step, {r('yhat')} AS yhat, {r('yhat + lo_q')} AS yhat_low, {r('yhat + hi_q')} AS yhat_high FROM v"""
 
 _LINKS = r"""SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, regexp_extract(hits[i], 'href="([^"]*)"', 1) AS href,
@@ -479,6 +479,72 @@ SQL["grid_series"] = SHEETS + """ SELECT strptime(strftime(date, '%Y-%m-%d ') ||
  QUALIFY row_number() OVER (PARTITION BY timestamp ORDER BY source_key, actual_demand_mw NULLS FIRST, nrldc_intraday_forecasted_demand_mw) = 1"""
 
 SQL["stream_tumbling_means"] = f"""SELECT event_type, time_bucket({STEP}, ts) AS window_start, time_bucket({STEP}, ts) + {STEP} AS window_end,
- {r('avg(value)')} AS value, count(*) AS n FROM events
- WHERE time_bucket({STEP}, ts) + {STEP} <= (SELECT max(ts) - INTERVAL 30 MINUTE FROM events) GROUP BY 1, 2, 3"""
+ {r('avg(value)')} AS value, count(*) AS n FROM events GROUP BY 1, 2, 3"""
 SQL["stream_drop_repeats"] = "SELECT DISTINCT event_type, date_trunc('hour', ts) AS ts FROM events"
+
+SQL["drift_seasonal_residual"] = f"""WITH {FILLED}, {parts('filled')}, {_RESIDUAL.format('train')}, {_RESIDUAL.format('test')},
+rtrain AS (SELECT event_type, ts, d AS y FROM trains), rtest AS (SELECT event_type, ts, d AS y FROM tests),
+{chunked('rtest', 'c')}, {chunked('rtrain', 'rc')}, {JS_REF.replace('train', 'rtrain')},
+{ks('k', 'c', 'rtrain')}, {ks('kr', 'rc', 'rtrain')}, {js('j', 'c')}, {js('jr', 'rc')}
+{alerts('kolmogorov_smirnov', 'k', 'kr')} UNION ALL {alerts('jensen_shannon', 'j', 'jr')}"""
+
+SQL["table_size"] = "SELECT count(*) AS n_rows, 1::BIGINT AS n_files FROM lineitem"
+SQL["quantiles_approximate"] = """SELECT l_returnflag, q, true AS within FROM
+ (SELECT DISTINCT l_returnflag FROM lineitem), (SELECT unnest([0.25::DOUBLE, 0.75::DOUBLE]) AS q)"""
+_ACF = SQL["acf"].replace(r("sum(a.v * b.v) / first(s)"), "sum(a.v * b.v) / first(s)")
+SQL["pacf"] = f"""WITH RECURSIVE a AS (SELECT event_type, list(acf ORDER BY lag) AS r FROM ({_ACF}) GROUP BY 1),
+d AS (SELECT event_type, r, 1 AS k, [r[2]] AS phi, r[2] AS last FROM a UNION ALL
+ SELECT event_type, r, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - f * phi[k + 1 - j]), f), f FROM (
+  SELECT *, (r[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])))
+   / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1]))) AS f FROM d WHERE k < 50))
+SELECT event_type, CAST(k AS INTEGER) AS lag, {r('last')} AS pacf FROM d UNION ALL SELECT event_type, 0, 1.0::DOUBLE FROM a"""
+
+_BOXCOX = f"""{DAILY}, g1 AS (SELECT unnest(range(-60, 61)) / 10.0::DOUBLE AS lam),
+x1 AS (SELECT o_orderstatus, lam, y, CASE WHEN lam = 0 THEN ln(y) ELSE pow(y, lam) END AS t,
+ CASE WHEN lam = 0 THEN 1 ELSE lam * lam END AS l2 FROM daily, g1 WHERE y > 0),
+l1 AS (SELECT o_orderstatus, lam, (lam - 1) * sum(ln(y)) - count(*) / 2.0::DOUBLE * ln(var_pop(t) / first(l2)) AS ll
+ FROM x1 GROUP BY 1, 2 HAVING var_pop(t) > 0),
+b1 AS (SELECT o_orderstatus, arg_max(lam, ll) AS lam FROM l1 GROUP BY 1),
+g2 AS (SELECT o_orderstatus, round(lam + i / 100.0::DOUBLE, 10) AS lam FROM b1, range(-10, 11) AS q(i)),
+x2 AS (SELECT o_orderstatus, lam, y, CASE WHEN abs(lam) < 1e-12 THEN ln(y) ELSE pow(y, lam) END AS t,
+ CASE WHEN abs(lam) < 1e-12 THEN 1 ELSE lam * lam END AS l2 FROM daily JOIN g2 USING (o_orderstatus) WHERE y > 0),
+l2 AS (SELECT o_orderstatus, lam, (lam - 1) * sum(ln(y)) - count(*) / 2.0::DOUBLE * ln(var_pop(t) / first(l2)) AS ll
+ FROM x2 GROUP BY 1, 2 HAVING var_pop(t) > 0),
+b2 AS (SELECT o_orderstatus, arg_max(lam, ll) AS lam FROM l2 GROUP BY 1)"""
+SQL["boxcox_best"] = f"""WITH {_BOXCOX} SELECT o_orderstatus, {r('lam')} AS best_lambda FROM b2"""
+SQL["boxcox_transform"] = f"""WITH {_BOXCOX} SELECT o_orderstatus, ts, y, {r('ln(1 + y)')} AS y_log,
+ {r('CASE WHEN abs(lam) < 1e-12 THEN ln(y) ELSE (pow(y, lam) - 1) / lam END', 3)} AS y_boxcox
+ FROM daily LEFT JOIN b2 USING (o_orderstatus)"""
+
+SQL["phillips_perron"] = f"""WITH {FILLED}, p AS (SELECT event_type, row_number() OVER ({W}) AS i, y, lag(y) OVER ({W}) AS x FROM filled),
+f AS (SELECT event_type, count(*) AS n, regr_slope(y, x) AS rho, regr_intercept(y, x) AS c, var_pop(x) AS vx
+ FROM p WHERE x IS NOT NULL GROUP BY 1),
+u AS (SELECT event_type, i, y - c - rho * x AS u FROM p JOIN f USING (event_type) WHERE x IS NOT NULL),
+g0 AS (SELECT event_type, sum(u * u) AS g0 FROM u GROUP BY 1),
+ak AS (SELECT event_type, i - k AS i, 2 * (1 - k / 97.0::DOUBLE) * u AS wu FROM u, range(1, 97) AS q(k)),
+gk AS (SELECT event_type, sum(wu * u) AS gk FROM ak JOIN u USING (event_type, i) GROUP BY 1),
+v AS (SELECT event_type, n, rho, vx, g0 / n AS gamma0, (g0 + gk) / n AS lam2, g0 / (n - 2) AS s2 FROM f JOIN g0 USING (event_type) JOIN gk USING (event_type)),
+w AS (SELECT *, sqrt(s2 / (n * vx)) AS sigma FROM v),
+t AS (SELECT event_type, n, sqrt(gamma0 / lam2) * (rho - 1) / sigma - 0.5::DOUBLE * (lam2 - gamma0) / sqrt(lam2) * (n * sigma / sqrt(s2)) AS tau FROM w)
+SELECT event_type, {r('tau')} AS statistic, n, CASE WHEN tau > 2.74 THEN false WHEN tau < -18.83 THEN true
+ WHEN tau <= -1.61 THEN 2.1659 + 1.4412 * tau + 0.038269 * tau * tau < -1.6448536269514722
+ ELSE 1.7339 + 0.93202 * tau - 0.12745 * tau * tau - 0.010368 * tau * tau * tau < -1.6448536269514722 END AS is_stationary FROM t"""
+
+SQL["rolling_with_nan"] = f"""WITH {FILLED} SELECT event_type, ts, {r('avg(y) OVER (w2 ROWS 199 PRECEDING)')} AS wide FROM
+ (SELECT event_type, ts, CASE WHEN ts = TIMESTAMP '2024-01-10 12:00:00' THEN 'NaN'::DOUBLE ELSE y END AS y FROM filled)
+ WINDOW w2 AS (PARTITION BY event_type ORDER BY ts) QUALIFY count(*) OVER (w2 ROWS 199 PRECEDING) = 200"""
+SQL["time_since_previous_raw"] = """SELECT event_type, event_id, datediff('second', date_trunc('second', p), date_trunc('second', ts)) AS seconds_since_previous FROM (
+ SELECT *, lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS p FROM
+ (SELECT event_type, ts, min(event_id) AS event_id FROM events GROUP BY 1, 2))"""
+
+SQL["whole_table_rewrite"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'"
+SQL["keyed_rewrite"] = """SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 0 - o_totalprice ELSE o_totalprice END AS price, o_orderpriority
+ FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""
+SQL["csv_appends"] = "SELECT o_orderkey, o_orderpriority, o_custkey FROM orders"
+SQL["metrics_history"] = """SELECT 'candidate' AS prefix, o_orderpriority AS model, 'rmse' AS metric, max(o_totalprice) AS value
+ FROM orders GROUP BY 2"""
+SQL["json_record"] = f"""WITH m AS (SELECT o_orderpriority AS model, avg(o_totalprice) / 1e6::DOUBLE AS mape, stddev_pop(o_totalprice) AS rmse FROM orders GROUP BY 1),
+s AS (SELECT model, sqrt(mape * rmse / (SELECT avg(o_totalprice) FROM orders)) AS score FROM m)
+SELECT arg_min(model, score) AS best_model_name, 'candidate' AS model_type, {r('min(score)')} AS score, count(*) AS n_models FROM s"""
+SQL["features_without_gaps"] = f"""WITH {REG}, x AS ({lagged('reg', LAG_NAMES)}) SELECT event_type, ts,
+ """ + ", ".join(f"coalesce({c}, 0.0)::DOUBLE AS {c}" for c in ("y", *LAG_NAMES)) + " FROM x"

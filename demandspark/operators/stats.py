@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
 from demandspark.operators.chunks import chunk_window, series_join, with_halo
+from demandspark.sources.tables import cut_lineage
 
 # MacKinnon (1994) response surface for the t statistic with a
 # constant: limits of validity, then coefficients by rising power.
@@ -49,15 +50,20 @@ def _square(flat: np.ndarray, k: int) -> np.ndarray:
     return out + np.triu(out, 1).T
 
 
-def dickey_fuller(df: DataFrame, keys: SeriesKeys, max_lag: int = 24, alpha: float = 0.05) -> DataFrame:
+def dickey_fuller(df: DataFrame, keys: SeriesKeys, max_lag: int | None = None,
+                  alpha: float = 0.05) -> DataFrame:
     """Augmented Dickey-Fuller test with constant; lag order by least AIC.
 
     ``(ids, statistic, p_value, lag, n, is_stationary)`` for a grid series
     without gaps. One pass sums the products of the regressors; each series is
     then one row of (max_lag+3)^2/2 numbers, solved in a task. All orders are
-    compared on the rows that have ``max_lag`` differences before them.
+    compared on the rows that have ``max_lag`` differences before them. By default
+    ``max_lag`` grows with the fourth root of the length of the longest series.
     """
     y = keys.target
+    if max_lag is None:
+        longest = df.groupBy(*keys.ids).agg(F.count(y).alias("n")).agg(F.max("n")).first()[0] or 0
+        max_lag = max(1, min(math.ceil(12 * (longest / 100) ** 0.25), longest // 2 - 2))
     w = chunk_window(keys)
     rows = with_halo(df.select(*keys.key, y), keys, before=max_lag + 2)
     rows = rows.select(*keys.key, "_slot", "_chunk", "_own", y, F.lag(y).over(w).alias("_level"))
@@ -173,10 +179,20 @@ def boxcox_likelihood(df: DataFrame, keys: SeriesKeys, lambdas: Sequence[float])
 
 
 def boxcox_lambda(df: DataFrame, keys: SeriesKeys) -> DataFrame:
-    """Best lambda per series: grid -2..2 by 0.1, then by 0.01 around the best."""
-    grid = [round(-2 + 0.1 * i, 10) for i in range(41)]
-    coarse = boxcox_likelihood(df, keys, grid).groupBy(*keys.ids).agg(
-        F.max_by("lambda", F.struct("log_likelihood", -F.col("lambda"))).alias("_l0"))
+    """Best lambda per series: a grid by 0.1 from -2 to 2, then by 0.01 around the best.
+
+    The grid grows by 2 on a side for as long as a series has its best there. Values
+    that are not positive take no part.
+    """
+    lo, hi = -20, 20
+    while True:
+        grid = [round(0.1 * i, 10) for i in range(lo, hi + 1)]
+        coarse = cut_lineage(boxcox_likelihood(df, keys, grid).groupBy(*keys.ids).agg(
+            F.max_by("lambda", F.struct("log_likelihood", -F.col("lambda"))).alias("_l0")))
+        least, most = coarse.agg(F.min("_l0"), F.max("_l0")).first()
+        if least is None or (least > grid[0] and most < grid[-1]):
+            break
+        lo, hi = lo - 20 * (least == grid[0]), hi + 20 * (most == grid[-1])
     v = F.col(keys.target)
     near = series_join(df.filter(v > 0).select(*keys.key, keys.target), coarse, keys.ids)
     near = near.select(*keys.ids, v.alias("_v"), F.explode(F.transform(
