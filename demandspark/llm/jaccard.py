@@ -191,17 +191,27 @@ def forests(ids: list[int], sizes: np.ndarray, bitmaps: list[bytes], links: list
     return out
 
 
-def _blocks(reps: DataFrame) -> DataFrame:
+def _blocks(reps: DataFrame, percent: int) -> DataFrame:
     """Buckets cut into blocks of bounded size: bucket, i, j, members.
 
-    Every pair of classes that shares a prefix n-gram is together in a row.
+    A bucket holds the classes that share a prefix n-gram and are close enough in
+    size: two sets that may be linked are in the same band of sizes or in adjacent
+    ones, so each goes to its own band and the next. Buckets with the same classes
+    are kept once. Every pair that may be linked is together in a row.
     """
-    rows = reps.select("doc_id", F.explode("prefix").alias("bucket"))
-    buckets = rows.groupBy("bucket").agg(
+    rows = reps.select("doc_id", "n", F.explode("prefix").alias("gram"))
+    shared = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
+    members = stage(rows.join(shared, "gram"))
+    # Bands a little wider than the ratio of sizes, so that rounding of logarithms never parts a pair.
+    band = F.floor(F.log("n") / float(-np.log(percent / 100 - 1e-6))).cast("int")
+    members = members.select("doc_id", "gram", F.explode(F.array(band, band + 1)).alias("band"))
+    buckets = members.groupBy("gram", "band").agg(
         F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("doc_id")).alias("s"),
         F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("t")).where("m > 1")
-    buckets = stage(buckets.groupBy("m", "s", "t").agg(F.min("bucket").alias("bucket")).select("bucket", "m"))
-    members = rows.join(buckets, "bucket").withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int"))
+    buckets = buckets.groupBy("m", "s", "t").agg(F.min(F.struct("gram", "band")).alias("one"))
+    buckets = stage(buckets.select("one.gram", "one.band", "m", F.monotonically_increasing_id().alias("bucket")))
+    members = members.join(buckets, ["gram", "band"]).select(
+        "doc_id", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"))
     members = members.join(reps.select("doc_id", "n", "bitmap"), "doc_id")
     own = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("nb")).cast("int")
     members = members.withColumn("b", own).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
@@ -258,7 +268,7 @@ def overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, reps: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
     """a, b: links between classes that have the components of all links."""
-    blocks = _blocks(reps)
+    blocks = _blocks(reps, percent)
     asked = stage(_candidates(blocks, 1, percent))
     nodes = asked.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     parts = fragments(docs, reps.select("doc_id", "digest", "n").join(nodes, "doc_id", "left_semi"), doc_id, text, width)
