@@ -31,10 +31,11 @@ from demandspark.llm.common import map_rows, stage, table, utf8
 WINDOW = 50
 STRETCH = 24
 DEPTH = 4  # names of this level stand for 3 ** 4 bytes, more than WINDOW
-# Bytes of text per share, entries kept before a task hands them on, bytes sorted at once.
-SHARE_BYTES = 16 << 20
-SLAB = 1 << 21
-SORTED_BYTES = 1 << 20
+# Bytes of text per share, entries kept before a task hands them on, bytes sorted at once, references looked up at once.
+SHARE_BYTES = 4 << 20
+SLAB = 1 << 20
+SORTED_BYTES = 1 << 18
+REFERENCES = 1 << 15
 LAST_ID = (1 << 63) - 1
 KEY_BITS = 48
 
@@ -303,17 +304,25 @@ def _covered(sent: DataFrame, shares: int) -> DataFrame:
         counts = np.array([len(x) - WINDOW + 1 for _, x in texts])
         place = np.concatenate([[0], np.cumsum(counts)[:-1]])
         least = np.repeat(owner, counts)
-        batch, size = [], 0
+        batch, size, group = [], 0, 0
         by_key = sorted(range(len(texts)), key=lambda i: texts[i][0])
         for at, i in enumerate(by_key):
             batch.append(i)
             size += len(texts[i][1])
             ends = at + 1 == len(by_key) or texts[by_key[at + 1]][0] != texts[i][0]
-            if ends and (size >= SORTED_BYTES or at + 1 == len(by_key)):
+            if ends and len(batch) - group == 1:  # the only string of its key has no other to be compared with
+                batch.pop()
+                size -= len(texts[i][1])
+            if ends:
+                group = len(batch)
+            if batch and ends and (size >= SORTED_BYTES or at + 1 == len(by_key)):
                 for k, found in zip(batch, least_owner([texts[k][1] for k in batch], owner[batch])):
                     least[place[k]:place[k] + counts[k]] = found
-                batch, size = [], 0
-        ref, first, stop = _spans(least, counts, doc, start, which, place)
+                batch, size, group = [], 0, 0
+        found = [_spans(least, counts, doc[r:r + REFERENCES], start[r:r + REFERENCES], which[r:r + REFERENCES], place)
+                 for r in range(0, len(doc), REFERENCES)]
+        ref = np.concatenate([r * REFERENCES + x[0] for r, x in enumerate(found)])
+        first, stop = (np.concatenate([x[k] for x in found]) for k in (1, 2))
         if not len(ref):
             return
         order = np.lexsort((first, mark[ref], doc[ref]))

@@ -189,7 +189,7 @@ def test_repeats(docs, nothing):
 def test_repeats_in_small_slabs(docs, monkeypatch):
     """Many slabs, shares and sorts give what one does."""
     one = sorted(map(tuple, suffixes.remove_repeats(docs).collect()))
-    for name, value in (("SLAB", 64), ("SHARE_BYTES", 500), ("SORTED_BYTES", 200)):
+    for name, value in (("SLAB", 64), ("SHARE_BYTES", 500), ("SORTED_BYTES", 200), ("REFERENCES", 7)):
         monkeypatch.setattr(suffixes, name, value)
     assert sorted(map(tuple, suffixes.remove_repeats(docs).collect())) == one
 
