@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from demandspark.llm.common import held_out, map_rows, table
 
 # Most labelled rows of each class that a fit uses, taken in order of a hash of their id.
-FIT_ROWS = 1500
+FIT_ROWS = 1200
 BITS = 18
 ORDERS = (3, 4, 5)
 SMOOTHING = 1.0
@@ -75,22 +75,27 @@ def train(grams: list[np.ndarray], labels: np.ndarray, prior: float, bits: int =
         return NaiveBayesLinear(np.zeros(size, np.float32), float(np.log(prior / (1 - prior))), bits, orders)
     prior = min(max(prior, LEAST_SHARE), 1 - LEAST_SHARE)
     lengths = np.array([len(g) for g in grams])
-    flat, owner = np.concatenate(grams), np.repeat(np.arange(texts), lengths)
+    flat = np.concatenate(grams)
     having = np.bincount(flat, minlength=size)
-    toxic = np.bincount(flat[labels[owner] == 1], minlength=size)
+    toxic = np.bincount(np.concatenate([g for g, c in zip(grams, labels) if c]), minlength=size)
     ratio = (np.log((toxic + SMOOTHING) / (labels.sum() + 2 * SMOOTHING))
              - np.log((having - toxic + SMOOTHING) / ((1 - labels).sum() + 2 * SMOOTHING)))
     used = having >= LEAST_TEXTS
     inside = used[flat]
-    owner, column = owner[inside], (np.cumsum(used) - 1)[flat[inside]]
-    value = (ratio[flat[inside]] / np.sqrt(np.maximum(1, lengths))[owner]).astype(np.float32)
+    kept = np.add.reduceat(np.append(inside, False), np.cumsum(lengths) - lengths, dtype=np.int64) * (lengths > 0)
+    column = (np.cumsum(used) - 1)[flat[inside]]
+    value = np.repeat(1 / np.sqrt(np.maximum(1, lengths)), kept).astype(np.float32) * ratio[used].astype(np.float32)[column]
+    del flat, inside
     share, n = labels.mean(), int(used.sum())
     weight = np.where(labels == 1, prior / share, (1 - prior) / (1 - share)) / texts
     w, b, m, v = np.zeros(n), float(np.log(prior / (1 - prior))), np.zeros(n + 1), np.zeros(n + 1)
+    starts = np.cumsum(kept) - kept
     for t in range(1, STEPS + 1):  # Adam on the whole sample
-        z = np.bincount(owner, value * w[column], minlength=texts) + b
+        part = np.append(value * w.astype(np.float32)[column], np.float32(0))
+        z = np.add.reduceat(part, starts, dtype=np.float64) * (kept > 0) + b
         error = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels)
-        grad = np.append(np.bincount(column, value * error[owner], minlength=n) + PENALTY / texts * w, error.sum())
+        part = value * np.repeat(error.astype(np.float32), kept)
+        grad = np.append(np.bincount(column, part, minlength=n) + PENALTY / texts * w, error.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-10)
         w, b = w - step[:-1], b - step[-1]
@@ -119,9 +124,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_R
             yield doc, toxic, grams(text).tobytes()
 
     rows = map_rows(texts, ["doc_id", "text", "toxic"], "doc_id bigint, toxic int, grams binary", run, 64).collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["toxic"], bytes(r["grams"])))
-    grams = [np.frombuffer(bytes(r["grams"]), np.int32) for r in rows]
-    return train(grams, np.array([r["toxic"] for r in rows]), found.get(1, 0) / max(1, sum(found.values())))
+    rows.sort(key=lambda r: (r["doc_id"], r["toxic"], bytes(r["grams"])))
+    grams, marks = [np.frombuffer(r["grams"], np.int32) for r in rows], np.array([r["toxic"] for r in rows])
+    del rows
+    return train(grams, marks, found.get(1, 0) / max(1, sum(found.values())))
 
 
 def score_column(docs: DataFrame, model: NaiveBayesLinear, text: str = "text", out: str = "score") -> DataFrame:
