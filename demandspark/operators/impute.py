@@ -74,14 +74,16 @@ def model_impute(df: DataFrame, keys: SeriesKeys, config: ImputeConfig = ImputeC
 
 
 def impute_series(df: DataFrame, keys: SeriesKeys, config: ImputeConfig = ImputeConfig(),
-                  bad_times: Sequence = ()) -> DataFrame:
+                  bad_times: Sequence = (), fit_before=None) -> DataFrame:
     """Features, fence, model: the whole repair of a grid series.
 
-    Lags are taken after known bad values are nulled and before the fence.
+    Lags are taken after known bad values are nulled and before the fence. With
+    ``fit_before`` the model learns only from rows earlier than this time.
     """
     featured = stage(baseline_features(df, keys, bad_times))
     fenced = null_outliers(featured, keys, config.outlier_multiplier, config.quantile_mode)
-    return model_impute(stage(fenced), keys, config)
+    fenced = stage(fenced)
+    return model_impute(fenced, keys, config, None if fit_before is None else fenced.where(F.col(keys.time) < F.lit(fit_before)))
 
 
 def imputed_count(df: DataFrame, keys: SeriesKeys) -> DataFrame:

@@ -10,29 +10,31 @@ averages an absolute-loss tree model and a Huber linear model on those features.
 
 from __future__ import annotations
 
+import json
 import random
 import re
 import sys
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark import StorageLevel, cloudpickle, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.functions.calendar import add_calendar, by_prefix, exogenous_names, no_gaps
 from demandspark.keys import SeriesKeys, shift_time
-from demandspark.operators.chunks import series_join, stage
+from demandspark.operators.chunks import null_safe_join, series_join, stage
 from demandspark.operators.dedup import keep_last
 from demandspark.operators.fill import fill_both
 from demandspark.operators.lags import shift_columns
 from demandspark.operators.metrics import align, forecast_errors
+from demandspark.operators.quantiles import quantile_columns
 from demandspark.operators.rolling import add_ewm, add_rolling, trailing
-from demandspark.operators.spine import bounds, future_frame, insert_missing
+from demandspark.operators.spine import bounds, future_frame, insert_missing, time_spine
 from demandspark.operators.split import test_part, train_part
 from demandspark.sources.tables import ensure_checkpoint_dir
 
@@ -172,6 +174,7 @@ class Forecaster:
     keys: SeriesKeys
     features: list[str]
     members: dict[str, object] = field(default_factory=dict)
+    scale: DataFrame | None = None  # one row per series: level and spread of its training target
 
     def predict(self, future: DataFrame, history: DataFrame | None = None) -> DataFrame:
         """Predict the rows of ``future``, which has the exogenous columns.
@@ -181,11 +184,14 @@ class Forecaster:
         keys = self.keys
         if self.variant == "stable":
             model = self.members[self.name]
-            return model.transform(_assemble(future, keys, self.features, [])).select(
+            found = model.transform(_assemble(future, keys, self.features, [])).select(
                 *keys.key, F.lit(self.name).alias("model"), F.col("prediction").alias("yhat"))
-        if history is None:
+        elif history is None:
             raise ValueError(f"variant {self.variant} needs the history")
-        return self._step_by_step(future, history)
+        else:
+            found = self._step_by_step(future, scaled(history, self.scale, keys))
+        back = series_join(found, self.scale, keys.ids)
+        return back.select(*keys.key, "model", (F.col("yhat") * F.col("_spread") + F.col("_level")).alias("yhat"))
 
     def _step_by_step(self, future: DataFrame, history: DataFrame) -> DataFrame:
         keys = self.keys
@@ -196,7 +202,15 @@ class Forecaster:
         tail = tail.filter(F.col(keys.time) > F.col("_from")).select(
             *keys.key, F.col(keys.target).cast("double").alias("_y"), F.lit(False).alias("_future"),
             *[F.lit(0.0).alias(f) for f in exog])
-        ahead = no_gaps(future.select(*keys.key, *exog), exog).select(
+        # from the slot after the history on, so that lags count slots also if the future starts later
+        reach = series_join(
+            bounds(history, keys).select(*keys.ids, shift_time(F.col("last_ts"), keys.step).alias("first_ts")),
+            bounds(future, keys).select(*keys.ids, "last_ts"), keys.ids)
+        slots = add_calendar(time_spine(reach.where("first_ts <= last_ts"), keys), keys, candidate=True)
+        given = future.select(*keys.key, *[F.col(c).alias(f"_g_{c}") for c in exog])
+        slots = null_safe_join(slots, given, keys.key, "left").select(
+            *keys.key, *[(F.coalesce(f"_g_{c}", c) if c in slots.columns else F.col(f"_g_{c}")).alias(c) for c in exog])
+        ahead = no_gaps(slots, exog).select(
             *keys.key, F.lit(None).cast("double").alias("_y"), F.lit(True).alias("_future"), *exog)
         members = {n: NodeTable.of(m) if hasattr(m, "treeWeights")
                    else LinearTable(m.coefficients.toArray(), m.intercept) for n, m in self.members.items()}
@@ -233,15 +247,49 @@ class Forecaster:
 
         fields = {f.name: f.dataType.simpleString() for f in future.schema.fields}
         schema = ", ".join(f"{c} {fields[c]}" for c in [*ids, time]) + ", yhat double"
-        # a group is TAIL history rows plus the horizon, whatever the series' length
+        # a group is TAIL history rows plus the slots up to the last wanted one, whatever the series' length
         done = tail.unionByName(ahead).groupBy(*ids).applyInPandas(roll, schema)
+        done = null_safe_join(done, future.select(*keys.key), keys.key, "left_semi")
         return done.select(*keys.key, F.lit(self.name).alias("model"),
                            F.when(~F.isnan("yhat"), F.col("yhat")).alias("yhat"))
 
     def save(self, path: str) -> None:
-        """Write each fitted member below ``path``."""
+        """Write the fitted members, the scale and what else :meth:`load` needs below ``path``."""
         for member, model in self.members.items():
-            model.write().overwrite().save(f"{path}/{member}")
+            model.write().overwrite().save(f"{path}/members/{member}")
+        spark = self.scale.sparkSession
+        self.scale.write.mode("overwrite").parquet(f"{path}/scale")
+        about = {"name": self.name, "variant": self.variant, "features": self.features, "keys": asdict(self.keys),
+                 "members": {n: type(m).__name__ for n, m in self.members.items()}}
+        spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "Forecaster":
+        """The forecaster that :meth:`save` wrote."""
+        about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+        kinds = {"GBTRegressionModel": GBTRegressionModel, "LinearRegressionModel": LinearRegressionModel}
+        members = {n: kinds[kind].load(f"{path}/members/{n}") for n, kind in about["members"].items()}
+        keys = SeriesKeys(**about["keys"])
+        return Forecaster(about["name"], about["variant"], keys, about["features"], members, spark.read.parquet(f"{path}/scale"))
+
+    def predict_ahead(self, history: DataFrame, horizon: int) -> DataFrame:
+        """Predict the ``horizon`` slots after the history, calendar columns computed."""
+        frame = future_frame(history, self.keys, horizon).select(*self.keys.key)
+        return self.predict(add_calendar(frame, self.keys, candidate=True), history)
+
+
+def series_scale(prepared: DataFrame, keys: SeriesKeys) -> DataFrame:
+    """Median and distance of the quartiles of each series' target (1 where that is 0)."""
+    q = quantile_columns(prepared, keys.ids, keys.target, {"_q1": 0.25, "_level": 0.5, "_q3": 0.75}, "linear")
+    spread = F.col("_q3") - F.col("_q1")
+    return q.select(*keys.ids, F.col("_level").cast("double").alias("_level"),
+                    F.when(spread > 0, spread).otherwise(F.lit(1.0)).alias("_spread"))
+
+
+def scaled(df: DataFrame, scale: DataFrame, keys: SeriesKeys) -> DataFrame:
+    """The table with its target relative to the series' level, in units of its spread."""
+    y = ((F.col(keys.target) - F.col("_level")) / F.col("_spread")).alias(keys.target)
+    return series_join(df, scale, keys.ids).select(*[y if c == keys.target else F.col(c) for c in df.columns])
 
 
 def _assemble(df: DataFrame, keys: SeriesKeys, features: Sequence[str], others: Sequence[str]) -> DataFrame:
@@ -258,11 +306,16 @@ def _tree_model(params: TreeParams) -> GBTRegressor:
 
 def fit_variant(prepared: DataFrame, keys: SeriesKeys, variant: str, params: TreeParams = TreeParams(),
                 name: str | None = None) -> Forecaster:
-    """Fit one variant on :func:`prepare_training` rows; one model for all series."""
+    """Fit one variant on :func:`prepare_training` rows.
+
+    One model serves all series: it learns each relative to its own level and spread.
+    """
     if variant not in VARIANTS:
         raise ValueError(f"unknown variant {variant!r}")
     name = name or variant
     exog = exogenous(prepared)
+    scale = stage(series_scale(prepared, keys))
+    prepared = scaled(prepared, scale, keys)
     if variant == "stable":
         features, rows, label = exog, prepared, keys.target
     else:
@@ -284,7 +337,7 @@ def fit_variant(prepared: DataFrame, keys: SeriesKeys, variant: str, params: Tre
             members[name] = _tree_model(params).fit(training)
     finally:
         training.unpersist()
-    return Forecaster(name, variant, keys, features, members)
+    return Forecaster(name, variant, keys, features, members, scale)
 
 
 def draw_params(trials: int, seed: int = 42, ranges: dict = SEARCH_RANGES) -> list[TreeParams]:

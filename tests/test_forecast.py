@@ -194,10 +194,35 @@ def test_recursion_agrees_with_a_frame_built_on_known_values(series, daily_patte
     history, future = split.train_part(whole, k, 1), split.test_part(whole, k, 1)
     model = trees.fit_variant(history, k, "anchored", trees.TreeParams(trees=4, learning_rate=0.3, depth=3))
     ahead = model.predict(future, history).first()["yhat"]
-    last = split.test_part(trees.lag_frame(whole, k), k, 1)
+    last = split.test_part(trees.lag_frame(trees.scaled(whole, model.scale, k), k), k, 1)
     direct = model.members["anchored"].transform(trees._assemble(last, k, model.features, [])).first()["prediction"]
     before = add_lags(df, k, {"s": 96}).orderBy(F.desc("ds")).first()["s"]
-    assert ahead == pytest.approx(direct + before)
+    assert ahead == pytest.approx(direct * model.scale.first()["_spread"] + before)
+
+
+def test_series_keep_their_own_level(series):
+    wave = 1 + 0.1 * np.sin(2 * np.pi * np.arange(96 * 6) / 96)
+    df, k = series({"low": 10 * wave, "high": 1000 * wave}, chunk=700)
+    prepared = trees.prepare_training(split.train_part(df, k, 96), k)
+    model = trees.fit_variant(prepared, k, "stable", trees.TreeParams(trees=8, learning_rate=0.3, depth=4))
+    got = column(model.predict_ahead(prepared, 96), "yhat")
+    assert np.abs(np.array(got["low"]) - 10 * wave[-96:]).mean() < 0.3
+    assert np.abs(np.array(got["high"]) - 1000 * wave[-96:]).mean() < 30
+
+
+def test_a_future_that_starts_late_keeps_its_phase_and_a_model_can_be_loaded(spark, series, daily_pattern):
+    from demandspark.sources.tables import shared_dir
+
+    df, k = series({"a": daily_pattern}, chunk=700)
+    whole = trees.prepare_training(df, k)
+    history, future = split.train_part(whole, k, 120), split.test_part(whole, k, 96)
+    model = trees.fit_variant(history, k, "anchored", trees.TreeParams(trees=4, learning_rate=0.3, depth=3))
+    got = column(model.predict(future, history), "yhat")["a"]
+    assert len(got) == 96 and np.mean(np.abs(np.array(got) - daily_pattern[-96:])) < 15
+    path = shared_dir(spark, "model")
+    model.save(path)
+    again = trees.Forecaster.load(spark, path)
+    assert column(again.predict(future, history), "yhat")["a"] == pytest.approx(got)
 
 
 def test_search_is_seeded_and_within_range(series, daily_pattern):
