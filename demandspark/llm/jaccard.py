@@ -212,7 +212,7 @@ def _blocks(reps: DataFrame, percent: int) -> DataFrame:
     buckets = stage(buckets.select("one.gram", "one.band", "m", F.monotonically_increasing_id().alias("bucket")))
     members = members.join(buckets, ["gram", "band"]).select(
         "doc_id", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"))
-    members = members.join(reps.select("doc_id", "n", "bitmap"), "doc_id")
+    members = members.join(reps.select("doc_id", "n", "bitmap").hint("merge"), "doc_id")
     own = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("nb")).cast("int")
     members = members.withColumn("b", own).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     return stage(members.groupBy("bucket", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j")).agg(
@@ -241,7 +241,7 @@ def _candidates(blocks: DataFrame, many: int, percent: int, known: DataFrame | N
 
 def fragments(docs: DataFrame, reps: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """doc_id, fragment, hashes of the sets of ``reps`` (doc_id, digest, n), cut by hash range."""
-    texts = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(reps, "doc_id")
+    texts = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(reps.hint("merge"), "doc_id")
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         tables = Powers()
@@ -260,14 +260,17 @@ def overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """a, b, ok: partial overlaps per fragment, summed per pair, and whether the pair is linked."""
     one = parts.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), "fragment", F.col("hashes").alias("ha"))
     two = parts.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), "fragment", F.col("hashes").alias("hb"))
-    partial = pairs.join(one, "a").join(two, ["b", "fragment"]).select(
+    partial = pairs.join(one.hint("merge"), "a").join(two.hint("merge"), ["b", "fragment"]).select(
         "a", "b", (F.col("na") + F.col("nb")).alias("both"), F.size(F.array_intersect("ha", "hb")).cast("bigint").alias("c"))
     total = partial.groupBy("a", "b").agg(F.max("both").alias("both"), F.sum("c").alias("c"))
     return total.select("a", "b", linked(F.col("both"), F.col("both") - 2 * F.col("c"), percent).alias("ok"))
 
 
 def links(docs: DataFrame, reps: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
-    """a, b: links between classes that have the components of all links."""
+    """a, b: links between classes that have the components of all links.
+
+    Joins of what grows with the corpus are merge joins at every size.
+    """
     blocks = _blocks(reps, percent)
     asked = stage(_candidates(blocks, 1, percent))
     nodes = asked.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
