@@ -3,8 +3,9 @@
 A term belongs to the lexicon if the share of texts that have it lies in a band,
 which is a band of inverse document frequencies. Each randomised subset of the
 lexicon gives one part of a text's fingerprint: the hash of the text's sorted
-distinct terms in it. A text with no term of the lexicon is hashed over all its
-terms instead.
+distinct terms in it. The subsets cover the lexicon: a term is in one that is its own
+and in each of the others by chance. A text with no term of the lexicon is hashed
+over all its terms instead.
 
 The lexicon is kept in the plan as a set: with D distinct terms in a mean text, at
 most D / ``low`` terms reach the share ``low``, however many texts there are.
@@ -21,7 +22,7 @@ from demandspark.llm.common import table
 
 LOW, HIGH = 0.01, 0.25
 SUBSETS = 32
-# One in so many terms of the lexicon is in a given subset.
+# One in so many terms of the lexicon is in a given subset besides those whose own it is.
 ONE_IN = 64
 
 
@@ -40,14 +41,19 @@ def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float =
 
 def with_fingerprint(df: DataFrame, text: str, out: str, words: list[str], subsets: int = SUBSETS,
                      one_in: int = ONE_IN) -> DataFrame:
-    """Add ``out``: an array of ``subsets`` hashes, null where the text has no term of a subset."""
+    """Add ``out``: an array of ``subsets`` hashes, null where the text has no term of a subset.
+
+    Each term has a subset of its own, so a text with a term of the lexicon has a part,
+    and texts that differ in one term differ in a part.
+    """
     listed = ", ".join(f"'{w}'" for w in words) or "''"  # terms hold letters and digits only
     df = df.withColumn("_terms", F.sort_array(terms(F.col(text))))
-    df = df.withColumn("_band", F.expr(f"filter(_terms, t -> t IN ({listed}))"))
+    df = df.withColumn("_band", F.expr(f"transform(filter(_terms, t -> t IN ({listed})), t -> xxhash64(t))"))
 
     def part(k: int) -> Column:
-        chosen = F.filter("_band", lambda t: F.pmod(F.xxhash64(F.lit(k), t), F.lit(one_in)) == 0)
-        return F.when(F.size(chosen) > 0, F.xxhash64(F.concat_ws(" ", chosen)))
+        chosen = F.filter("_band", lambda h: (F.pmod(h, F.lit(subsets)) == k) | (
+            F.pmod(F.xxhash64(F.lit(k), h), F.lit(one_in)) == 0))
+        return F.when(F.size(chosen) > 0, F.xxhash64(chosen))
 
     whole = F.array(F.xxhash64(F.concat_ws(" ", "_terms")), *[F.lit(None).cast("bigint")] * (subsets - 1))
     parts = F.array(*[part(k) for k in range(subsets)])

@@ -359,6 +359,16 @@ def test_fingerprints_follow_the_method(docs):
                 assert parts[a] == parts[b]
 
 
+def test_short_texts_keep_their_identity(spark):
+    """Texts of one or two lexicon terms, or of none, have a part, and different ones differ."""
+    words = [f"w{i}" for i in range(200)]
+    rows = [w for w in words] + [f"{a} {b}" for a, b in zip(words, words[1:])] + [f"other{i}" for i in range(50)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    parts = [tuple(r["p"]) for r in imatch.with_fingerprint(df, "text", "p", words).collect()]
+    assert all(any(x is not None for x in p) for p in parts)
+    assert len(set(parts)) == len(rows)
+
+
 def test_next_row_wraps(docs, with_repeats, nothing):
     rows = texts(docs)
     ids = sorted(rows, reverse=True)
