@@ -138,6 +138,11 @@ def minimizers(data: bytes, tables: Powers) -> tuple[np.ndarray, np.ndarray, np.
     return least[first], first, np.concatenate([turns, [len(least)]])
 
 
+def share_of(key: np.ndarray, shares: int) -> np.ndarray:
+    """Share of each key, not descending with the keys. Their top 32 bits decide, so the product fits for any number of shares below 2 ** 32."""
+    return ((key >> np.uint64(KEY_BITS - 32)) * np.uint64(shares) >> np.uint64(32)).astype(np.int64)
+
+
 def _planes(x: np.ndarray) -> bytes:
     """Bytes of whole numbers, first all lowest ones and so on; sorted values then compress well."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
@@ -171,7 +176,7 @@ def _send_keys(rows: DataFrame, shares: int) -> DataFrame:
             for t in np.unique(owner):
                 yield -1, again[owner == t].astype("<u8").tobytes(), None, _ids([ids[t]])
             key, text = key[fresh], np.where(many, np.uint32(0xFFFFFFFF), text)[fresh]
-            share = (key * np.uint64(shares) >> np.uint64(KEY_BITS)).astype(np.int64)
+            share = share_of(key, shares)
             for s, (a, b) in enumerate(zip(np.searchsorted(share, range(shares)), np.searchsorted(share, range(1, shares + 1)))):
                 if b > a:
                     used, local = np.unique(text[a:b], return_inverse=True)
@@ -252,7 +257,7 @@ def _send_stretches(texts: DataFrame, shares: int) -> DataFrame:
             key, first, stop = minimizers(data, tables)
             place = np.minimum(np.searchsorted(known, key), len(known) - 1)
             kept = np.flatnonzero(known[place] == key)
-            share = (key[kept] * np.uint64(shares) >> np.uint64(KEY_BITS)).astype(np.int64)
+            share = share_of(key[kept], shares)
             for s, k, a, b in zip(share.tolist(), key[kept].tolist(), first[kept].tolist(), stop[kept].tolist()):
                 strings, refs = slabs.setdefault(s, ({}, []))
                 refs.append((doc, mark, a, strings.setdefault((k, data[a:b + WINDOW - 1]), len(strings))))

@@ -212,6 +212,17 @@ def test_suffix_array():
         assert sorted(order) == list(range(len(s))) and heads == sorted(heads)
 
 
+def test_shares_ascend_with_keys_at_any_number():
+    """At many shares too, each is a range of the sorted keys, and all are used about evenly."""
+    keys = np.sort(np.random.default_rng(3).integers(0, 1 << suffixes.KEY_BITS, 200_000, np.uint64))
+    for shares in (1, 60_000, 65_537, 131_072, 1 << 24):
+        share = suffixes.share_of(keys, shares)
+        assert (np.diff(share) >= 0).all() and 0 <= share[0] and share[-1] < shares
+        assert share[-1] > 0.999 * shares - 1
+    last = np.array([(1 << suffixes.KEY_BITS) - 1], np.uint64)
+    assert suffixes.share_of(last, 131_072)[0] == 131_071
+
+
 # --- packing and byte-pair encoding ---
 
 def test_plan_is_best_fit_decreasing():
