@@ -59,6 +59,36 @@ def test_prefix_fences_match_a_loop(series):
     assert set(got) == {20, 50, 96}
 
 
+def test_prefix_fences_of_all_origins(series):
+    """Series of different lengths, repeated and missing values, origins up to each one's end."""
+    rng = np.random.default_rng(5)
+    values = {"a": [None if rng.random() < 0.1 else round(float(v), 1) for v in rng.normal(size=330)],
+              "b": [float(v) for v in rng.normal(size=61)], "c": [2.0] * 90, "d": [None] * 40, "e": [1.0] * 12}
+    df, k = series(values, chunk=32)
+    got = {(r["unique_id"], r["fold"]): (r["lower_bound"], r["upper_bound"]) for r in naive.prefix_fences(
+        df, k, initial=20, horizon=8, step=4).collect()}
+    want = {}
+    for name, y in values.items():
+        for o in range(20, len(y) - 8, 4):
+            v = sorted(x for x in y[:o] if x is not None)
+            if v:
+                q1, q3 = (v[math.floor((len(v) - 1) * q + 0.5)] for q in (0.25, 0.75))
+                want[name, o] = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    assert got == want
+
+
+def test_fenced_backtest_reaches_the_end_of_long_series(series):
+    """All origins, past row 2,880 too; those of a list are a part of them."""
+    y = [float(i % 96) + (500.0 if i % 97 == 0 else 0.0) for i in range(3000)]
+    df, k = series({"a": y}, chunk=512)
+    rows = [tuple(r) for r in naive.backtest_with_fences(df, k).collect()]
+    fold = {r[2] for r in rows}
+    assert fold == set(range(96, 2992, 4)) and len(rows) == 8 * len(fold)
+    assert any(r[5] is None for r in rows) and any(r[5] is not None for r in rows)
+    some = [tuple(r) for r in naive.backtest_with_fences(df, k, [96, 192, 2880]).collect()]
+    assert sorted(some, key=repr) == sorted((r for r in rows if r[2] in (96, 192, 2880)), key=repr)
+
+
 def test_blend_falls_back_to_the_member_present(spark, series):
     _, k = series({"a": [1]})
     rows = [("a", T0, "m1", 1.0), ("a", T0, "m2", 3.0), ("a", T0 + timedelta(minutes=15), "m1", 5.0)]

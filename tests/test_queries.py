@@ -3,10 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks.inputs import EVENTS, base
-from checks.run import compare
+from checks.run import compare, normal, oracle
 from demandspark.operators import fill, lags, outliers, rolling, spine
 
 SF = "/root/testdata/sf0.001"
@@ -19,6 +20,17 @@ def test_query(spark, name):
     assert ok, note
 
 
+def test_fenced_backtest_holds_the_folds_of_its_sql(spark):
+    """The SQL has a fold a day for 30 days; the query has all of them, with the same values in these."""
+    out = entry.queries()["backtest_fenced"](spark, SF)
+    cols, rows = oracle(SF, entry.oracle_sql()["backtest_fenced"])
+    at = cols.index("fold")
+    folds = {r[at] for r in rows}
+    got = [tuple(r) for r in out.where(F.col("fold").isin(sorted(folds))).collect()]
+    assert normal(out.columns, got) == normal(cols, rows)
+    assert out.select("fold").distinct().count() > 20 * len(folds)
+
+
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
