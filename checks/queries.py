@@ -599,7 +599,7 @@ SMALL_RANGES = {**trees.SEARCH_RANGES, "trees": (3, 6, "int"), "depth": (2, 4, "
 
 @query
 def tree_impute(s, d):
-    return rounded(impute_series(regular(s, d), K, ImputeConfig(trees=10, learning_rate=0.1), BAD_TIMES)).select(
+    return rounded(impute_series(regular(s, d), K, ImputeConfig(), BAD_TIMES)).select(
         "event_type", "ts", "y", "is_imputed")
 
 

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from checks import queries
 from checks.inputs import EVENTS, base
 from checks.run import compare, normal, oracle
 from demandspark.operators import fill, lags, outliers, rolling, spine
+from demandspark.operators.impute import ImputeConfig
 
 SF = "/root/testdata/sf0.001"
 SLOW = {n for n in entry.queries() if n.startswith("tree_")}
@@ -31,6 +33,13 @@ def test_fenced_backtest_holds_the_folds_of_its_sql(spark):
     assert out.select("fold").distinct().count() > 20 * len(folds)
 
 
+def test_imputation_runs_at_the_library_settings(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(queries, "impute_series", lambda df, k, config, bad: seen.append(config) or df.withColumn("is_imputed", F.lit(False)))
+    queries.tree_impute(spark, SF)
+    assert seen == [ImputeConfig()]
+
+
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
