@@ -370,12 +370,12 @@ SQL["worst_folds"] = f"""WITH {FILLED}, {BACKTEST.format('filled')}, e AS (SELEC
  SELECT event_type, fold, {r('mape')} AS mape FROM (SELECT * FROM e ORDER BY e.mape DESC, event_type, fold LIMIT 5)"""
 _flo, _fhi = fence(nearest("l", 0.25), nearest("l", 0.75), 1.5)
 SQL["backtest_fenced"] = f"""WITH {REG}, numbered AS (SELECT *, row_number() OVER ({W}) - 1 AS row_no FROM reg),
-o AS (SELECT unnest(range(96, 2872, 96)) AS fold),
-pre AS (SELECT event_type, fold, {_flo} AS lo_b, {_fhi} AS hi_b FROM (SELECT event_type, fold, list_sort(list(y)) AS l
- FROM numbered JOIN o ON row_no < fold WHERE y IS NOT NULL GROUP BY 1, 2))
+o AS (SELECT event_type, unnest(range(96, n - 8, 4)) AS fold FROM (SELECT event_type, count(*) AS n FROM reg GROUP BY 1)),
+pre AS (SELECT event_type, fold, {_flo} AS lo_b, {_fhi} AS hi_b FROM (SELECT o.event_type, fold, list_sort(list(y)) AS l
+ FROM numbered x JOIN o ON o.event_type = x.event_type AND row_no < fold WHERE y IS NOT NULL GROUP BY 1, 2))
 SELECT x.event_type, x.ts, o.fold, x.row_no - o.fold + 1 AS fold_step, x.y,
  CASE WHEN NOT coalesce(p.y < lo_b OR p.y > hi_b, false) THEN p.y END AS yhat, 'seasonal_naive' AS model
-FROM numbered x JOIN o ON x.row_no >= fold AND x.row_no < fold + 8
+FROM numbered x JOIN o ON o.event_type = x.event_type AND x.row_no >= fold AND x.row_no < fold + 8
 LEFT JOIN numbered p ON p.event_type = x.event_type AND p.row_no = x.row_no - 96
 LEFT JOIN pre ON pre.event_type = x.event_type AND pre.fold = o.fold"""
 SQL["blend"] = PREDICTIONS + f" SELECT event_type, ts, model, {r('yhat')} AS yhat FROM long"
