@@ -19,7 +19,7 @@ from checks.inputs import (
 from demandspark.functions import calendar as cal
 from demandspark.functions import scalar
 from demandspark.operators import contracts as con
-from demandspark.operators import decompose, dedup, drift, fill, lags, metrics, naive, outliers, profile
+from demandspark.operators import decompose, dedup, drift, fill, lags, loess, metrics, naive, outliers, profile
 from demandspark.operators import quantiles, rolling, select, spine, split, stats, trees
 from demandspark.operators.chunks import row_position, running_sum, stage, with_chunk
 from demandspark.operators.impute import ImputeConfig, impute_series
@@ -581,6 +581,34 @@ def decomposition_forecast(s, d):
     return rounded(decompose.decomposition_forecast(out, K, PERIODS, HORIZON))
 
 
+@query
+def loess_smooth(s, d):
+    """A local line at every slot, over a day."""
+    return rounded(loess.loess(filled(s, d), K, 97).select("event_type", "ts", "smooth"))
+
+
+@query
+def loess_joined(s, d):
+    """Local lines over a week at every 67th slot, joined."""
+    return rounded(loess.loess(filled(s, d), K, 673, jump=67).select("event_type", "ts", "smooth"))
+
+
+def _loess_parts(s, d):
+    return loess.loess_decompose(filled(s, d), K, PERIODS)
+
+
+@query
+def loess_decomposition(s, d):
+    """Daily and weekly season, trend and remainder; the third period needs longer series."""
+    return rounded(_loess_parts(s, d))
+
+
+@query
+def loess_forecast(s, d):
+    """The day after the end with a band from the remainder."""
+    return rounded(loess.loess_forecast(_loess_parts(s, d), K, PERIODS, HORIZON))
+
+
 @query
 def adf(s, d):
     return rounded(stats.dickey_fuller(filled(s, d), K))
@@ -591,10 +619,32 @@ def phillips_perron(s, d):
     return rounded(stats.phillips_perron(filled(s, d), K).drop("p_value"))
 
 
+@query
+def ewm_half(s, d):
+    """Exponential mean whose weights are gone after some hundred rows."""
+    return rounded(rolling.add_ewm(filled(s, d), K, 0.5, "mean").select("event_type", "ts", "mean"))
+
+
+@query
+def ewm_slow(s, d):
+    """Exponential mean that reaches over many chunks."""
+    return rounded(rolling.add_ewm(filled(s, d), K.with_(chunk=256), 0.001, "mean").select("event_type", "ts", "mean"))
+
+
 # ---- models (rows only) ----------------------------------------------------
 
-FEW = trees.TreeParams(trees=10, learning_rate=0.1, depth=4)
 SMALL_RANGES = {**trees.SEARCH_RANGES, "trees": (3, 6, "int"), "depth": (2, 4, "int")}
+_FITTED: dict[tuple[str, str], dict] = {}
+
+
+def fitted_models(s, d, variants=trees.VARIANTS):
+    """Variants at the library's settings, each fitted once per session and folder; test part and training rows."""
+    found = _FITTED.setdefault((s.sparkContext.applicationId, d), {})
+    if not found:
+        train, test = split.split_by_horizon(base(s, d), K, HORIZON, 1)
+        found["train"], found["test"] = stage(trees.prepare_training(train, K)), stage(trees.prepare_test(test, K))
+    found |= {m.variant: m for m in trees.fit_variants(found["train"], K, [v for v in variants if v not in found])}
+    return [found[v] for v in variants], found["test"], found["train"]
 
 
 @query
@@ -604,10 +654,8 @@ def tree_impute(s, d):
 
 
 def _tree_forecast(s, d, variant):
-    train, test = split.split_by_horizon(base(s, d), K, HORIZON, 1)
-    prepared = trees.prepare_training(train, K)
-    model = trees.fit_variant(prepared, K, variant, FEW)
-    return rounded(trees.evaluate([model], trees.prepare_test(test, K), prepared, K))
+    models, test, prepared = fitted_models(s, d, [variant])
+    return rounded(trees.evaluate(models, test, prepared, K))
 
 
 @query
@@ -625,6 +673,28 @@ def tree_forecast_ensemble(s, d):
     return _tree_forecast(s, d, "ensemble")
 
 
+@query
+def candidate_evaluation(s, d):
+    """Every candidate, their blend and the baseline with errors, scores and the winner."""
+    models, test, prepared = fitted_models(s, d)
+    return rounded(select.compare_models(trees.candidate_predictions(models, test, prepared, K), test, K))
+
+
+@query
+def candidate_choice(s, d):
+    """The winner of each series."""
+    models, test, prepared = fitted_models(s, d)
+    found = select.compare_models(trees.candidate_predictions(models, test, prepared, K), test, K, ["event_type"])
+    return rounded(found.where("is_best").select("event_type", "model", "score"))
+
+
+@query
+def series_scores(s, d):
+    """Scores and choice of each series among plain forecasts."""
+    train, test = parts(s, d)
+    return rounded(select.compare_models(predictions(train), test, K, ["event_type"]))
+
+
 @query
 def tree_search(s, d):
     """Two trials of the search; the winner scored on the day after the hold-out."""

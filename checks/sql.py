@@ -395,6 +395,41 @@ SELECT event_type, ts, coalesce(last_value(y IGNORE NULLS) OVER ({W}),
  first_value(y IGNORE NULLS) OVER ({W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS y FROM j"""
 
 _PROFILE_COLUMNS = ("event_type", "ts", "y", *LAG_NAMES)
+for _name, _alpha in (("ewm_half", 0.5), ("ewm_slow", 0.001)):
+    SQL[_name] = f"""WITH RECURSIVE {FILLED}, n AS MATERIALIZED (SELECT *, row_number() OVER ({W}) AS rn FROM filled),
+e AS (SELECT event_type, ts, rn, y AS e FROM n WHERE rn = 1
+ UNION ALL SELECT n.event_type, n.ts, n.rn, {_alpha}::DOUBLE * n.y + {1 - _alpha}::DOUBLE * e.e FROM e JOIN n ON n.event_type = e.event_type AND n.rn = e.rn + 1)
+SELECT event_type, ts, {r('e')} AS mean FROM e"""
+
+
+def local_lines(window: int, jump: int) -> str:
+    """CTE lines: the local line of each series at every jump-th slot."""
+    half = (window - 1) // 2
+    return f"""{FILLED}, g AS MATERIALIZED (SELECT event_type, ts, y, CAST(epoch(ts) // 900 AS BIGINT) AS t FROM filled),
+e AS (SELECT event_type, min(t) AS lo, max(t) AS hi FROM g GROUP BY 1),
+p AS (SELECT event_type, lo, hi, unnest(range(lo // {jump}, (hi + {jump} - 1) // {jump} + 1)) * {jump} AS point FROM e),
+q AS (SELECT *, least(greatest(point - {half}, lo), greatest(hi - {window - 1}, lo)) AS a FROM p),
+f AS (SELECT *, least(a + {window - 1}, hi) AS b, greatest({window} - (hi - lo + 1), 0) // 2 AS short FROM q),
+h AS MATERIALIZED (SELECT *, greatest(point - a, b - point) + short AS reach FROM f),
+w AS (SELECT h.event_type, point, lo, hi, g.y, CAST(g.t - point AS DOUBLE) AS x, abs(g.t - point) / reach::DOUBLE AS s
+ FROM h JOIN g ON g.event_type = h.event_type AND g.t BETWEEN a AND b),
+m AS (SELECT event_type, point, first(hi - lo) AS wide, sum(u) AS w, sum(u * x) / sum(u) AS mx, sum(u * y) / sum(u) AS my,
+ sum(u * x * x) / sum(u) AS mxx, sum(u * x * y) / sum(u) AS mxy
+ FROM (SELECT *, CASE WHEN s <= 0.001 THEN 1 WHEN s <= 0.999 THEN (1 - s ** 3) ** 3 ELSE 0 END AS u FROM w) GROUP BY 1, 2),
+lines AS MATERIALIZED (SELECT event_type, point, my - mx * CASE WHEN sqrt(greatest(mxx - mx * mx, 0)) > wide * 0.001
+ THEN (mxy - mx * my) / (mxx - mx * mx) ELSE 0 END AS fit FROM m)"""
+
+
+SQL["loess_smooth"] = f"WITH {local_lines(97, 1)} SELECT g.event_type, ts, {r('fit')} AS smooth FROM g JOIN lines l ON l.event_type = g.event_type AND point = t"
+SQL["loess_joined"] = f"""WITH {local_lines(673, 67)} SELECT g.event_type, ts,
+ {r('l.fit + CASE WHEN t = l.point THEN 0 ELSE (n.fit - l.fit) * ((t - l.point) / 67::DOUBLE) END')} AS smooth
+FROM g JOIN lines l ON l.event_type = g.event_type AND l.point = t // 67 * 67
+LEFT JOIN lines n ON n.event_type = g.event_type AND n.point = l.point + 67"""
+SQL["series_scores"] = PREDICTIONS + f""", e AS (SELECT event_type, model, {ERRORS}, count(*) FILTER (y = 0) AS mape_skipped, count(*) AS n
+ FROM long JOIN test USING (event_type, ts) WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT e.*, rmse / m AS nrmse, sqrt(mape * (rmse / m)) AS score FROM e JOIN (SELECT event_type, avg(y) AS m FROM test GROUP BY 1) USING (event_type))
+SELECT event_type, model, {r('mae')} AS mae, {r('rmse')} AS rmse, {r('mape')} AS mape, {r('nrmse')} AS nrmse, {r('score')} AS score, mape_skipped, n,
+ row_number() OVER (PARTITION BY event_type ORDER BY s.score, s.model) = 1 AS is_best FROM s"""
 SQL["null_profile"] = f"WITH {REG}, x AS ({lagged('reg', LAG_NAMES)}) " + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count, count(*) AS n_rows FROM x" for c in _PROFILE_COLUMNS)
 SQL["month_mean"] = f"""WITH {DAILY} SELECT o_orderstatus, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month_start,

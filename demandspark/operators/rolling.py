@@ -9,13 +9,14 @@ frames that hold it, and the cost per row does not depend on the width.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
-from demandspark.operators.chunks import chunk_window, with_halo
+from demandspark.operators.chunks import chunk_window, null_safe_join, running_sum, series_join, with_chunk, with_halo
 
 
 @dataclass(frozen=True)
@@ -114,26 +115,56 @@ def rolling_volatility(df: DataFrame, keys: SeriesKeys, window: int = 672,
     return add_rolling(df, keys, [trailing(out, "std", window)], value)
 
 
-def add_ewm(df: DataFrame, keys: SeriesKeys, alpha: float, out: str, value: str | None = None,
-            terms: int | None = None) -> DataFrame:
+# Exponential weights are summed over runs of slots inside which they stay within 2**SAFE_BITS.
+SAFE_BITS = 200
+
+
+def _weight_span(rest: float, chunk: int) -> int:
+    """Slots to a run: a part of a chunk, or whole chunks."""
+    span = int(min(SAFE_BITS * math.log(2) / -math.log(rest), float(1 << 40)))
+    return max(1, span) if span <= chunk else span - span % chunk
+
+
+def add_ewm(df: DataFrame, keys: SeriesKeys, alpha: float, out: str, value: str | None = None) -> DataFrame:
     """Exponentially weighted mean started at the first value of the series.
 
-    ``e_0 = y_0``, ``e_t = alpha*y_t + (1-alpha)*e_{t-1}``. Weights beyond
-    ``terms`` rows are below double precision and left out, which makes it a
-    finite frame; the remaining weight goes to the oldest value in the frame, as
-    the recursion does at the start of the series. Needs a series without nulls.
+    ``e_0 = y_0``, ``e_t = alpha*y_t + (1-alpha)*e_{t-1}``, for any ``alpha`` in (0, 1] and
+    any length. Time is cut into runs of slots. A run maps the mean before it to the one
+    at its end by ``e -> a*e + b``; with equal runs ``a`` is one number, so what reaches a
+    run is a sum over the few runs before it whose weight is not beyond double precision.
+    Rows of a run get a running sum of their weighted values. Needs a series on its grid
+    without nulls; a null value gives null.
     """
     value = value or keys.target
-    if terms is None:
-        terms = 1
-        while (1 - alpha) ** terms > 2.0 ** -53:
-            terms += 1
-    rows = with_halo(df, keys, before=terms)
-    w = chunk_window(keys)
-    frame = F.collect_list(value).over(w.rowsBetween(-terms, 0))
-    # folding the frame oldest-first is the recursion itself
-    folded = F.aggregate(
-        F.slice(frame, 2, terms), F.get(frame, F.lit(0)).cast("double"),
-        lambda acc, y: acc * F.lit(1 - alpha) + y * F.lit(alpha),
-    )
-    return rows.select(*df.columns, "_own", folded.alias(out)).filter("_own").drop("_own")
+    if not 0 < alpha <= 1:
+        raise ValueError("alpha must be above 0 and at most 1")
+    if alpha == 1:
+        return df.withColumn(out, F.col(value).cast("double"))
+    rest = 1 - alpha
+    span = _weight_span(rest, keys.chunk)
+    back = 1 + math.ceil(1100 * math.log(2) / (-math.log(rest) * span))  # runs until nothing is left of a weight
+    power = lambda n: F.pow(F.lit(rest), n)
+    rows = with_chunk(df, keys).withColumn("_run", F.floor(F.col("_slot") / F.lit(span)))
+    rows = rows.withColumn("_at", F.col("_slot") - F.col("_run") * F.lit(span))
+    rows = rows.withColumn("_v", F.col(value).cast("double") * F.lit(alpha))
+    rows = rows.withColumn("_w", F.col("_v") * power(-F.col("_at")))
+    run = keys.with_(ids=(*keys.ids, "_run"))
+    ends = rows.groupBy(*run.ids).agg(F.sum(F.col("_v") * power(F.lit(span - 1) - F.col("_at"))).alias("_end"))
+    sent = ends.withColumn("_m", F.explode(F.sequence(F.lit(1), F.lit(back)))).select(
+        *keys.ids, (F.col("_run") + F.col("_m")).alias("_run"), "_m", "_end")
+    came = F.lit(0.0)
+    for m in range(back, 0, -1):  # smallest parts first
+        part = F.max(F.when(F.col("_m") == m, F.col("_end")))
+        came = came + F.coalesce(part, F.lit(0.0)) * F.lit(rest ** (span * (m - 1)))
+    came = sent.groupBy(*run.ids).agg(came.alias("_came"))
+    first = df.filter(F.col(value).isNotNull()).groupBy(*keys.ids).agg(
+        F.min(keys.slot()).alias("_first"), F.min_by(F.col(value).cast("double"), F.col(keys.time)).alias("_y0"))
+    if span <= keys.chunk:
+        over = Window.partitionBy(*run.ids).orderBy("_slot", keys.time).rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("_sum", F.sum("_w").over(over))
+    else:
+        rows = running_sum(rows, run, "_w", "_sum")
+    rows = series_join(null_safe_join(rows, came, run.ids, "left"), first, keys.ids, "left")
+    mean = (F.col("_sum") * power(F.col("_at")) + F.coalesce("_came", F.lit(0.0)) * power(F.col("_at") + 1)
+            + F.lit(rest) * F.col("_y0") * power(F.col("_slot") - F.col("_first")))
+    return rows.select(*df.columns, F.when(F.col(value).isNotNull(), mean).alias(out))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.keys import SeriesKeys
+from demandspark.operators.chunks import null_safe_join, series_join, stage
+from demandspark.operators.metrics import align, forecast_errors, metric_rows
 from demandspark.sources.tables import write_document
 
 # The baseline's name and the description of the score.
@@ -27,25 +32,47 @@ def named_metrics(rows: DataFrame) -> DataFrame:
     return tagged.filter("metric != ''").groupBy("model", "metric").agg(F.max_by("value", F.struct("step", "value")).alias("value"))
 
 
-def model_scores(metrics: DataFrame, actuals: DataFrame, target: str) -> DataFrame:
+def model_scores(metrics: DataFrame, actuals: DataFrame, target: str, ids: Sequence[str] = ()) -> DataFrame:
     """``model, mape, rmse, nrmse, score``; score is sqrt(mape * rmse / mean(actual)).
 
-    Models lacking mape or rmse are left out.
+    Models lacking mape or rmse are left out. With ``ids``, columns of both tables, each
+    series has scores of its own, relative to the mean of its actuals.
     """
-    wide = metrics.groupBy("model").agg(
+    ids = list(ids)
+    wide = metrics.groupBy(*ids, "model").agg(
         F.max(F.when(F.col("metric") == "mape", F.col("value"))).alias("mape"),
         F.max(F.when(F.col("metric") == "rmse", F.col("value"))).alias("rmse"),
     ).na.drop(subset=["mape", "rmse"])
-    mean = actuals.agg(F.avg(target)).scalar()
+    if ids:
+        wide = series_join(wide, actuals.groupBy(*ids).agg(F.avg(target).alias("_mean")), ids)
+    mean = F.col("_mean") if ids else actuals.agg(F.avg(target)).scalar()
     scored = wide.withColumn("nrmse", F.try_divide(F.col("rmse"), mean))
-    return scored.select("model", "mape", "rmse", "nrmse", F.sqrt(F.col("mape") * F.col("nrmse")).alias("score"))
+    return scored.select(*ids, "model", "mape", "rmse", "nrmse", F.sqrt(F.col("mape") * F.col("nrmse")).alias("score"))
 
 
-def best_model(scores: DataFrame) -> DataFrame:
-    """The row with the smallest score; equal scores go to the smaller name."""
+def best_model(scores: DataFrame, ids: Sequence[str] = ()) -> DataFrame:
+    """The row with the smallest score (with ``ids``: of each series); equal scores go to the smaller name."""
     ranked = scores.filter(F.col("score").isNotNull())
-    best = ranked.agg(F.min_by(F.struct(*scores.columns), F.struct("score", "model")).alias("_best"))
-    return best.filter("_best is not null").select("_best.*")
+    rest = [c for c in scores.columns if c not in ids]
+    best = ranked.groupBy(*ids).agg(F.min_by(F.struct(*rest), F.struct("score", "model")).alias("_best"))
+    return best.filter("_best is not null").select(*ids, "_best.*")
+
+
+def compare_models(predictions: DataFrame, actuals: DataFrame, keys: SeriesKeys, ids: Sequence[str] = ()) -> DataFrame:
+    """All models of ``predictions`` in one table: errors, scores and ``is_best``.
+
+    With ``ids`` errors, scores and the choice are of each series. Models are compared on
+    the rows that have both a prediction and an actual value.
+    """
+    ids = list(ids)
+    errors = stage(forecast_errors(align(predictions, actuals, keys), keys, [*ids, "model"]))
+    scores = model_scores(metric_rows(errors, [*ids, "model"]), actuals, keys.target, ids)
+    best = best_model(scores, ids).select(*ids, F.col("model").alias("_best"))
+    chosen = series_join(scores, best, ids) if ids else scores.withColumn("_best", best.select("_best").scalar())
+    measured = errors.select(*ids, "model", "mae", "mape_skipped", "n")
+    return null_safe_join(chosen, measured, [*ids, "model"]).select(
+        *ids, "model", "mae", "rmse", "mape", "nrmse", "score", "mape_skipped", "n",
+        F.coalesce(F.col("model") == F.col("_best"), F.lit(False)).alias("is_best"))
 
 
 def selection_record(scores: DataFrame, kinds: dict[str, str] | None = None) -> DataFrame:

@@ -3,37 +3,38 @@
 Three variants. ``stable`` learns the level from calendar columns with absolute
 loss and predicts all future rows at once. ``anchored`` learns the difference to
 the same slot one season earlier, from lags and rolling statistics of that
-difference; lag 1 feeds on its own output, so a series is predicted step by step
-from its last rows (a bounded number), all series in parallel. ``ensemble``
-averages an absolute-loss tree model and a Huber linear model on those features.
+difference. Time is cut into blocks of one season: lags of a season or more are known
+when a block starts, and what follows the last value (lag 1 and its means) is taken at
+the block's start, in training too. So a whole block of all series is scored at once,
+feeds the next one, and a horizon takes one pass per block. ``ensemble`` averages an
+absolute-loss tree model and a Huber linear model on those features.
 """
 
 from __future__ import annotations
 
 import json
 import random
-import re
-import sys
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
-from pyspark import StorageLevel, cloudpickle, inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.functions.calendar import add_calendar, by_prefix, exogenous_names, no_gaps
-from demandspark.keys import SeriesKeys, shift_time
+from demandspark.keys import SeriesKeys, epoch_seconds, shift_time
 from demandspark.operators.chunks import null_safe_join, series_join, stage
 from demandspark.operators.dedup import keep_last
 from demandspark.operators.fill import fill_both
 from demandspark.operators.lags import shift_columns
-from demandspark.operators.metrics import align, forecast_errors
+from demandspark.operators.metrics import align, blend, forecast_errors
+from demandspark.operators.naive import seasonal_naive
 from demandspark.operators.quantiles import quantile_columns
 from demandspark.operators.rolling import add_ewm, add_rolling, trailing
+from demandspark.operators.select import BASELINE_NAME
 from demandspark.operators.spine import bounds, future_frame, insert_missing, time_spine
 from demandspark.operators.split import test_part, train_part
 from demandspark.sources.tables import ensure_checkpoint_dir
@@ -42,8 +43,11 @@ SEASON = 96
 LAGS = (1, 96, 97, 672)  # fixed values: rows back, of the seasonal difference
 LAG_FEATURES = tuple(f"lag_{k}" for k in LAGS) + ("lag1_mean4", "lag1_ewm", "lag96_mean4", "lag96_std8")
 EWM_ALPHA = 0.5
-EWM_TERMS = 53
-TAIL = max(LAGS) + SEASON + EWM_TERMS + 8  # history rows a recursive step can reach
+SHIFTS = {f"lag_{k}": ("_z", k) for k in LAGS} | {
+    "lag1_mean4": ("_m4", 1), "lag1_ewm": ("_e", 1), "lag96_mean4": ("_m4", 96), "lag96_std8": ("_s8", 96)}
+START_FEATURES = ("lag_1", "lag1_mean4", "lag1_ewm")  # taken at the start of a block
+BLOCK_FEATURES = (*LAG_FEATURES, "block_step")
+TAIL = max(LAGS) + 2 * SEASON + 64  # history slots that a block can see; beyond 53 no weight of the mean is left
 VARIANTS = ("stable", "anchored", "ensemble")
 
 
@@ -92,77 +96,38 @@ def exogenous(df: DataFrame) -> list[str]:
     return [c for c in exogenous_names() if c in df.columns] + by_prefix(df)
 
 
-def lag_frame(df: DataFrame, keys: SeriesKeys) -> DataFrame:
-    """Adds ``_z`` (difference to one season earlier) and its lag features."""
+def _state(df: DataFrame, keys: SeriesKeys) -> DataFrame:
+    """Rows that have ``_z`` (difference to one season earlier), with its rolling statistics."""
     rows = shift_columns(df, keys, {"_season_ago": (keys.target, SEASON)})
     rows = rows.withColumn("_z", F.col(keys.target) - F.col("_season_ago")).drop("_season_ago")
     known = rows.filter(F.col("_z").isNotNull())
     known = add_rolling(known, keys, [trailing("_m4", "mean", 4), trailing("_s8", "std", 8)], value="_z")
-    known = add_ewm(known, keys, EWM_ALPHA, "_e", value="_z", terms=EWM_TERMS)
-    shifts = {f"lag_{k}": ("_z", k) for k in LAGS}
-    shifts |= {"lag1_mean4": ("_m4", 1), "lag1_ewm": ("_e", 1), "lag96_mean4": ("_m4", 96), "lag96_std8": ("_s8", 96)}
-    return shift_columns(known, keys, shifts).drop("_m4", "_s8", "_e")
+    return add_ewm(known, keys, EWM_ALPHA, "_e", value="_z")
 
 
-@dataclass
-class NodeTable:
-    """Nodes of a tree ensemble as flat arrays, for numpy evaluation in tasks."""
-
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    value: np.ndarray
-    roots: np.ndarray
-    weights: np.ndarray
-
-    @classmethod
-    def of(cls, model) -> "NodeTable":
-        """Read the printed form of a fitted model: one line per node, in preorder."""
-        feature, threshold, left, right, value, roots = [], [], [], [], [], []
-        pending: list[tuple[int, str]] = []
-
-        def add() -> int:
-            at = len(feature)
-            feature.append(-1), threshold.append(0.0), left.append(at), right.append(at), value.append(0.0)
-            if pending:
-                parent, side = pending.pop()
-                (left if side == "l" else right)[parent] = at
-            else:
-                roots.append(at)
-            return at
-
-        for line in model.toDebugString.splitlines():
-            text = line.strip()
-            split = re.match(r"If \(feature (\d+) <= (\S+)\)$", text)
-            leaf = re.match(r"Predict: (\S+)$", text)
-            if split:
-                at = add()
-                feature[at], threshold[at] = int(split[1]), float(split[2])
-                pending += [(at, "r"), (at, "l")]
-            elif leaf:
-                value[add()] = float(leaf[1])
-        return cls(np.array(feature), np.array(threshold), np.array(left), np.array(right), np.array(value),
-                   np.array(roots), np.array(list(model.treeWeights)))
-
-    def predict(self, x: np.ndarray) -> float:
-        at = self.roots.copy()
-        while True:
-            f = self.feature[at]
-            inner = f >= 0
-            if not inner.any():
-                return float(self.weights @ self.value[at])
-            go_left = x[np.where(inner, f, 0)] <= self.threshold[at]
-            at = np.where(inner, np.where(go_left, self.left[at], self.right[at]), at)
+def lag_frame(df: DataFrame, keys: SeriesKeys) -> DataFrame:
+    """Adds ``_z`` (difference to one season earlier) and its lag features."""
+    return shift_columns(_state(df, keys), keys, SHIFTS).drop("_m4", "_s8", "_e")
 
 
-@dataclass
-class LinearTable:
-    coefficients: np.ndarray
-    intercept: float
+def _from_block_start(rows: DataFrame, keys: SeriesKeys) -> DataFrame:
+    """``START_FEATURES`` as at the first slot of each ``_block`` (one row per block and series)."""
+    starts = rows.filter("block_step = 1").select(*keys.ids, "_block", *[F.col(c).alias(f"_s_{c}") for c in START_FEATURES])
+    joined = null_safe_join(rows, starts, [*keys.ids, "_block"], "left")
+    return joined.select(*[F.col(f"_s_{c}").alias(c) if c in START_FEATURES else F.col(c) for c in rows.columns])
+
 
-    def predict(self, x: np.ndarray) -> float:
-        return float(self.coefficients @ x + self.intercept)
+def block_frame(df: DataFrame, keys: SeriesKeys) -> DataFrame:
+    """:func:`lag_frame` as a block forecast sees it: blocks of a season that end with the series.
+
+    Adds ``block_step`` (1 for the first slot of a block); a first block that is not whole
+    has no start and gets nulls.
+    """
+    last = df.groupBy(*keys.ids).agg(F.max(keys.slot()).alias("_last"))
+    rows = series_join(lag_frame(df, keys), last, keys.ids).withColumn("_ago", F.col("_last") - keys.slot())
+    rows = rows.withColumn("_block", F.floor(F.col("_ago") / SEASON))
+    rows = rows.withColumn("block_step", F.lit(SEASON) - F.pmod("_ago", F.lit(SEASON)).cast("int")).drop("_ago", "_last")
+    return _from_block_start(rows, keys).drop("_block")
 
 
 @dataclass
@@ -189,69 +154,59 @@ class Forecaster:
         elif history is None:
             raise ValueError(f"variant {self.variant} needs the history")
         else:
-            found = self._step_by_step(future, scaled(history, self.scale, keys))
+            found = self._by_blocks(future, scaled(history, self.scale, keys))
         back = series_join(found, self.scale, keys.ids)
         return back.select(*keys.key, "model", (F.col("yhat") * F.col("_spread") + F.col("_level")).alias("yhat"))
 
-    def _step_by_step(self, future: DataFrame, history: DataFrame) -> DataFrame:
-        keys = self.keys
-        exog = [f for f in self.features if f not in LAG_FEATURES]
-        limits = bounds(history, keys).select(
-            *keys.ids, shift_time(F.col("last_ts"), -TAIL * keys.step).alias("_from"))
-        tail = series_join(history.select(*keys.key, keys.target), limits, keys.ids)
-        tail = tail.filter(F.col(keys.time) > F.col("_from")).select(
-            *keys.key, F.col(keys.target).cast("double").alias("_y"), F.lit(False).alias("_future"),
-            *[F.lit(0.0).alias(f) for f in exog])
+    def _by_blocks(self, future: DataFrame, history: DataFrame) -> DataFrame:
+        """One pass over all series per block; what a block gives is written and read by the next."""
+        keys, y = self.keys, self.keys.target
+        exog = [f for f in self.features if f not in BLOCK_FEATURES]
+        ends = history.groupBy(*keys.ids).agg(F.max(keys.time).alias("_end"))
+        start = series_join(history.select(*keys.key, F.col(y).cast("double").alias(y)), ends, keys.ids)
+        after = (epoch_seconds(F.col(keys.time)) - epoch_seconds(F.col("_end"))) / F.lit(keys.step) - 1
+        known = stage(start.withColumn("_k", F.floor(after)).filter(F.col("_k") >= -TAIL).drop("_end"))
         # from the slot after the history on, so that lags count slots also if the future starts later
-        reach = series_join(
-            bounds(history, keys).select(*keys.ids, shift_time(F.col("last_ts"), keys.step).alias("first_ts")),
-            bounds(future, keys).select(*keys.ids, "last_ts"), keys.ids)
-        slots = add_calendar(time_spine(reach.where("first_ts <= last_ts"), keys), keys, candidate=True)
-        given = future.select(*keys.key, *[F.col(c).alias(f"_g_{c}") for c in exog])
-        slots = null_safe_join(slots, given, keys.key, "left").select(
-            *keys.key, *[(F.coalesce(f"_g_{c}", c) if c in slots.columns else F.col(f"_g_{c}")).alias(c) for c in exog])
-        ahead = no_gaps(slots, exog).select(
-            *keys.key, F.lit(None).cast("double").alias("_y"), F.lit(True).alias("_future"), *exog)
-        members = {n: NodeTable.of(m) if hasattr(m, "treeWeights")
-                   else LinearTable(m.coefficients.toArray(), m.intercept) for n, m in self.members.items()}
-        ids, time, n_exog = list(keys.ids), keys.time, len(exog)
-
-        def roll(pdf):
-            pdf = pdf.sort_values(time)
-            past = pdf.loc[~pdf["_future"], "_y"].to_numpy(dtype=float)
-            coming = pdf.loc[pdf["_future"]]
-            x_exog = coming[exog].to_numpy(dtype=float)
-            out = coming[[*ids, time]].copy()
-            total = np.zeros(len(coming))
-            for table in members.values():
-                y = list(past)
-                z = list(past[SEASON:] - past[:-SEASON]) if len(past) > SEASON else []
-                ok = len(z) > max(LAGS)
-                if not ok:
-                    total[:] = np.nan
-                    break
-                ewm = z[-EWM_TERMS - 1] if len(z) > EWM_TERMS else z[0]
-                for v in z[-EWM_TERMS:]:
-                    ewm = (1 - EWM_ALPHA) * ewm + EWM_ALPHA * v
-                for i in range(len(coming)):
-                    older = z[:-SEASON + 1]
-                    lagged = [z[-k] for k in LAGS] + [
-                        np.mean(z[-4:]), ewm, np.mean(older[-4:]), np.std(older[-8:], ddof=1)]
-                    step = table.predict(np.concatenate([x_exog[i, :n_exog], lagged]))
-                    total[i] += step + y[-SEASON]
-                    y.append(step + y[-SEASON])
-                    z.append(step)
-                    ewm = (1 - EWM_ALPHA) * ewm + EWM_ALPHA * step
-            out["yhat"] = total / len(members)
-            return out
-
-        fields = {f.name: f.dataType.simpleString() for f in future.schema.fields}
-        schema = ", ".join(f"{c} {fields[c]}" for c in [*ids, time]) + ", yhat double"
-        # a group is TAIL history rows plus the slots up to the last wanted one, whatever the series' length
-        done = tail.unionByName(ahead).groupBy(*ids).applyInPandas(roll, schema)
-        done = null_safe_join(done, future.select(*keys.key), keys.key, "left_semi")
-        return done.select(*keys.key, F.lit(self.name).alias("model"),
-                           F.when(~F.isnan("yhat"), F.col("yhat")).alias("yhat"))
+        reach = series_join(ends.select(*keys.ids, shift_time(F.col("_end"), keys.step).alias("first_ts")),
+                            bounds(future, keys).select(*keys.ids, "last_ts"), keys.ids)
+        reach = reach.where("first_ts <= last_ts")
+        slots = series_join(time_spine(reach, keys), reach.select(*keys.ids, "first_ts"), keys.ids)
+        slots = slots.withColumn("_k", F.floor((epoch_seconds(F.col(keys.time)) - epoch_seconds(F.col("first_ts"))) / keys.step))
+        slots = add_calendar(slots.drop("first_ts"), keys, candidate=True)
+        given = future.select(*keys.key, F.lit(True).alias("_wanted"), *[F.col(c).alias(f"_g_{c}") for c in exog])
+        ahead = null_safe_join(slots, given, keys.key, "left")
+        ahead = stage(ahead.select(
+            *keys.key, "_k", "_wanted", F.floor(F.col("_k") / SEASON).alias("_block"),
+            (F.pmod("_k", F.lit(SEASON)) + 1).cast("int").alias("block_step"),
+            *[(F.coalesce(f"_g_{c}", c) if c in slots.columns else F.col(f"_g_{c}")).alias(c) for c in exog]))
+        blocks = (ahead.agg(F.max("_block")).first()[0] or 0) + 1
+        found = None
+        for b in range(blocks):
+            done = stage(self._block(known, ahead.filter(F.col("_block") == b), exog))
+            found = done if found is None else found.unionByName(done)
+            if b + 1 < blocks:
+                known = known.unionByName(done.select(*known.columns)).filter(F.col("_k") >= (b + 1) * SEASON - TAIL)
+        return found.filter("_wanted").select(*keys.key, F.lit(self.name).alias("model"), F.col(y).alias("yhat"))
+
+    def _block(self, known: DataFrame, ahead: DataFrame, exog: Sequence[str]) -> DataFrame:
+        """Predicted targets of one block: mean of the members plus the value one season earlier."""
+        keys, y = self.keys, self.keys.target
+        past = _state(known, keys).withColumn("_future", F.lit(False))
+        rows = ahead.withColumn("_future", F.lit(True)).unionByName(past, allowMissingColumns=True)
+        rows = shift_columns(rows, keys, SHIFTS | {"_season_ago": (y, SEASON)}).filter("_future")
+        rows = _from_block_start(rows, keys)
+        needed = [f for f in LAG_FEATURES if f in self.features]
+        whole = F.lit(True)
+        for c in [*needed, "_season_ago"]:
+            whole = whole & F.col(c).isNotNull()
+        kept = ["_k", "_wanted", "_season_ago", "_whole"]
+        scored = _assemble(rows.withColumn("_whole", whole), keys, self.features, kept)
+        members = []
+        for i, model in enumerate(self.members.values()):
+            scored = model.transform(scored).withColumnRenamed("prediction", f"_p{i}")
+            members.append(F.col(f"_p{i}"))
+        mean = sum(members[1:], members[0]) / len(members)
+        return scored.select(*keys.key, "_k", "_wanted", F.when(F.col("_whole"), mean + F.col("_season_ago")).alias(y))
 
     def save(self, path: str) -> None:
         """Write the fitted members, the scale and what else :meth:`load` needs below ``path``."""
@@ -319,8 +274,8 @@ def fit_variant(prepared: DataFrame, keys: SeriesKeys, variant: str, params: Tre
     if variant == "stable":
         features, rows, label = exog, prepared, keys.target
     else:
-        features = [*exog, *LAG_FEATURES]
-        rows = lag_frame(prepared, keys).na.drop(subset=["_z", *LAG_FEATURES])
+        features = [*exog, *BLOCK_FEATURES]
+        rows = block_frame(prepared, keys).na.drop(subset=["_z", *LAG_FEATURES])
         label = "_z"
     ensure_checkpoint_dir(prepared.sparkSession)
     training = _assemble(rows, keys, features, [label]).select(
@@ -340,6 +295,18 @@ def fit_variant(prepared: DataFrame, keys: SeriesKeys, variant: str, params: Tre
     return Forecaster(name, variant, keys, features, members, scale)
 
 
+def fit_variants(prepared: DataFrame, keys: SeriesKeys, variants: Sequence[str] = VARIANTS, params: TreeParams = TreeParams(),
+                 parallelism: int = 4) -> list[Forecaster]:
+    """All variants, their fits submitted from a few driver threads (a fit is a row of short jobs)."""
+    prepared = stage(prepared)
+    pool = ThreadPool(max(1, min(parallelism, len(variants))))
+    try:
+        return pool.map(inheritable_thread_target(prepared.sparkSession)(
+            lambda v: fit_variant(prepared, keys, v, params)), list(variants))
+    finally:
+        pool.close()
+
+
 def draw_params(trials: int, seed: int = 42, ranges: dict = SEARCH_RANGES) -> list[TreeParams]:
     """Seeded random draws from the search ranges."""
     rng = random.Random(seed)
@@ -391,6 +358,18 @@ def evaluate(models: Sequence[Forecaster], test: DataFrame, history: DataFrame,
     return align(table, test, keys)
 
 
+def candidate_predictions(models: Sequence[Forecaster], test: DataFrame, history: DataFrame, keys: SeriesKeys,
+                          season: int = SEASON, blended: str = "blend", baseline: str = BASELINE_NAME) -> DataFrame:
+    """Every model, the mean of all of them and the seasonal naive baseline: ``(ids, time, model, yhat)``."""
+    found = stage(evaluate(models, test, history, keys).select(*keys.key, "model", "yhat"))
+    both = blend(found, keys, [m.name for m in models], blended)
+    reach = bounds(history, keys).select(*keys.ids, shift_time(F.col("last_ts"), keys.step).alias("first_ts"))
+    slots = series_join(reach, bounds(test, keys).select(*keys.ids, "last_ts"), keys.ids)
+    horizon = slots.agg(F.max((epoch_seconds(F.col("last_ts")) - epoch_seconds(F.col("first_ts"))) / keys.step)).first()[0]
+    naive = seasonal_naive(history, keys, season, int(horizon or 0) + 1).withColumn("model", F.lit(baseline))
+    return found.unionByName(both).unionByName(null_safe_join(naive, test.select(*keys.key), keys.key, "left_semi"))
+
+
 def known_future(history: DataFrame, known: DataFrame, keys: SeriesKeys, horizon: int,
                  cols: Sequence[str]) -> DataFrame:
     """The next ``horizon`` slots with what is known of them; gaps are filled
@@ -399,7 +378,3 @@ def known_future(history: DataFrame, known: DataFrame, keys: SeriesKeys, horizon
     joined = frame.join(known.select(*keys.key, *cols), keys.key, "left")
     return fill_both(joined, keys, cols).na.fill(0.0, list(cols))
 
-
-# Functions sent to tasks carry this module's code along, so that executors need
-# no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
