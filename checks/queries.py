@@ -22,7 +22,9 @@ from demandspark.operators import contracts as con
 from demandspark.operators import decompose, dedup, drift, fill, lags, loess, metrics, naive, outliers, profile
 from demandspark.operators import quantiles, rolling, select, spine, split, stats, trees
 from demandspark.operators.chunks import row_position, running_sum, stage, with_chunk
-from demandspark.operators.impute import ImputeConfig, impute_series
+from demandspark.operators.impute import ImputeConfig, impute_series, imputed_count
+from demandspark.plans import runs
+from demandspark.plans.config import RunConfig
 from demandspark.sources import grid, pages, tables
 from demandspark.streaming import jobs
 
@@ -974,3 +976,141 @@ def time_since_previous_raw(s, d):
     """Events as they come, many to a slot."""
     rows = table(s, d, "events").groupBy("event_type", "ts").agg(F.min("event_id").alias("event_id"))
     return lags.time_since_previous(rows, K).select("event_type", "event_id", "seconds_since_previous")
+
+
+# ---- runs over files -------------------------------------------------------
+
+SHEET_PATHS = r"year=([^/]+)/month=([^/]+)/sheet=([^/]+)/"
+
+
+def month_sheet_lines(s: SparkSession, d: str) -> DataFrame:
+    """Orders as one sheet per month, line by line; those of July have a wrong title."""
+    c, o = con.SheetContract(), table(s, d, "orders")
+    day = F.col("o_orderdate")
+    month = F.element_at(F.array(*[F.lit(m) for m in scalar.MONTHS]), F.month(day))
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    name = F.concat(F.lit("F_01-"), two(F.month(day)), F.lit("-"), F.year(day).cast("string"))
+    o = o.select(F.year(day).alias("year"), month.alias("month"), name.alias("sheet"), "o_orderkey", "o_custkey", "o_totalprice")
+    clock = lambda n: F.concat(two(F.floor(n / 4)), F.lit(":"), two(F.pmod(n, F.lit(4)) * 15))
+    slot = F.pmod("o_orderkey", F.lit(96))
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    rows = o.select("year", "month", "sheet", F.col("o_orderkey").alias("at"), F.concat_ws(
+        ",", F.lit(""), F.concat(clock(slot), F.lit(" - "), clock(F.pmod(slot + 1, F.lit(96)))), F.lit(""), F.col("o_custkey").cast("string"), price).alias("line"))
+    title = F.when(F.col("month") == "Jul", F.lit("Other")).otherwise(F.lit(c.title))
+    head = [title, F.lit(""), F.lit("Date,,,,"), F.lit(f",,,{c.forecast_heading},{c.actual_heading}"), F.lit(f",{c.period_heading},,,")]
+    heads = o.select("year", "month", "sheet").distinct().select(
+        "year", "month", "sheet", F.posexplode(F.array(*head)).alias("at", "line"))
+    return rows.unionByName(heads.withColumn("at", F.col("at").cast("bigint") - len(head)))
+
+
+def write_sheets(lines: DataFrame, path: str) -> None:
+    """One file per sheet; sheets that do not occur stay as they are."""
+    keys = ["year", "month", "sheet"]
+    (lines.repartition(*keys).sortWithinPartitions(*keys, "at").select(*keys, "line").write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).text(path))
+
+
+@query
+def incremental_ingest(s, d):
+    """Sheets taken in, one of them changed, taken in again: rows per sheet and what the second run read."""
+    path, lines = _scratch(s), stage(month_sheet_lines(s, d))
+    cfg = RunConfig(root=f"{path}/out", sheets=f"{path}/in", key_pattern=SHEET_PATHS)
+    write_sheets(lines, cfg.sheets)
+    first = runs.ingest(s, cfg)
+    changed = lines.where("sheet = 'F_01-03-1995'").withColumn(
+        "line", F.when(F.col("at") >= 0, F.regexp_replace("line", r",([0-9.]+)$", ",-$1")).otherwise(F.col("line")))
+    write_sheets(changed, cfg.sheets)
+    second = runs.ingest(s, cfg)
+    found = runs.read_primary(s, cfg).groupBy("source_key").agg(
+        F.count(F.lit(1)).alias("n_rows"), tidy(F.sum(cfg.contract.actual_name), 2).alias("total"))
+    return found.select("*", F.lit(first["sheets_read"]).cast("bigint").alias("first_read"),
+                        F.lit(second["sheets_read"]).cast("bigint").alias("second_read"),
+                        F.lit(second["raw_partitions_invalid"]).cast("bigint").alias("refused"))
+
+
+@query
+def large_sheets(s, d):
+    """Line items as one large sheet per return flag, with exact row numbers from its blocks."""
+    path = _scratch(s)
+    lines = table(s, d, "lineitem").select(
+        "l_returnflag", "l_orderkey", "l_linenumber", F.concat_ws(",", "l_orderkey", "l_linenumber", "l_quantity").alias("line"))
+    (lines.repartition("l_returnflag").sortWithinPartitions("l_returnflag", "l_orderkey", "l_linenumber", "line")
+          .select("l_returnflag", "line").write.partitionBy("l_returnflag").text(path))
+    g = grid.read_large_sheets(s, path, pattern=r"l_returnflag=([^/]+)/")
+    return g.select("partition_key", "row_idx", F.get("cells", F.lit(0)).cast("bigint").alias("l_orderkey"),
+                    F.get("cells", F.lit(1)).cast("bigint").alias("l_linenumber"), F.size("cells").cast("bigint").alias("n_cells"))
+
+
+class _Rows:
+    """A stand-in for a model: saving it writes its forecasts, or fails."""
+
+    def __init__(self, rows: DataFrame, fails: bool = False) -> None:
+        self.rows, self.fails = rows, fails
+
+    def save(self, path: str) -> None:
+        tables.write_table(self.rows, path)
+        if self.fails:
+            raise OSError("the store went away")
+
+
+@query
+def promotion(s, d):
+    """A weak model promoted, then the best one, then a promotion that fails; rows of the version in use."""
+    path = _scratch(s)
+    train, test = parts(s, d)
+    found = stage(predictions(train))
+    errors = stage(metrics.metric_rows(metrics.forecast_errors(metrics.align(found, test, K), K, ["model"]), ["model"]))
+    scores = stage(select.model_scores(errors, test, "y"))
+    models = {r["model"]: _Rows(found.where(F.col("model") == r["model"])) for r in scores.collect()}
+    worst = scores.orderBy(F.col("score").desc(), F.col("model").desc()).first()["model"]
+    select.promote(scores, {worst: models[worst]}, path)
+    best = select.promote(scores, models, path)
+    try:
+        select.promote(scores, {best: _Rows(found, fails=True)}, path)
+    except OSError:
+        pass
+    now = select.promoted(s, path)
+    record = s.read.json(f"{now['folder']}/model-metadata").select("best_model_name", "score").first()
+    rows = tables.read_table(s, f"{now['folder']}/model", found.schema)
+    return rounded(rows.select("event_type", "ts", "model", "yhat", F.lit(now["sequence"]).alias("version"),
+                               F.lit(record["best_model_name"]).alias("recorded"), F.lit(record["score"]).alias("score")))
+
+
+@query
+def stream_keep_least(s, d):
+    """The event of least id per type and quarter of an hour, though later ids arrive first."""
+    out, e = _scratch(s), table(s, d, "events").select("event_type", floor_time(F.col("ts"), 900).alias("ts"), "event_id", "value")
+    middle = e.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    for name, part in (("a", F.col("event_id") > middle), ("b", F.col("event_id") <= middle)):
+        e.where(part).coalesce(1).write.parquet(f"{out}/in/{name}")
+    rows = s.readStream.schema(e.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    best = jobs.keep_least(rows, ["event_type", "ts"], "ts", ["event_id"], "1000 days")
+    jobs.upsert_to(best, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    got = jobs.latest(s.read.parquet(f"{out}/rows"), ["event_type", "ts"])
+    return got.select("event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "value")
+
+
+@query
+def null_at_keys(s, d):
+    """Values of the slots that a table names set to null, a series without a name included."""
+    rows = base(s, d).withColumn("event_type", F.when(F.col("event_type") != "click", F.col("event_type")))
+    bad = rows.where((F.hour("ts") == 3) & (F.minute("ts") == 0)).select("event_type", "ts")
+    return fill.null_at_table(rows, K, bad)
+
+
+@query
+def imputed_counts(s, d):
+    """Rows that a fill added, per series."""
+    rows = regular(s, d).withColumn("is_imputed", F.col("y").isNull())
+    return imputed_count(rows, K)
+
+
+@query
+def quoted_cells(s, d):
+    """Cells that hold commas and doubled quotes."""
+    q = F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit(', said ""'), F.col("o_orderstatus"), F.lit('"""'))
+    files = table(s, d, "orders").groupBy("o_custkey").agg(F.concat_ws("\n", F.sort_array(F.collect_list(
+        F.concat_ws(",", F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), q)))).alias("value"))
+    g = grid.explode_sheets(files.select(F.col("o_custkey").cast("string").alias("partition_key"), "value"), width=2)
+    return g.select("partition_key", "row_idx", F.get("cells", F.lit(0)).alias("order_text"), F.get("cells", F.lit(1)).alias("note"))

@@ -583,3 +583,22 @@ s AS (SELECT model, sqrt(mape * rmse / (SELECT avg(o_totalprice) FROM orders)) A
 SELECT arg_min(model, score) AS best_model_name, 'candidate' AS model_type, {r('min(score)')} AS score, count(*) AS n_models FROM s"""
 SQL["features_without_gaps"] = f"""WITH {REG}, x AS ({lagged('reg', LAG_NAMES)}) SELECT event_type, ts,
  """ + ", ".join(f"coalesce({c}, 0.0)::DOUBLE AS {c}" for c in ("y", *LAG_NAMES)) + " FROM x"
+
+_KEY = """year(o_orderdate) || '/' || strftime(o_orderdate, '%b') || '/F_01-' || strftime(o_orderdate, '%m-%Y')"""
+SQL["incremental_ingest"] = f"""WITH o AS (SELECT *, {_KEY} AS source_key, month(o_orderdate) = 7 AS bad FROM orders),
+n AS (SELECT count(DISTINCT source_key) AS all_sheets, count(DISTINCT source_key) FILTER (bad) AS refused FROM o)
+SELECT source_key, count(*) AS n_rows, {r("sum(CASE WHEN source_key = '1995/Mar/F_01-03-1995' THEN -o_totalprice ELSE o_totalprice END)", 2)} AS total,
+ first(all_sheets) AS first_read, 1::BIGINT AS second_read, first(refused) AS refused FROM o, n WHERE NOT bad GROUP BY 1"""
+SQL["large_sheets"] = """SELECT l_returnflag AS partition_key,
+ row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) - 1 AS row_idx,
+ CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, 3::BIGINT AS n_cells FROM lineitem"""
+SQL["promotion"] = SCORES + f""", best AS (SELECT * FROM scores s ORDER BY s.score, s.model LIMIT 1)
+SELECT event_type, ts, long.model, {r('yhat')} AS yhat, 2::BIGINT AS version, best.model AS recorded, {r('score')} AS score
+FROM long JOIN best USING (model)"""
+SQL["stream_keep_least"] = f"""SELECT event_type, time_bucket({STEP}, ts) AS ts, min(event_id) AS event_id, arg_min(value, event_id) AS value
+ FROM events GROUP BY 1, 2"""
+SQL["null_at_keys"] = f"""WITH {BASE} SELECT CASE WHEN event_type <> 'click' THEN event_type END AS event_type, ts,
+ CASE WHEN NOT (hour(ts) = 3 AND minute(ts) = 0) THEN y END AS y FROM base"""
+SQL["imputed_counts"] = f"WITH {REG} SELECT event_type, count(*) FILTER (y IS NULL) AS imputed_values_count FROM reg GROUP BY 1"
+SQL["quoted_cells"] = """SELECT CAST(o_custkey AS VARCHAR) AS partition_key, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS row_idx,
+ lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS order_text, o_orderpriority || ', said "' || o_orderstatus || '"' AS note FROM orders"""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
-from demandspark.operators.chunks import series_join, stage
+from demandspark.operators.chunks import null_safe_join, series_join, stage
 from demandspark.operators.quantiles import quantile_columns
 from demandspark.operators.rolling import rolling_trend
 from demandspark.operators.spine import future_frame
@@ -57,7 +57,7 @@ def decomposition_forecast(parts: DataFrame, keys: SeriesKeys, periods: Sequence
     for p in sorted(periods):
         seasons = parts.groupBy(*keys.ids, _phase(keys, p).alias("_phase")).agg(
             F.first(f"seasonal_{p}", ignorenulls=True).alias("_season"))
-        out = out.withColumn("_phase", _phase(keys, p)).join(seasons, [*keys.ids, "_phase"], "left")
+        out = null_safe_join(out.withColumn("_phase", _phase(keys, p)), seasons, [*keys.ids, "_phase"], "left")
         out = out.withColumn("yhat", F.col("yhat") + F.coalesce(F.col("_season"), F.lit(0.0))).drop("_phase", "_season")
     return out.select(*keys.key, "horizon_step", "yhat", (F.col("yhat") + F.col("_lo")).alias("yhat_low"),
                       (F.col("yhat") + F.col("_hi")).alias("yhat_high"))

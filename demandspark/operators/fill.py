@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
-from demandspark.operators.chunks import carry, drop_helpers, series_join, stage, with_chunk
+from demandspark.operators.chunks import carry, drop_helpers, null_safe_join, series_join, stage, with_chunk
 from demandspark.operators.rolling import rolling_trend
 from demandspark.operators.spine import insert_missing
 
@@ -103,7 +103,7 @@ def null_at(df: DataFrame, keys: SeriesKeys, times: Sequence) -> DataFrame:
 def null_at_table(df: DataFrame, keys: SeriesKeys, bad: DataFrame) -> DataFrame:
     """Same for a table of bad ``(ids, time)`` keys of any size."""
     marks = bad.select(*keys.key).distinct().withColumn("_bad", F.lit(True))
-    joined = df.join(marks, keys.key, "left")
+    joined = null_safe_join(df, marks, keys.key, "left")
     fixed = F.when(F.col("_bad").isNull(), F.col(keys.target)).alias(keys.target)
     return joined.select(*[fixed if c == keys.target else F.col(c) for c in df.columns])
 

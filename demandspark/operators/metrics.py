@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
+from demandspark.operators.chunks import null_safe_join
 
 
 def to_long(predictions: DataFrame, keys: SeriesKeys, models: Sequence[str]) -> DataFrame:
@@ -25,7 +26,7 @@ def blend(predictions: DataFrame, keys: SeriesKeys, members: Sequence[str], name
 
 def align(predictions: DataFrame, actuals: DataFrame, keys: SeriesKeys, how: str = "inner") -> DataFrame:
     """Predictions with the actual value at the same series and time."""
-    return predictions.join(actuals.select(*keys.key, keys.target), keys.key, how)
+    return null_safe_join(predictions, actuals.select(*keys.key, keys.target), keys.key, how)
 
 
 def forecast_errors(aligned: DataFrame, keys: SeriesKeys, by: Sequence[str] = ()) -> DataFrame:

@@ -29,7 +29,7 @@ def seasonal_naive(train: DataFrame, keys: SeriesKeys, season: int, horizon: int
     back = F.ceil(F.col("horizon_step") / F.lit(season)).cast("bigint") * F.lit(-season * keys.step)
     frame = frame.withColumn("_source", shift_time(F.col(keys.time), back))
     source = train.select(*keys.ids, F.col(keys.time).alias("_source"), F.col(keys.target).alias("yhat"))
-    return frame.join(source, [*keys.ids, "_source"], "left").select(
+    return null_safe_join(frame, source, [*keys.ids, "_source"], "left").select(
         *keys.key, F.lit(MODEL).alias("model"), F.col("yhat").cast("double"))
 
 

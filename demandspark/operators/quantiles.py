@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.operators.chunks import series_join
+from demandspark.operators.chunks import null_safe_join, series_join
 
 BUCKETS = 256  # a power of two
 ACCURACY = 10000
@@ -81,7 +81,7 @@ def exact_quantiles(df: DataFrame, ids: Sequence[str], value: str, qs: Sequence[
     targets = parts.withColumn("_t", F.explode(wanted)).filter(
         (F.col("_t.r") >= F.col("_before")) & (F.col("_t.r") < F.col("_before") + F.col("_c"))
     ).groupBy(*ids, "_b").agg(F.first("_before").alias("_before"), F.collect_list("_t").alias("_ts"))
-    inside = placed.join(targets, [*ids, "_b"])
+    inside = null_safe_join(placed, targets, [*ids, "_b"])
     upto = F.col("_before") + F.sum("_n").over(
         Window.partitionBy(*ids, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
     hits = inside.select(*ids, "_v", "_n", "_ts", upto.alias("_upto"))
@@ -132,7 +132,7 @@ def cumulative_counts(reference: DataFrame, points: DataFrame, ids: Sequence[str
     parts = parts.select(*ids, "_b", before.alias("_before"))
     upto = F.col("_before") + F.sum("_r").over(
         Window.partitionBy(*ids, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    return placed.join(parts, [*ids, "_b"]).select(
+    return null_safe_join(placed, parts, [*ids, "_b"]).select(
         *ids, F.col("_v").alias(value), upto.alias("at_or_below"), (upto - F.col("_r")).alias("below"),
         F.col("_total").alias("n_reference"), "_p",
     ).filter("_p").drop("_p")

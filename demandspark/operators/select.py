@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
@@ -75,32 +78,61 @@ def compare_models(predictions: DataFrame, actuals: DataFrame, keys: SeriesKeys,
         F.coalesce(F.col("model") == F.col("_best"), F.lit(False)).alias("is_best"))
 
 
-def selection_record(scores: DataFrame, kinds: dict[str, str] | None = None) -> DataFrame:
-    """One row for the JSON record: the winner and what it was compared with.
+def selection_record(scores: DataFrame, kinds: dict[str, str] | None = None, promoted_at: str | None = None) -> DataFrame:
+    """One row for the JSON record: the winner and what it was compared with, by model name.
 
-    Scores have one row per model, so the list is as short as the set of models.
+    Scores have one row per model, so the map is as short as the set of models.
     """
     best = best_model(scores)
-    everything = scores.agg(F.sort_array(F.collect_list(F.struct(*scores.columns))).alias("all_compared_models"))
+    figures = F.struct("mape", "rmse", "nrmse")
+    entries = F.sort_array(F.collect_list(F.struct("model", F.struct("score", figures.alias("metrics")))))
+    everything = scores.agg(F.map_from_entries(entries).alias("all_compared_models"))
     kind = F.lit("candidate")
     for name, value in (kinds or {BASELINE_NAME: "baseline"}).items():
         kind = F.when(F.col("model") == name, F.lit(value)).otherwise(kind)
     return best.select(
         F.col("model").alias("best_model_name"), kind.alias("model_type"),
-        F.lit("Geometric Mean of MAPE and NRMSE").alias("selection_metric"), "score",
-        F.struct("mape", "rmse", "nrmse").alias("metrics"), everything.scalar().alias("all_compared_models"))
+        F.lit("Geometric Mean of MAPE and NRMSE").alias("selection_metric"), "score", figures.alias("metrics"),
+        F.lit(promoted_at).cast("string").alias("promotion_timestamp"), everything.scalar().alias("all_compared_models"))
 
 
-def promote(scores: DataFrame, models: dict[str, object], path: str) -> str:
-    """Save the winning model and its record under ``path``; returns the name.
+POINTER = "sequence bigint, version string, model string, promoted_at string"
 
-    ``models`` maps a name to an object with ``save(path)``. Models without an
-    entry do not compete. Reads the one winning row.
+
+def promoted(spark: SparkSession, path: str) -> Row | None:
+    """The pointer to the version in use, with ``folder`` (model and record below it); None before the first.
+
+    Pointers are only ever added, so a reader sees the old one or the new one.
+    """
+    try:
+        pointers = spark.read.schema(POINTER).json(f"{path}/pointers")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    newest = pointers.agg(F.max(F.struct("sequence", "promoted_at", "version", "model")).alias("p")).filter("p is not null")
+    return newest.select("p.*", F.concat(F.lit(f"{path}/versions/"), F.col("p.version")).alias("folder")).first()
+
+
+def promote(scores: DataFrame, models: dict[str, object], path: str, at: str | None = None) -> str:
+    """Save the winning model and its record as a new version under ``path``; returns the name.
+
+    ``models`` maps a name to an object with ``save(path)``. Models without an entry do not
+    compete. The version is written whole in a folder of its own, then one pointer to it is
+    added: a failure anywhere before that leaves the version in use as it was, and model
+    and record always belong together.
     """
+    spark = scores.sparkSession
     usable = scores.filter(F.col("model").isin(list(models)))
     winner = best_model(usable).first()
     if winner is None:
         raise ValueError("no model with complete metrics to choose from")
-    models[winner["model"]].save(f"{path}/model")
-    write_document(selection_record(usable), f"{path}/model-metadata")
+    at = at or datetime.now(timezone.utc).isoformat()
+    before = promoted(spark, path)
+    sequence = 1 if before is None else before["sequence"] + 1
+    version = f"{sequence:08d}-{uuid.uuid4().hex[:8]}"
+    models[winner["model"]].save(f"{path}/versions/{version}/model")
+    write_document(selection_record(usable, promoted_at=at), f"{path}/versions/{version}/model-metadata")
+    pointer = spark.createDataFrame([(sequence, version, winner["model"], at)], POINTER)
+    pointer.coalesce(1).write.mode("append").json(f"{path}/pointers")
     return winner["model"]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
-from demandspark.operators.chunks import chunk_window, series_join, with_halo
+from demandspark.operators.chunks import chunk_window, null_safe_join, series_join, with_halo
 from demandspark.sources.tables import cut_lineage
 
 # MacKinnon (1994) response surface for the t statistic with a
@@ -131,7 +131,7 @@ def phillips_perron(df: DataFrame, keys: SeriesKeys, lags: int = 96, alpha: floa
     terms = rows.selectExpr(*keys.ids, "_own", "_u * _u as _g0", f"_u * ({weighted}) as _gk")
     cov = terms.filter("_own").groupBy(*keys.ids).agg(F.sum("_g0").alias("_g0"), F.sum("_gk").alias("_gk"))
     n = F.col("_n")
-    both = fit.join(cov, list(keys.ids))
+    both = null_safe_join(fit, cov, keys.ids)
     gamma0 = F.col("_g0") / n
     lam2 = (F.col("_g0") + F.col("_gk")) / n
     s2 = F.col("_g0") / (n - 2)

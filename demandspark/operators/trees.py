@@ -29,7 +29,7 @@ from demandspark.keys import SeriesKeys, epoch_seconds, shift_time
 from demandspark.operators.chunks import null_safe_join, series_join, stage
 from demandspark.operators.dedup import keep_last
 from demandspark.operators.fill import fill_both
-from demandspark.operators.lags import shift_columns
+from demandspark.operators.lags import seasonal_difference, shift_columns
 from demandspark.operators.metrics import align, blend, forecast_errors
 from demandspark.operators.naive import seasonal_naive
 from demandspark.operators.quantiles import quantile_columns
@@ -233,9 +233,19 @@ class Forecaster:
         return self.predict(add_calendar(frame, self.keys, candidate=True), history)
 
 
-def series_scale(prepared: DataFrame, keys: SeriesKeys) -> DataFrame:
-    """Median and distance of the quartiles of each series' target (1 where that is 0)."""
-    q = quantile_columns(prepared, keys.ids, keys.target, {"_q1": 0.25, "_level": 0.5, "_q3": 0.75}, "linear")
+def series_scale(prepared: DataFrame, keys: SeriesKeys, season: int | None = None) -> DataFrame:
+    """Median and distance of the quartiles of each series' target (1 where that is 0).
+
+    With ``season`` the quartiles are those of the difference to one season earlier: trees
+    for absolute loss go in steps of the learning rate, so what they learn must be of
+    about unit size.
+    """
+    wanted = {"_q1": 0.25, "_level": 0.5, "_q3": 0.75}
+    q = quantile_columns(prepared, keys.ids, keys.target, wanted, "linear")
+    if season:
+        change = seasonal_difference(prepared.select(*keys.key, keys.target), keys, season, "_change")
+        edges = quantile_columns(change, keys.ids, "_change", {"_q1": 0.25, "_q3": 0.75}, "linear")
+        q = series_join(q.select(*keys.ids, "_level"), edges, keys.ids, "left")
     spread = F.col("_q3") - F.col("_q1")
     return q.select(*keys.ids, F.col("_level").cast("double").alias("_level"),
                     F.when(spread > 0, spread).otherwise(F.lit(1.0)).alias("_spread"))
@@ -269,7 +279,7 @@ def fit_variant(prepared: DataFrame, keys: SeriesKeys, variant: str, params: Tre
         raise ValueError(f"unknown variant {variant!r}")
     name = name or variant
     exog = exogenous(prepared)
-    scale = stage(series_scale(prepared, keys))
+    scale = stage(series_scale(prepared, keys, None if variant == "stable" else SEASON))
     prepared = scaled(prepared, scale, keys)
     if variant == "stable":
         features, rows, label = exog, prepared, keys.target
@@ -375,6 +385,6 @@ def known_future(history: DataFrame, known: DataFrame, keys: SeriesKeys, horizon
     """The next ``horizon`` slots with what is known of them; gaps are filled
     forward, then backward, then with 0."""
     frame = future_frame(history, keys, horizon).select(*keys.key)
-    joined = frame.join(known.select(*keys.key, *cols), keys.key, "left")
+    joined = null_safe_join(frame, known.select(*keys.key, *cols), keys.key, "left")
     return fill_both(joined, keys, cols).na.fill(0.0, list(cols))
 

@@ -9,6 +9,7 @@ from demandspark.keys import SeriesKeys
 from demandspark.operators.contracts import SheetContract
 from demandspark.operators.impute import ImputeConfig
 from demandspark.operators.trees import SEARCH_RANGES, VARIANTS
+from demandspark.sources.grid import KEY_PATTERN
 
 
 @dataclass(frozen=True)
@@ -17,6 +18,7 @@ class RunConfig:
     sheets: str
     keys: SeriesKeys = SeriesKeys(ids=("unique_id",), time="timestamp", target="actual_demand_mw", step=900)
     series_id: str = "grid_1"
+    key_pattern: str = KEY_PATTERN
     contract: SheetContract = SheetContract()
     impute: ImputeConfig = ImputeConfig()
     bad_times: tuple[datetime, ...] = (datetime(2024, 11, 21, 14, 45), datetime(2025, 3, 24, 16, 0))

@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandspark.operators import contracts as C
+from demandspark.operators.chunks import null_safe_join, series_join, stage
 from demandspark.operators.drift import drift_report
 from demandspark.operators.impute import impute_series
 from demandspark.operators.metrics import align, forecast_errors, history_rows, metric_rows
@@ -17,25 +19,69 @@ from demandspark.operators.spine import insert_missing
 from demandspark.operators.split import split_by_horizon
 from demandspark.operators.trees import evaluate, fit_variant, prepare_test, prepare_training, search
 from demandspark.plans.config import RunConfig
-from demandspark.sources.grid import read_sheets
-from demandspark.sources.tables import METRICS, append_metrics, latest_metrics, next_step, read_table, write_table
+from demandspark.sources.grid import list_sheets, read_sheets
+from demandspark.sources.tables import (
+    METRICS, append_metrics, latest_metrics, next_step, read_if_there, read_table, write_keyed, write_table)
+
+
+MANIFEST = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("size", T.LongType()),
+    T.StructField("modified", T.TimestampType()), T.StructField("partition_key", T.StringType())])
+CHECKS = T.StructType([
+    T.StructField("is_valid", T.BooleanType()), T.StructField("reason", T.StringType()),
+    T.StructField("data_rows", T.LongType()), T.StructField("bad_rows", T.LongType()),
+    T.StructField("date_cell", T.StringType()), T.StructField("sheet_date", T.TimestampNTZType()),
+    T.StructField("partition_key", T.StringType())])
+REMOVED = "removed"
+
+
+def sheet_checks(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """One row per sheet that is there: valid or not, and why."""
+    return read_if_there(spark, cfg.path("checks"), CHECKS).filter(F.coalesce(F.col("reason") != REMOVED, F.lit(True)))
+
+
+def read_primary(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """Rows of the sheets that are there and passed; what an earlier state of a sheet left does not count."""
+    fields = [*cfg.contract.primary_schema().fields, T.StructField("source_key", T.StringType())]
+    rows = read_if_there(spark, cfg.path("primary"), T.StructType(fields))
+    good = sheet_checks(spark, cfg).filter("reason is null").select(F.col("partition_key").alias("source_key"))
+    return series_join(rows, good, ["source_key"], "left_semi")
 
 
 def ingest(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
-    """Sheets to the primary table; refused sheets to quarantine."""
-    write_table(read_sheets(spark, cfg.sheets), cfg.path("grid"))
-    grid = read_table(spark, cfg.path("grid"), C.GRID)
-    write_table(C.check_sheets(grid, cfg.contract), cfg.path("checks"))
-    checks = read_table(spark, cfg.path("checks"))
-    write_table(C.quarantine(checks), cfg.path("quarantine"))
-    write_table(C.to_primary(grid, checks, cfg.contract), cfg.path("primary"))
-    C.require_primary(read_table(spark, cfg.path("primary")).drop("source_key"), cfg.contract)
-    return C.counters(checks).first().asDict()
+    """Take in the sheets that are new, changed or gone since the last run.
+
+    The listing (path, size, time of change) is compared with the manifest of the last run.
+    Only sheets that differ are read and checked, and only their parts of the tables are
+    replaced: first rows, then checks, the manifest last. After a failure in between the
+    same sheets count as changed again, and writing them twice changes nothing. The driver
+    holds the changed paths, which is less than the listing that any read of them makes.
+    """
+    listing = stage(list_sheets(spark, cfg.sheets, cfg.key_pattern))
+    manifest = read_if_there(spark, cfg.path("manifest"), MANIFEST)
+    changed = null_safe_join(listing, manifest, ["partition_key", "path", "size", "modified"], "left_anti")
+    gone = null_safe_join(manifest.filter("path is not null"), listing.select("partition_key"), ["partition_key"], "left_anti")
+    changed, gone = stage(changed), stage(gone)
+    paths = [r["path"] for r in changed.select("path").collect()]
+    if paths:
+        grid = stage(read_sheets(spark, paths, pattern=cfg.key_pattern))
+        checks = stage(C.check_sheets(grid, cfg.contract))
+        write_keyed(C.to_primary(grid, checks, cfg.contract), cfg.path("primary"), "source_key")
+        write_keyed(checks.select(*CHECKS.names), cfg.path("checks"), "partition_key")
+        write_keyed(changed.select(*MANIFEST.names), cfg.path("manifest"), "partition_key")
+    if not gone.isEmpty():
+        blank = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in (*CHECKS, *MANIFEST) if f.name != "partition_key"}
+        blank |= {"is_valid": F.lit(False).alias("is_valid"), "reason": F.lit(REMOVED).alias("reason")}
+        for schema, name in ((CHECKS, "checks"), (MANIFEST, "manifest")):
+            rows = gone.select(*[blank.get(c, F.col("partition_key")) for c in schema.names])
+            write_keyed(rows, cfg.path(name), "partition_key")
+    C.require_primary(read_primary(spark, cfg).drop("source_key"), cfg.contract)
+    return C.counters(sheet_checks(spark, cfg)).first().asDict() | {"sheets_read": len(paths)}
 
 
 def process(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
     """Primary table to repaired series, train and test parts."""
-    primary = read_table(spark, cfg.path("primary"))
+    primary = read_primary(spark, cfg)
     series = C.to_series(primary, cfg.keys, cfg.contract).withColumn("unique_id", F.lit(cfg.series_id))
     write_table(impute_series(insert_missing(series, cfg.keys), cfg.keys, cfg.impute, cfg.bad_times),
                 cfg.path("preprocessed"))

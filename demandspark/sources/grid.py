@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from demandspark.sources.tables import cut_lineage
+
 KEY_PATTERN = r"([^/]+/[^/]+/[^/]+)\.[A-Za-z]+$"
 
 
@@ -28,8 +33,45 @@ def explode_sheets(files: DataFrame, width: int | None = None) -> DataFrame:
     return rows.select("partition_key", F.col("row_idx").cast("bigint").alias("row_idx"), split_cells(F.col("_line"), width).alias("cells"))
 
 
-def read_sheets(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
-    """All sheet files under a directory (``<year>/<month>/<file>``) as one grid."""
-    files = (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-             .select(F.regexp_extract(F.col("_metadata.file_path"), KEY_PATTERN, 1).alias("partition_key"), "value"))
+def sheet_key(path: Column, pattern: str = KEY_PATTERN) -> Column:
+    """Key of a sheet file: the groups of ``pattern`` in its path, joined by slashes."""
+    return F.concat_ws("/", *[F.regexp_extract(path, pattern, i + 1) for i in range(re.compile(pattern).groups)])
+
+
+def list_sheets(spark: SparkSession, path: str, pattern: str = KEY_PATTERN) -> DataFrame:
+    """``(partition_key, path, size, modified)`` of the sheet files; nothing is read from them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(sheet_key(F.col("path"), pattern).alias("partition_key"), "path", F.col("length").alias("size"),
+                        F.col("modificationTime").alias("modified"))
+
+
+def read_sheets(spark: SparkSession, path: str | Sequence[str], width: int | None = None, pattern: str = KEY_PATTERN) -> DataFrame:
+    """All sheet files under a directory (``<year>/<month>/<file>``), or those listed, as one grid.
+
+    A file is read as one text, so quoted cells may hold line breaks; larger files are for
+    :func:`read_large_sheets`.
+    """
+    paths = path if isinstance(path, str) else list(path)
+    files = (spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+             .select(sheet_key(F.col("_metadata.file_path"), pattern).alias("partition_key"), "value"))
     return explode_sheets(files, width)
+
+
+def read_large_sheets(spark: SparkSession, path: str, width: int | None = None, pattern: str = KEY_PATTERN) -> DataFrame:
+    """The same grid with each file cut over many tasks.
+
+    Lines are read block by block. A line's number is its place in its block plus the lines
+    of the blocks before it in the file, which are counted, one row per block. Lines end at
+    a line feed, a carriage return or both. Runs a job: the lines are staged, as their places
+    must not change between two reads.
+    """
+    lines = spark.read.text(path, recursiveFileLookup=True).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), "value",
+        F.monotonically_increasing_id().alias("_mark"))
+    lines = cut_lineage(lines)
+    blocks = lines.groupBy("_file", "_block").agg(F.min("_mark").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    row = F.col("_before") + F.col("_mark") - F.col("_first")
+    return lines.join(blocks, ["_file", "_block"]).select(
+        sheet_key(F.col("_file"), pattern).alias("partition_key"), row.alias("row_idx"), split_cells(F.col("value"), width).alias("cells"))

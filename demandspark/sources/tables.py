@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,16 @@ def write_keyed(df: DataFrame, path: str, key: str) -> None:
        .partitionBy(key).parquet(path))
 
 
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table, or an empty one if nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """All keys as one table; a filter on the key column prunes directories."""
     return read_table(spark, path, schema)

@@ -43,6 +43,21 @@ def drop_repeats(samples: DataFrame, key: list[str], time: str, delay: str = "1
     return samples.withWatermark(time, delay).dropDuplicatesWithinWatermark(key)
 
 
+def keep_least(samples: DataFrame, key: list[str], time: str, order: list[str], delay: str = "1 hour") -> DataFrame:
+    """The row of each key that is first by ``order``, whatever order rows arrive in.
+
+    The stream's form of keeping the first row per key. ``key`` must hold ``time``. The state
+    of a key is its best row so far; a better one that arrives later is written as a
+    correction (:func:`upsert_to`, :func:`latest`), and the state goes when the watermark,
+    ``delay`` behind the latest time, has passed the key's.
+    """
+    if time not in key:
+        raise ValueError("key must hold the time column, so that state can expire")
+    rest = [c for c in samples.columns if c not in key]
+    best = F.min_by(F.struct(*rest), F.struct(*order))
+    return samples.withWatermark(time, delay).groupBy(*key).agg(best.alias("_row")).select(*key, "_row.*")
+
+
 def tumbling_means(samples: DataFrame, ids: list[str], time: str, values: list[str],
                    width: str = "15 minutes", delay: str = "30 minutes") -> DataFrame:
     """Mean of each value per key and window; late rows beyond ``delay`` are dropped."""

@@ -183,20 +183,6 @@ def test_decomposition_of_a_known_sum(series):
     assert all(abs(r["trend"] + r["seasonal_8"] + r["remainder"] - r["y"]) < 1e-9 for r in rows)
 
 
-def test_node_table_predicts_like_the_model(spark):
-    from pyspark.ml.feature import VectorAssembler
-
-    rng = np.random.default_rng(10)
-    x = rng.normal(size=(300, 3))
-    rows = [(*map(float, r), float(r[0] * 2 + (r[1] > 0))) for r in x]
-    df = spark.createDataFrame(rows, "a double, b double, c double, label double")
-    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
-    model = trees._tree_model(trees.TreeParams(trees=6, depth=4, min_rows=2)).fit(df)
-    table = trees.NodeTable.of(model)
-    for r in model.transform(df).collect()[:50]:
-        assert table.predict(np.array([r["a"], r["b"], r["c"]])) == pytest.approx(r["prediction"])
-
-
 @pytest.fixture(scope="module")
 def daily_pattern():
     rng = np.random.default_rng(11)
@@ -217,17 +203,66 @@ def test_variants_beat_the_mean(series, daily_pattern, variant):
         assert got["b"] == [None] * 96
 
 
-def test_recursion_agrees_with_a_frame_built_on_known_values(series, daily_pattern):
-    """One step ahead, the features of the recursion are those of the training frame."""
-    df, k = series({"a": daily_pattern}, chunk=700)
+def plain_block_forecast(model, y, exog, horizon):
+    """Slot by slot in one series: lags of a season or more are known, the others stay as at the block's start."""
+    from pyspark.ml.linalg import Vectors
+
+    y, made = list(y), []
+    for h in range(horizon):
+        n = len(y)
+        if h % 96 == 0:
+            z = np.array(y[96:]) - np.array(y[:-96])
+            mean = z[0]
+            for v in z[1:]:
+                mean = 0.5 * v + 0.5 * mean
+            start = {"lag_1": z[-1], "lag1_mean4": z[-4:].mean(), "lag1_ewm": mean}
+        z = np.array(y[96:]) - np.array(y[:-96])
+        at = len(z) - 96  # one season back, as the list has grown by the predicted slots
+        row = {**start, "lag_96": z[at], "lag_97": z[at - 1], "lag_672": z[len(z) - 672], "lag96_mean4": z[at - 3:at + 1].mean(),
+               "lag96_std8": z[at - 7:at + 1].std(ddof=1), "block_step": h % 96 + 1, **exog[h]}
+        x = Vectors.dense([float(row[f]) for f in model.features])
+        step = np.mean([m.predict(x) for m in model.members.values()])
+        made.append(step + y[n - 96])
+        y.append(made[-1])
+    return made
+
+
+@pytest.mark.parametrize("variant,horizon", [("anchored", 230), ("ensemble", 100)])
+def test_blocks_equal_a_loop_over_slots(series, daily_pattern, variant, horizon):
+    df, k = series({"a": daily_pattern, "b": 3 * daily_pattern[200:]}, chunk=700)
     whole = trees.prepare_training(df, k)
-    history, future = split.train_part(whole, k, 1), split.test_part(whole, k, 1)
-    model = trees.fit_variant(history, k, "anchored", trees.TreeParams(trees=4, learning_rate=0.3, depth=3))
-    ahead = model.predict(future, history).first()["yhat"]
-    last = split.test_part(trees.lag_frame(trees.scaled(whole, model.scale, k), k), k, 1)
-    direct = model.members["anchored"].transform(trees._assemble(last, k, model.features, [])).first()["prediction"]
-    before = add_lags(df, k, {"s": 96}).orderBy(F.desc("ds")).first()["s"]
-    assert ahead == pytest.approx(direct * model.scale.first()["_spread"] + before)
+    history, future = split.train_part(whole, k, horizon), split.test_part(whole, k, horizon)
+    model = trees.fit_variant(history, k, variant, trees.TreeParams(trees=5, learning_rate=0.3, depth=3))
+    got = column(model.predict(future, history), "yhat")
+    scale = {r["unique_id"]: r for r in model.scale.collect()}
+    known = [f for f in model.features if f not in trees.BLOCK_FEATURES]
+    for name in ("a", "b"):
+        level, spread = scale[name]["_level"], scale[name]["_spread"]
+        past = (np.array(column(history)[name]) - level) / spread
+        rows = sorted(future.filter(F.col("unique_id") == name).collect(), key=lambda r: r["ds"])
+        exog = [{f: float(r[f]) for f in known} for r in rows]
+        want = np.array(plain_block_forecast(model, past, exog, horizon)) * spread + level
+        assert got[name] == pytest.approx(list(want), rel=1e-9)
+
+
+def test_block_forecast_has_no_python_in_its_plan(series, daily_pattern):
+    df, k = series({"a": daily_pattern}, chunk=700)
+    history = trees.prepare_training(df, k)
+    model = trees.fit_variant(history, k, "anchored", trees.TreeParams(trees=2, depth=2))
+    known = trees.stage(trees.scaled(history, model.scale, k).select(*k.key, "y").withColumn("_k", F.lit(-1).cast("bigint")))
+    plan = trees._state(known, k)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_training_sees_what_a_forecast_sees(series, daily_pattern):
+    """The last block of the training frame has the features that a forecast of it would use."""
+    df, k = series({"a": daily_pattern}, chunk=700)
+    rows = sorted(trees.block_frame(trees.prepare_training(df, k), k).collect(), key=lambda r: r["ds"])[-96:]
+    z = np.array(daily_pattern[96:]) - np.array(daily_pattern[:-96])
+    assert [r["block_step"] for r in rows] == list(range(1, 97))
+    assert [r["lag_1"] for r in rows] == pytest.approx([z[-97]] * 96)
+    assert [r["lag1_mean4"] for r in rows] == pytest.approx([z[-100:-96].mean()] * 96)
+    assert [r["lag_96"] for r in rows] == pytest.approx(list(z[-192:-96]))
 
 
 def test_series_keep_their_own_level(series):
@@ -255,6 +290,29 @@ def test_a_future_that_starts_late_keeps_its_phase_and_a_model_can_be_loaded(spa
     assert column(again.predict(future, history), "yhat")["a"] == pytest.approx(got)
 
 
+def test_all_candidates_in_one_table(series, daily_pattern):
+    df, k = series({"a": daily_pattern, "b": 50 + daily_pattern[300:]}, chunk=700)
+    train, test = split.train_part(df, k, 96), split.test_part(df, k, 96)
+    prepared, future = trees.prepare_training(train, k), trees.prepare_test(test, k)
+    models = trees.fit_variants(prepared, k, ["stable", "anchored"], trees.TreeParams(trees=4, learning_rate=0.3, depth=3))
+    found = trees.candidate_predictions(models, future, prepared, k)
+    values = {}
+    for r in found.collect():
+        values.setdefault((r["unique_id"], r["ds"]), {})[r["model"]] = r["yhat"]
+    assert len(values) == 192
+    for v in values.values():
+        assert set(v) == {"stable", "anchored", "blend", select.BASELINE_NAME}
+        assert v["blend"] == pytest.approx((v["stable"] + v["anchored"]) / 2)
+    table = {r["model"]: r for r in select.compare_models(found, test, k).collect()}
+    assert [r["is_best"] for r in table.values()].count(True) == 1
+    best = min(table.values(), key=lambda r: (r["score"], r["model"]))
+    assert best["is_best"] and best["score"] == pytest.approx(math.sqrt(best["mape"] * best["nrmse"]))
+    for r in select.compare_models(found, test, k, ["unique_id"]).collect():
+        y = np.array(column(test)[r["unique_id"]])
+        yhat = np.array([values[key][r["model"]] for key in sorted(values) if key[0] == r["unique_id"]])
+        assert r["mae"] == pytest.approx(np.abs(y - yhat).mean()) and r["nrmse"] == pytest.approx(math.sqrt(((y - yhat) ** 2).mean()) / y.mean())
+
+
 def test_search_is_seeded_and_within_range(series, daily_pattern):
     draws = trees.draw_params(5, seed=1)
     assert draws == trees.draw_params(5, seed=1) != trees.draw_params(5, seed=2)

@@ -13,7 +13,7 @@ from demandspark.operators import fill, lags, outliers, rolling, spine
 from demandspark.operators.impute import ImputeConfig
 
 SF = "/root/testdata/sf0.001"
-SLOW = {n for n in entry.queries() if n.startswith("tree_")}
+SLOW = {n for n in entry.queries() if n.startswith(("tree_", "candidate_"))}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))

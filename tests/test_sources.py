@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -191,6 +192,7 @@ def test_plans_run_end_to_end(spark, tmp_path):
     import math
 
     from demandspark.operators.impute import ImputeConfig
+    from demandspark.operators.select import promoted
     from demandspark.operators.trees import SEARCH_RANGES
     from demandspark.plans.config import RunConfig
     from demandspark.plans.runs import weekly
@@ -204,9 +206,130 @@ def test_plans_run_end_to_end(spark, tmp_path):
         root=str(tmp_path / "out"), sheets=str(tmp_path / "in"), impute=ImputeConfig(trees=3), test_days=1,
         variants=("stable",), trials=1, search_ranges={**SEARCH_RANGES, "trees": (3, 4, "int"), "depth": (3, 4, "int")})
     counts = weekly(spark, cfg)
-    assert counts["ingest"] == {"raw_partitions_total": 11, "raw_partitions_valid": 11, "raw_partitions_invalid": 0}
+    assert counts["ingest"] == {"raw_partitions_total": 11, "raw_partitions_valid": 11, "raw_partitions_invalid": 0, "sheets_read": 11}
     assert counts["process"] == {"rows": 11 * 96, "imputed": 2}
     assert counts["best_model"] in ("Baseline_Seasonal_Naive", "stable")
     assert spark.read.parquet(cfg.path("test")).count() == 96
-    assert (tmp_path / "out" / "best" / "model").exists()
+    assert (Path(promoted(spark, cfg.path("best"))["folder"].removeprefix("file:")) / "model").exists()
     assert spark.read.parquet(cfg.path("analysis/drift")).count() == 2
+
+
+def test_only_touched_sheets_are_read_again(spark, tmp_path):
+    from demandspark.plans.config import RunConfig
+    from demandspark.plans.runs import ingest, read_primary, sheet_checks
+
+    cfg, jan = RunConfig(root=str(tmp_path / "out"), sheets=str(tmp_path / "in")), tmp_path / "in" / "2024" / "Jan"
+
+    def rows():
+        return {r["source_key"]: r["n"] for r in read_primary(spark, cfg).groupBy("source_key").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    write_sheet(jan, "F_05-01-2024.csv", sheet())
+    write_sheet(jan, "F_06-01-2024.csv", sheet(GOOD_ROWS[:2]))
+    write_sheet(jan, "bad.csv", sheet(title="x"))
+    assert ingest(spark, cfg) == {"raw_partitions_total": 3, "raw_partitions_valid": 2, "raw_partitions_invalid": 1, "sheets_read": 3}
+    assert rows() == {"2024/Jan/F_05-01-2024": 3, "2024/Jan/F_06-01-2024": 2}
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.parquet")}
+    assert ingest(spark, cfg)["sheets_read"] == 0
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.parquet")} == before
+    # one sheet grows, one turns bad, one is new, one goes
+    write_sheet(jan, "F_06-01-2024.csv", sheet())
+    write_sheet(jan, "F_05-01-2024.csv", sheet(title="y"))
+    write_sheet(jan, "F_07-01-2024.csv", sheet(GOOD_ROWS[:1]))
+    (jan / "bad.csv").unlink()
+    assert ingest(spark, cfg) == {"raw_partitions_total": 3, "raw_partitions_valid": 2, "raw_partitions_invalid": 1, "sheets_read": 3}
+    assert rows() == {"2024/Jan/F_06-01-2024": 3, "2024/Jan/F_07-01-2024": 1}
+    (jan / "F_07-01-2024.csv").unlink()
+    assert ingest(spark, cfg)["sheets_read"] == 0 and rows() == {"2024/Jan/F_06-01-2024": 3}
+    write_sheet(jan, "F_07-01-2024.csv", sheet(GOOD_ROWS[:2]))
+    assert ingest(spark, cfg)["sheets_read"] == 1 and rows()["2024/Jan/F_07-01-2024"] == 2
+    assert {r["reason"] for r in sheet_checks(spark, cfg).collect()} == {None, "title"}
+
+
+def test_a_failure_before_the_manifest_is_made_good(spark, tmp_path, monkeypatch):
+    from demandspark.plans import runs
+    from demandspark.plans.config import RunConfig
+
+    cfg = RunConfig(root=str(tmp_path / "out"), sheets=str(tmp_path / "in"))
+    write_sheet(tmp_path / "in" / "2024" / "Jan", "F_05-01-2024.csv", sheet())
+    real = runs.write_keyed
+
+    def failing(df, path, key):
+        if path.endswith("manifest"):
+            raise OSError("no space")
+        real(df, path, key)
+
+    monkeypatch.setattr(runs, "write_keyed", failing)
+    with pytest.raises(OSError):
+        runs.ingest(spark, cfg)
+    monkeypatch.setattr(runs, "write_keyed", real)
+    assert runs.ingest(spark, cfg)["sheets_read"] == 1 and runs.read_primary(spark, cfg).count() == 3
+
+
+def test_large_sheets_equal_whole_ones(spark, tmp_path):
+    for name, n in (("one", 400), ("two", 1), ("three", 57)):
+        write_sheet(tmp_path / "2024" / "Jan", f"{name}.csv", [(f"{name}{i}", "x" * (i % 13), "") for i in range(n)])
+    (tmp_path / "2024" / "Jan" / "four.csv").write_text("a,b\r\n\r\nc,d")
+    whole = sorted(map(tuple, grid.read_sheets(spark, str(tmp_path)).collect()))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        assert spark.read.text(str(tmp_path), recursiveFileLookup=True).rdd.getNumPartitions() > 8
+        assert sorted(map(tuple, grid.read_large_sheets(spark, str(tmp_path)).collect())) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_promotion_is_whole_or_not_at_all(spark, tmp_path):
+    from demandspark.operators import select
+
+    path, schema = str(tmp_path / "best"), "model string, mape double, rmse double, nrmse double, score double"
+    scores = spark.createDataFrame([("a", 0.2, 4.0, 0.5, 0.3), ("b", 0.1, 2.0, 0.2, 0.1)], schema)
+
+    class Model:
+        def __init__(self, n, fails=False):
+            self.n, self.fails = n, fails
+
+        def save(self, where):
+            spark.range(self.n).write.parquet(where)
+            if self.fails:
+                raise OSError("half-way")
+
+    def in_use():
+        now = select.promoted(spark, path)
+        record = json.loads(spark.read.text(f"{now['folder']}/model-metadata").first()["value"])
+        return now["sequence"], now["model"], spark.read.parquet(f"{now['folder']}/model").count(), record
+
+    assert select.promoted(spark, path) is None
+    with pytest.raises(OSError):
+        select.promote(scores, {"a": Model(1, True)}, path)
+    assert select.promoted(spark, path) is None
+    assert select.promote(scores, {"a": Model(3)}, path, "2026-01-01T00:00:00") == "a"
+    sequence, model, n, record = in_use()
+    assert (sequence, model, n, record["promotion_timestamp"]) == (1, "a", 3, "2026-01-01T00:00:00")
+    assert record["all_compared_models"] == {"a": {"score": 0.3, "metrics": {"mape": 0.2, "rmse": 4.0, "nrmse": 0.5}}}
+    with pytest.raises(OSError):
+        select.promote(scores, {"a": Model(9), "b": Model(9, True)}, path)
+    assert in_use()[:3] == (1, "a", 3)
+    assert select.promote(scores, {"a": Model(9), "b": Model(5)}, path) == "b"
+    assert in_use()[:3] == (2, "b", 5) and set(in_use()[3]["all_compared_models"]) == {"a", "b"}
+
+
+def test_stream_keeps_the_least_in_any_order(spark, tmp_path):
+    from demandspark.operators.dedup import keep_one
+
+    rng = random.Random(3)
+    rows = [(f"k{i % 5}", datetime(2024, 1, 1 + i % 7), (i * 37) % 211, float(i)) for i in range(200)]
+    schema = "id string, ts timestamp, source int, v double"
+    want = sorted(map(tuple, keep_one(spark.createDataFrame(rows, schema), ["id", "ts"], ["source"]).collect()))
+    for order in range(2):
+        rng.shuffle(rows)
+        folder, out = tmp_path / f"in{order}", str(tmp_path / f"out{order}")
+        for run in range(2):  # the second run goes on from the first one's state
+            for part in range(2):
+                at = (run * 2 + part) * 50
+                spark.createDataFrame(rows[at:at + 50], schema).coalesce(1).write.parquet(str(folder / f"f{run}{part}"))
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(folder))
+            best = jobs.keep_least(stream, ["id", "ts"], "ts", ["source"], "30 days")
+            jobs.upsert_to(best, f"{out}/rows", f"{out}/cp").awaitTermination()
+        got = jobs.latest(spark.read.parquet(f"{out}/rows"), ["id", "ts"]).select("id", "ts", "source", "v")
+        assert sorted(map(tuple, got.collect())) == want
