@@ -43,6 +43,24 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Lets a query's shuffle files go when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage_tidily(df: DataFrame) -> DataFrame:
+    """:func:`stage` that leaves no shuffle files behind, for operators that shuffle whole texts several times."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        return stage(df)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+
+
 def map_rows(df: DataFrame, columns: Sequence[str], schema: str,
              rows: Callable[[Iterator[tuple]], Iterator[tuple]], batch: int = 4096) -> DataFrame:
     """Apply a Python generator to the rows of each partition, moved in Arrow batches.

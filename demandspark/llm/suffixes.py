@@ -26,13 +26,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.llm.bytesets import Powers, mix, prefix_hash
-from demandspark.llm.common import map_rows, stage, table, utf8
+from demandspark.llm.common import map_rows, table, utf8
+from demandspark.llm.common import stage_tidily as stage
 
 WINDOW = 50
 STRETCH = 24
 DEPTH = 4  # names of this level stand for 3 ** 4 bytes, more than WINDOW
-# Bytes of text per share, entries kept before a task hands them on, bytes sorted at once, references looked up at once.
+# Bytes of text per share and per group of texts whose spans one task puts together, entries kept before a task hands them on, bytes sorted at once, references looked up at once.
 SHARE_BYTES = 4 << 20
+PART_BYTES = 256 << 20
 SLAB = 1 << 20
 SORTED_BYTES = 1 << 18
 REFERENCES = 1 << 15
@@ -157,6 +159,12 @@ def _ids(ids: list[tuple[int, int]]) -> bytes:
     return np.array(ids, "<i8").tobytes()
 
 
+def _part_of(doc: np.ndarray, mark: np.ndarray, parts: int) -> np.ndarray:
+    """Group of a text, by hash."""
+    mixed = doc.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ mark.astype(np.int64).view(np.uint64)
+    return ((mixed >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
+
+
 def _send_keys(rows: DataFrame, shares: int) -> DataFrame:
     """Keys of each slab of texts, dealt by key: share, keys, which text has each, the texts' ids.
 
@@ -176,12 +184,11 @@ def _send_keys(rows: DataFrame, shares: int) -> DataFrame:
             for t in np.unique(owner):
                 yield -1, again[owner == t].astype("<u8").tobytes(), None, _ids([ids[t]])
             key, text = key[fresh], np.where(many, np.uint32(0xFFFFFFFF), text)[fresh]
-            share = share_of(key, shares)
-            for s, (a, b) in enumerate(zip(np.searchsorted(share, range(shares)), np.searchsorted(share, range(1, shares + 1)))):
-                if b > a:
-                    used, local = np.unique(text[a:b], return_inverse=True)
-                    yield s, _planes(key[a:b]), _planes(local.astype("<u4")), _ids(
-                        [ids[t] if t != 0xFFFFFFFF else (0, 0) for t in used.tolist()]) + bytes([int(used[-1] == 0xFFFFFFFF)])
+            share, first = np.unique(share_of(key, shares), return_index=True)
+            for s, a, b in zip(share.tolist(), first.tolist(), np.append(first[1:], len(key)).tolist()):
+                used, local = np.unique(text[a:b], return_inverse=True)
+                yield s, _planes(key[a:b]), _planes(local.astype("<u4")), _ids(
+                    [ids[t] if t != 0xFFFFFFFF else (0, 0) for t in used.tolist()]) + bytes([int(used[-1] == 0xFFFFFFFF)])
 
         for doc, mark, text in rows:
             found = np.unique(minimizers(utf8(text), tables)[0])
@@ -198,14 +205,18 @@ def _send_keys(rows: DataFrame, shares: int) -> DataFrame:
     return map_rows(rows, ["doc", "mark", "text"], "share int, keys binary, texts binary, ids binary", run, 64)
 
 
-def _repeated_keys(sent: DataFrame, shares: int) -> DataFrame:
-    """doc, mark, keys: the keys of each text that other texts have too."""
+def _repeated_keys(sent: DataFrame, shares: int, parts: int) -> DataFrame:
+    """doc, mark, keys: the keys of each text that other texts have too.
+
+    A share hands on one row for each of ``parts`` groups of texts, as in :func:`_covered`.
+    """
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         key, text, ids, n = [], [], [], 0
+        sure, whose = [], []
         for share, keys, texts, who in rows:
             if share < 0:
-                doc, mark = np.frombuffer(who, "<i8").tolist()
-                yield doc, mark, keys
+                sure.append(np.frombuffer(keys, "<u8"))
+                whose.append(np.frombuffer(who, "<i8").reshape(-1, 2))
                 continue
             own = np.frombuffer(who[:-1], "<i8").reshape(-1, 2)
             local = _unplanes(texts, "<u4").astype(np.int64)
@@ -214,25 +225,48 @@ def _repeated_keys(sent: DataFrame, shares: int) -> DataFrame:
             text.append(np.where(known, -1, local + n))
             ids.append(own)
             n += len(own)
-        if not key:
+        if key:
+            key, text = np.concatenate(key), np.concatenate(text)
+            order = np.argsort(key, kind="stable")
+            key, text = key[order], text[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(np.append(first, len(key)))
+            many = np.repeat((size > 1) | (np.minimum.reduceat(text, first) < 0), size) & (text >= 0)
+            sure.append(key[many])
+            whose.append(np.zeros((0, 2), np.int64))
+            text = [text[many]]
+        else:
+            text = []
+        text = [np.full(len(k), n + i, np.int64) for i, k in enumerate(sure[:len(sure) - len(text)])] + text
+        if not sum(map(len, sure)):
             return
-        key, text, ids = np.concatenate(key), np.concatenate(text), np.concatenate(ids)
-        order = np.argsort(key, kind="stable")
+        key, text, ids = np.concatenate(sure), np.concatenate(text), np.concatenate([*ids, *whose])
+        part = _part_of(ids[:, 0], ids[:, 1], parts)
+        order = np.lexsort((text, part[text]))
         key, text = key[order], text[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(first, len(key)))
-        many = np.repeat((size > 1) | (np.minimum.reduceat(text, first) < 0), size) & (text >= 0)
-        key, text = key[many], text[many]
-        order = np.argsort(text, kind="stable")
-        key, text = key[order], text[order]
-        turns = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]])) if len(text) else np.zeros(0, np.int64)
-        for a, b in zip(turns.tolist(), np.append(turns[1:], len(text)).tolist()):
-            yield (*ids[text[a]].tolist(), key[a:b].astype("<u8").tobytes())
+        turns = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+        owner, size = text[turns], np.diff(np.append(turns, len(text)))
+        used, first = np.unique(part[owner], return_index=True)
+        for p, a, b in zip(used.tolist(), first.tolist(), np.append(first[1:], len(owner)).tolist()):
+            low, high = int(turns[a]), int(turns[a] + size[a:b].sum())
+            yield (p, _planes(ids[owner[a:b], 0].astype("<i8")), _planes(ids[owner[a:b], 1].astype("<i8")),
+                   _planes(size[a:b].astype("<u4")), key[low:high].astype("<u8").tobytes())
+
+    def by_text(rows: Iterator[tuple]) -> Iterator[tuple]:
+        found: dict[tuple[int, int], list[bytes]] = {}
+        for _, doc, mark, sizes, keys in rows:
+            ends = np.cumsum(_unplanes(sizes, "<u4"), dtype=np.int64).tolist()
+            for d, m, a, b in zip(_unplanes(doc, "<i8").tolist(), _unplanes(mark, "<i8").tolist(), [0, *ends], ends):
+                found.setdefault((d, m), []).append(keys[8 * a:8 * b])
+        for (d, m), own in found.items():
+            yield d, m, b"".join(own)
 
     # Rows that need no share of their own are dealt by text.
     dealt = F.when(F.col("share") >= 0, F.col("share")).otherwise(F.pmod(F.xxhash64("ids"), F.lit(shares)).cast("int"))
-    found = map_rows(sent.repartition(shares, dealt), ["share", "keys", "texts", "ids"], "doc bigint, mark bigint, keys binary", run)
-    return found.groupBy("doc", "mark").agg(F.collect_list("keys").alias("keys"))
+    packed = map_rows(sent.repartition(shares, dealt), ["share", "keys", "texts", "ids"],
+                      "part bigint, docs binary, marks binary, sizes binary, keys binary", run)
+    return map_rows(packed.repartition(parts, "part"), ["part", "docs", "marks", "sizes", "keys"],
+                    "doc bigint, mark bigint, keys binary", by_text)
 
 
 # --- repeated stretches ---------------------------------------------------------------------------------------------
@@ -253,7 +287,7 @@ def _send_stretches(texts: DataFrame, shares: int) -> DataFrame:
                        _planes(start.astype("<u4")), _planes(which.astype("<u4")))
 
         for doc, mark, text, keys in rows:
-            data, known = utf8(text), np.unique(np.concatenate([np.frombuffer(k, "<u8") for k in keys]))
+            data, known = utf8(text), np.unique(np.frombuffer(keys, "<u8"))
             key, first, stop = minimizers(data, tables)
             place = np.minimum(np.searchsorted(known, key), len(known) - 1)
             kept = np.flatnonzero(known[place] == key)
@@ -287,8 +321,12 @@ def _spans(least: np.ndarray, counts: np.ndarray, doc: np.ndarray, start: np.nda
     return ref[first], start[ref[first]] + inside[first], start[ref[first]] + inside[last] + WINDOW
 
 
-def _covered(sent: DataFrame, shares: int) -> DataFrame:
-    """doc, mark, spans: bytes of each text that repeat, as pairs of first byte and end, one row per share."""
+def _covered(sent: DataFrame, shares: int, parts: int) -> DataFrame:
+    """doc, mark, spans: bytes of each text that repeat, as pairs of first byte and end.
+
+    A share hands on one row for each of ``parts`` groups of texts, whose spans are then
+    put together per text.
+    """
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         strings: dict[tuple[int, bytes], int] = {}
         docs, marks, starts, which = [], [], [], []
@@ -332,14 +370,27 @@ def _covered(sent: DataFrame, shares: int) -> DataFrame:
             return
         order = np.lexsort((first, mark[ref], doc[ref]))
         d, m, pairs = doc[ref][order], mark[ref][order], np.stack([first, stop], 1)[order].astype("<u4")
-        turns = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (m[1:] != m[:-1])]))
-        for a, b in zip(turns.tolist(), np.append(turns[1:], len(d)).tolist()):
-            yield int(d[a]), int(m[a]), pairs[a:b].tobytes()
+        part = _part_of(d, m, parts)
+        order = np.argsort(part, kind="stable")
+        d, m, pairs, part = d[order], m[order], pairs[order], part[order]
+        used, turns = np.unique(part, return_index=True)
+        for p, a, b in zip(used.tolist(), turns.tolist(), np.append(turns[1:], len(d)).tolist()):
+            yield p, _planes(d[a:b].astype("<i8")), _planes(m[a:b].astype("<i8")), pairs[a:b].tobytes()
+
+    def by_text(rows: Iterator[tuple]) -> Iterator[tuple]:
+        found: dict[tuple[int, int], list[bytes]] = {}
+        for _, doc, mark, pairs in rows:
+            d, m = _unplanes(doc, "<i8"), _unplanes(mark, "<i8")
+            turns = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (m[1:] != m[:-1])]))
+            for a, b in zip(turns.tolist(), np.append(turns[1:], len(d)).tolist()):
+                found.setdefault((int(d[a]), int(m[a])), []).append(pairs[8 * a:8 * b])
+        for (d, m), spans in found.items():
+            yield d, m, merged(spans).astype("<u4").tobytes()
 
     dealt = sent.repartition(shares, "share")
     found = map_rows(dealt, ["share", "keys", "lengths", "strings", "doc", "mark", "start", "which"],
-                     "doc bigint, mark bigint, spans binary", run)
-    return found.groupBy("doc", "mark").agg(F.collect_list("spans").alias("spans"))
+                     "part bigint, docs binary, marks binary, pairs binary", run)
+    return map_rows(found.repartition(parts, "part"), ["part", "docs", "marks", "pairs"], "doc bigint, mark bigint, spans binary", by_text)
 
 
 def merged(spans: list[bytes]) -> np.ndarray:
@@ -352,6 +403,10 @@ def merged(spans: list[bytes]) -> np.ndarray:
     return np.stack([pairs[new, 0], reach[last]], 1)
 
 
+def pairs_of(spans: bytes) -> np.ndarray:
+    return np.frombuffer(spans, "<u4").reshape(-1, 2).astype(np.int64)
+
+
 def without(data: bytes, spans: np.ndarray) -> bytes:
     """What is left of the bytes."""
     ends = [0, *spans[:, 1].tolist()]
@@ -391,14 +446,15 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     short = short.join(firsts.hint("merge"), ["sha", "n_bytes"]).withColumn("copy", F.col("doc") > F.col("least")).drop("least")
     short = stage(short)
     total = short.agg(F.sum("n_bytes")).first()[0] or 0
-    shares = max(1, -(-total // SHARE_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares, parts = max(1, -(-total // SHARE_BYTES), least), max(1, -(-total // PART_BYTES), least)
     rows = docs.select(doc, mark, body.alias("text"))
-    keys = _repeated_keys(_send_keys(rows, shares), shares)
+    keys = _repeated_keys(_send_keys(rows, shares), shares, parts)
     asked = keys.join(short.where("not copy").select("doc", "mark").distinct(), ["doc", "mark"], "left_semi")
     asked = stage(asked)
     texts = rows.join(asked.hint("merge"), ["doc", "mark"])
     texts = stage(texts)
-    spans = stage(_covered(_send_stretches(texts, shares), shares))
+    spans = stage(_covered(_send_stretches(texts, shares), shares, parts))
     return short, texts.select("doc", "mark", "text").join(spans.hint("merge"), ["doc", "mark"])
 
 
@@ -406,7 +462,7 @@ def _outcome(short: DataFrame, cut: DataFrame) -> DataFrame:
     """doc, mark, n_bytes, copy, sha, and of texts that lose bytes n_removed, n_spans, kept_sha256."""
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc, mark, text, spans in rows:
-            data, found = utf8(text), merged(spans)
+            data, found = utf8(text), pairs_of(spans)
             yield doc, mark, int((found[:, 1] - found[:, 0]).sum()), len(found), hashlib.sha256(without(data, found)).hexdigest()
 
     lost = map_rows(cut, ["doc", "mark", "text", "spans"],
@@ -446,7 +502,7 @@ def cut_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_cha
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc, mark, value, spans in rows:
             data = utf8(value)
-            left = without(data, inside_characters(data, merged(spans))).decode()
+            left = without(data, inside_characters(data, pairs_of(spans))).decode()
             yield doc, mark, left
 
     lost = map_rows(cut, ["doc", "mark", "text", "spans"], "_doc bigint, _mark bigint, _left string", run, 256)
