@@ -103,21 +103,28 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
 
 
 class WordIds:
-    """Ids of a text by a tokenizer file, each piece of the pattern encoded once and remembered."""
+    """Ids of a text by a tokenizer file, each piece of the pattern encoded once and remembered.
+
+    A text that holds one of the file's added tokens is encoded as a whole, as such a token
+    goes before the pattern.
+    """
 
     def __init__(self, path: str, pattern: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split, self.ids = Splitter(pattern), Remembered(self._encode)
 
     def _encode(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, text: str | None) -> bytes:
-        return b"".join(map(self.ids.__getitem__, self.split(text or "")))
+        text = text or ""
+        if any(t in text for t in self.added):
+            return self._encode(text)
+        return b"".join(map(self.ids.__getitem__, self.split(text)))
 
 
 def cut(n: int, capacity: int) -> list[int]:
