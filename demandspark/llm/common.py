@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,15 @@ def stage_tidily(df: DataFrame) -> DataFrame:
             spark.conf.set(CLEAN_UP, before)
 
 
+def by_value(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast a value of bounded size with the code of its class; what is returned gives it inside a task.
+
+    A plain broadcast names the class only, which tasks could not import.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def map_rows(df: DataFrame, columns: Sequence[str], schema: str,
              rows: Callable[[Iterator[tuple]], Iterator[tuple]], batch: int = 4096) -> DataFrame:
     """Apply a Python generator to the rows of each partition, moved in Arrow batches.

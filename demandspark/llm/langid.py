@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import held_out, map_rows, table, utf8
+from demandspark.llm.common import by_value, held_out, map_rows, table, utf8
 
 # Most documents of each language that a fit uses, in order of a hash of their id, and windows of each.
 FIT_ROWS = 300
@@ -167,11 +167,11 @@ def identify(docs: DataFrame, net: ByteCnn | None, text: str = "text") -> DataFr
     docs = docs.drop("lang_pred", "score")
     names = docs.columns
     at = names.index(text)
-    sent = docs.sparkSession.sparkContext.broadcast(net)  # of fixed size
+    sent = by_value(docs.sparkSession, net)  # of fixed size
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        found = sent.value
+        found = sent()
         for row in rows:
             value = row[at]
             if value is None or not HAS_LETTER(value):

@@ -9,10 +9,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import held_out, map_rows, table
+from demandspark.llm.common import by_value, held_out, map_rows, table
 
 # Most labelled rows of each class that a fit uses, taken in order of a hash of their id.
-FIT_ROWS = 1200
+FIT_ROWS = 1500
 BITS = 18
 ORDERS = (3, 4, 5)
 SMOOTHING = 1.0
@@ -75,27 +75,27 @@ def train(grams: list[np.ndarray], labels: np.ndarray, prior: float, bits: int =
         return NaiveBayesLinear(np.zeros(size, np.float32), float(np.log(prior / (1 - prior))), bits, orders)
     prior = min(max(prior, LEAST_SHARE), 1 - LEAST_SHARE)
     lengths = np.array([len(g) for g in grams])
-    flat = np.concatenate(grams)
-    having = np.bincount(flat, minlength=size)
-    toxic = np.bincount(np.concatenate([g for g, c in zip(grams, labels) if c]), minlength=size)
+    having, toxic = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for own, mark in zip(grams, labels):
+        having[own] += 1  # a text has an n-gram once
+        toxic[own] += int(mark)
     ratio = (np.log((toxic + SMOOTHING) / (labels.sum() + 2 * SMOOTHING))
              - np.log((having - toxic + SMOOTHING) / ((1 - labels).sum() + 2 * SMOOTHING)))
     used = having >= LEAST_TEXTS
-    inside = used[flat]
-    kept = np.add.reduceat(np.append(inside, False), np.cumsum(lengths) - lengths, dtype=np.int64) * (lengths > 0)
-    column = (np.cumsum(used) - 1)[flat[inside]]
-    value = np.repeat(1 / np.sqrt(np.maximum(1, lengths)), kept).astype(np.float32) * ratio[used].astype(np.float32)[column]
-    del flat, inside
-    share, n = labels.mean(), int(used.sum())
+    n, share = int(used.sum()), labels.mean()
+    place, scale = (np.cumsum(used) - 1).astype(np.int32), ratio[used]
+    columns = [place[g[used[g]]] for g in grams]
+    root = np.sqrt(np.maximum(1, lengths))
     weight = np.where(labels == 1, prior / share, (1 - prior) / (1 - share)) / texts
     w, b, m, v = np.zeros(n), float(np.log(prior / (1 - prior))), np.zeros(n + 1), np.zeros(n + 1)
-    starts = np.cumsum(kept) - kept
-    for t in range(1, STEPS + 1):  # Adam on the whole sample
-        part = np.append(value * w.astype(np.float32)[column], np.float32(0))
-        z = np.add.reduceat(part, starts, dtype=np.float64) * (kept > 0) + b
-        error = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels)
-        part = value * np.repeat(error.astype(np.float32), kept)
-        grad = np.append(np.bincount(column, part, minlength=n) + PENALTY / texts * w, error.sum())
+    for t in range(1, STEPS + 1):  # Adam on the whole sample, text by text
+        grad, scaled = np.zeros(n + 1), w * scale
+        for column, norm, mark, each in zip(columns, root, labels, weight):
+            z = scaled[column].sum() / norm + b
+            error = each * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - mark)
+            grad[column] += error / norm
+            grad[n] += error
+        grad[:n] = grad[:n] * scale + PENALTY / texts * w
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-10)
         w, b = w - step[:-1], b - step[-1]
@@ -135,11 +135,11 @@ def score_column(docs: DataFrame, model: NaiveBayesLinear, text: str = "text", o
     docs = docs.drop(out)
     names = docs.columns
     at = names.index(text)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    sent = by_value(docs.sparkSession, model)  # of fixed size
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        found, grams = sent.value, Grams()
+        found, grams = sent(), Grams()
         for row in rows:
             yield (*row, found.score(grams(row[at])))
 
@@ -155,10 +155,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     outside = held_out(F.col("doc_id"), 5, 0)
     model = fit(docs, table(spark, sf_dir, "labels"), ~outside)
-    sent = spark.sparkContext.broadcast(model)
+    sent = by_value(spark, model)
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        found, grams = sent.value, Grams()
+        found, grams = sent(), Grams()
         for doc, out, text in rows:
             score = found.score(grams(text))
             yield doc, out, score, int(score >= 0.5)
