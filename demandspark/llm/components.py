@@ -27,10 +27,10 @@ def connected(links: DataFrame) -> DataFrame:
         last = now
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.unionByName(pairs.join(least, "u").select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stage(large.unionByName(pairs.join(least.hint("merge"), "u").select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = large.join(least.hint("merge"), "u")
         under = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = stage(under.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))

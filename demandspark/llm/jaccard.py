@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.llm.bytesets import Powers, set_digest, shingles
@@ -59,20 +59,37 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def digest_sets(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """doc_id, n and digest of every row's set; each task adds one row with its count sketch."""
+ROW = ["doc", "has", "mark"]
+ROW_TYPES = "doc bigint, has boolean, mark bigint"
+
+
+def _identified(docs: DataFrame, doc_id: str, text: str, carried: Column | None = None) -> DataFrame:
+    """``ROW`` and text, or what is carried in its place. A row is known by its id (0 if null), whether it has one, and a hash of its text, as ids may repeat."""
+    own, value = F.col(f"`{doc_id}`").cast("bigint"), F.col(f"`{text}`")
+    return docs.select(F.coalesce(own, F.lit(0)).alias("doc"), own.isNotNull().alias("has"),
+                       F.xxhash64(F.coalesce(value, F.lit(""))).alias("mark"),
+                       value.alias("text") if carried is None else carried)
+
+
+def _first() -> Column:
+    """First row of a group: the smallest id (null last), then the smallest hash."""
+    return F.min(F.struct((~F.col("has")).alias("none"), "doc", "mark"))
+
+
+def digest_sets(rows: DataFrame, width: int) -> DataFrame:
+    """``ROW``, n and digest of every row's set; each task adds one row with its count sketch."""
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         tables, counts = Powers(), np.zeros(1 << SKETCH_BITS, np.uint32)
-        for doc, value in rows:
+        for doc, has, mark, value in rows:
             found = shingles(utf8(value), width, tables)
             np.add.at(counts, _cells(found), 1)
-            yield doc, len(found), set_digest(found), None, None, None
+            yield doc, has, mark, len(found), set_digest(found), None, None, None
         task = TaskContext.get().partitionId()
         for k, part in enumerate(np.split(counts, SKETCH_PARTS)):
-            yield None, None, None, k, task, part.tobytes()
+            yield None, None, None, None, None, k, task, part.tobytes()
 
-    return map_rows(docs, [F.col(f"`{doc_id}`").cast("bigint"), text],
-                    "doc_id bigint, n int, digest binary, part int, task int, counts binary", run)
+    return map_rows(rows, [*ROW, "text"],
+                    f"{ROW_TYPES}, n int, digest binary, part int, task int, counts binary", run)
 
 
 def add_sketches(partial: DataFrame) -> np.ndarray:
@@ -100,22 +117,22 @@ def _bitmap(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def prefixes(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """doc_id, n, digest, prefix n-grams (rare first) and bitmap of every row with a set."""
+def prefixes(rows: DataFrame, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
+    """``ROW``, n, digest, prefix n-grams (rare first) and bitmap of every row with a set."""
     rank = np.argsort(np.argsort(sketch, kind="stable"), kind="stable").astype(np.int32)
-    sent = docs.sparkSession.sparkContext.broadcast(rank)  # of fixed size
+    sent = rows.sparkSession.sparkContext.broadcast(rank)  # of fixed size
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         tables, ranks = Powers(), sent.value
-        for doc, value in rows:
+        for doc, has, mark, value in rows:
             found = shingles(utf8(value), width, tables)
             if len(found):
                 take = prefix_length(len(found), percent)
                 order = np.lexsort((found, ranks[_cells(found)]))[:take]
-                yield doc, len(found), set_digest(found), found[order].view(np.int64), _bitmap(found)
+                yield doc, has, mark, len(found), set_digest(found), found[order].view(np.int64), _bitmap(found)
 
-    return map_rows(docs, [F.col(f"`{doc_id}`").cast("bigint"), text],
-                    "doc_id bigint, n int, digest binary, prefix array<bigint>, bitmap binary", run, 256)
+    return map_rows(rows, [*ROW, "text"],
+                    f"{ROW_TYPES}, n int, digest binary, prefix array<bigint>, bitmap binary", run, 256)
 
 
 class Sets:
@@ -200,38 +217,38 @@ def _blocks(reps: DataFrame, percent: int) -> DataFrame:
     ones, so each goes to its own band and the next. Buckets with the same classes
     are kept once. Every pair that may be linked is together in a row.
     """
-    rows = reps.select("doc_id", "n", F.explode("prefix").alias("gram"))
+    rows = reps.select("node", "n", F.explode("prefix").alias("gram"))
     shared = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
-    members = stage(rows.join(shared, "gram"))
+    members = stage(rows.join(shared.hint("merge"), "gram"))
     # Bands a little wider than the ratio of sizes, so that rounding of logarithms never parts a pair.
     band = F.floor(F.log("n") / float(-np.log(percent / 100 - 1e-6))).cast("int")
-    members = members.select("doc_id", "gram", F.explode(F.array(band, band + 1)).alias("band"))
+    members = members.select("node", "gram", F.explode(F.array(band, band + 1)).alias("band"))
     buckets = members.groupBy("gram", "band").agg(
-        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("doc_id")).alias("s"),
-        F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("t")).where("m > 1")
+        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("s"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")).where("m > 1")
     buckets = buckets.groupBy("m", "s", "t").agg(F.min(F.struct("gram", "band")).alias("one"))
     buckets = stage(buckets.select("one.gram", "one.band", "m", F.monotonically_increasing_id().alias("bucket")))
-    members = members.join(buckets, ["gram", "band"]).select(
-        "doc_id", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"))
-    members = members.join(reps.select("doc_id", "n", "bitmap").hint("merge"), "doc_id")
-    own = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("nb")).cast("int")
+    members = members.join(buckets.hint("merge"), ["gram", "band"]).select(
+        "node", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"))
+    members = members.join(reps.select("node", "n", "bitmap").hint("merge"), "node")
+    own = F.pmod(F.xxhash64("node", F.lit(2)), F.col("nb")).cast("int")
     members = members.withColumn("b", own).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     return stage(members.groupBy("bucket", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j")).agg(
-        F.collect_list(F.struct("doc_id", "n", "bitmap")).alias("members")).where(F.size("members") > 1))
+        F.collect_list(F.struct("node", "n", "bitmap")).alias("members")).where(F.size("members") > 1))
 
 
 def _candidates(blocks: DataFrame, many: int, percent: int, known: DataFrame | None = None) -> DataFrame:
     """bucket, i, j, a, b: forest pairs of each block, given what is known of its earlier pairs."""
     if known is not None:
-        blocks = blocks.join(known, ["bucket", "i", "j"])
+        blocks = blocks.join(known.hint("merge"), ["bucket", "i", "j"])
     else:
         kind = "cast(array() as array<struct<a:bigint,b:bigint>>)"
         blocks = blocks.withColumn("yes", F.expr(kind)).withColumn("no", F.expr(kind))
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for bucket, i, j, members, yes, no in rows:
-            members = list({m["doc_id"]: m for m in members}.values())
-            for a, b in forests([m["doc_id"] for m in members], np.array([m["n"] for m in members], np.int64),
+            members = list({m["node"]: m for m in members}.values())
+            for a, b in forests([m["node"] for m in members], np.array([m["n"] for m in members], np.int64),
                                 [m["bitmap"] for m in members], [(p["a"], p["b"]) for p in yes],
                                 [(p["a"], p["b"]) for p in no], many, percent):
                 yield bucket, i, j, a, b
@@ -240,44 +257,44 @@ def _candidates(blocks: DataFrame, many: int, percent: int, known: DataFrame | N
                     "bucket bigint, i int, j int, a bigint, b bigint", run)
 
 
-def fragments(docs: DataFrame, reps: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """doc_id, fragment, hashes of the sets of ``reps`` (doc_id, digest, n), cut by hash range."""
-    texts = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(reps.hint("merge"), "doc_id")
+def fragments(rows: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+    """node, n, fragment, hashes of the sets of ``reps`` (node, ``ROW``, digest, n), cut by hash range."""
+    texts = rows.join(reps.hint("merge"), ROW)
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         tables = Powers()
         edges = np.array([(k << 64) // FRAGMENTS for k in range(1, FRAGMENTS)], np.uint64)
-        for doc, value, digest, n in rows:
+        for node, value, digest, n in rows:
             found = shingles(utf8(value), width, tables)
             if set_digest(found) == digest:
                 for k, part in enumerate(np.split(found, np.searchsorted(found, edges))):
-                    yield doc, n, k, part.view(np.int64)
+                    yield node, n, k, part.view(np.int64)
 
-    rows = map_rows(texts, ["doc_id", "text", "digest", "n"], "doc_id bigint, n int, fragment int, hashes array<bigint>", run, 256)
-    return stage(rows.dropDuplicates(["doc_id", "fragment"]))
+    found = map_rows(texts, ["node", "text", "digest", "n"], "node bigint, n int, fragment int, hashes array<bigint>", run, 256)
+    return stage(found.dropDuplicates(["node", "fragment"]))
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """a, b, ok: partial overlaps per fragment, summed per pair, and whether the pair is linked."""
-    one = parts.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), "fragment", F.col("hashes").alias("ha"))
-    two = parts.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), "fragment", F.col("hashes").alias("hb"))
+    one = parts.select(F.col("node").alias("a"), F.col("n").alias("na"), "fragment", F.col("hashes").alias("ha"))
+    two = parts.select(F.col("node").alias("b"), F.col("n").alias("nb"), "fragment", F.col("hashes").alias("hb"))
     partial = pairs.join(one.hint("merge"), "a").join(two.hint("merge"), ["b", "fragment"]).select(
         "a", "b", (F.col("na") + F.col("nb")).alias("both"), F.size(F.array_intersect("ha", "hb")).cast("bigint").alias("c"))
     total = partial.groupBy("a", "b").agg(F.max("both").alias("both"), F.sum("c").alias("c"))
     return total.select("a", "b", linked(F.col("both"), F.col("both") - 2 * F.col("c"), percent).alias("ok"))
 
 
-def links(docs: DataFrame, reps: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+def links(rows: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
     """a, b: links between classes that have the components of all links.
 
     Joins of what grows with the corpus are merge joins at every size.
     """
     blocks = _blocks(reps, percent)
     asked = stage(_candidates(blocks, 1, percent))
-    nodes = asked.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    parts = fragments(docs, reps.select("doc_id", "digest", "n").join(nodes, "doc_id", "left_semi"), doc_id, text, width)
+    nodes = asked.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    parts = fragments(rows, reps.select("node", *ROW, "digest", "n").join(nodes.hint("merge"), "node", "left_semi"), width)
     known = stage(overlaps(asked.select("a", "b").distinct(), parts, percent))
-    told, many = stage(asked.join(known, ["a", "b"])), 1
+    told, many = stage(asked.join(known.hint("merge"), ["a", "b"])), 1
     history = [told]
     while not (wrong := history[-1].where("not ok").select("bucket", "i", "j").distinct()).isEmpty():
         many = min(8 * many, 4096)
@@ -285,39 +302,68 @@ def links(docs: DataFrame, reps: DataFrame, doc_id: str, text: str, width: int,
         for h in history[1:]:
             sofar = sofar.unionByName(h)
         pair = F.struct("a", "b")
-        sofar = sofar.join(wrong, ["bucket", "i", "j"], "left_semi").groupBy("bucket", "i", "j").agg(
+        sofar = sofar.join(wrong.hint("merge"), ["bucket", "i", "j"], "left_semi").groupBy("bucket", "i", "j").agg(
             F.collect_list(F.when(F.col("ok"), pair)).alias("yes"), F.collect_list(F.when(~F.col("ok"), pair)).alias("no"))
         asked = stage(_candidates(blocks, many, percent, sofar))
-        fresh = asked.select("a", "b").distinct().join(known, ["a", "b"], "left_anti")
+        fresh = asked.select("a", "b").distinct().join(known.hint("merge"), ["a", "b"], "left_anti")
         known = stage(known.unionByName(overlaps(fresh, parts, percent)))
-        history.append(stage(asked.join(known, ["a", "b"])))
+        history.append(stage(asked.join(known.hint("merge"), ["a", "b"])))
     return known.where("ok").select("a", "b")
 
 
+def similar_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
+                 percent: int = PERCENT) -> DataFrame:
+    """doc_id, ``ROW``, n_shingles, node and component_id of every row.
+
+    Rows with equal sets are a
+    class, whatever their ids; node numbers the component of a row's class (null without
+    words), and component_id is the smallest doc_id in it (null if all are).
+    """
+    rows = _identified(docs, doc_id, text)
+    sets = stage(digest_sets(rows, width))
+    sketch = add_sketches(sets.where("part is not null").select("part", "task", "counts"))
+    short = sets.where("part is null").select(*ROW, "n", "digest")
+    classes = stage(short.where("n > 0").groupBy("digest").agg(_first().alias("first")).select(
+        F.monotonically_increasing_id().alias("node"), "digest", "first.doc", (~F.col("first.none")).alias("has"), "first.mark"))
+    chosen = prefixes(rows, width, percent, sketch).join(classes.hint("merge"), [*ROW, "digest"])
+    # Rows alike in id and text are in one partition of the join already.
+    reps = stage(chosen.dropDuplicates([*ROW, "digest"]))
+    roots = connected(links(rows, reps, width, percent))
+    named = classes.join(roots.hint("merge").withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
+        "digest", F.coalesce("root", "node").alias("node"), F.when(F.col("has"), F.col("doc")).alias("least"))
+    least = named.groupBy("node").agg(F.min("least").alias("component_id"))
+    named = stage(named.drop("least").join(least.hint("merge"), "node"))
+    own = F.when(F.col("has"), F.col("doc"))
+    return short.join(named.hint("merge"), "digest", "left").select(
+        own.alias("doc_id"), *ROW, F.col("n").cast("bigint").alias("n_shingles"), "node",
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id"))
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
                        percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row.
 
     Two texts are linked when 100 * |intersection| >= ``percent`` * |union| of their
     sets of distinct ``width``-word shingles. component_id is the smallest doc_id
-    reachable. A text without words (or null) has no shingle and no link. Rows that
-    repeat a doc_id share its component; a null doc_id has none unless its text
-    equals another's as a set.
+    reachable. A text without words (or null) has no shingle and no link, and its own
+    doc_id. Rows that repeat a doc_id are rows of their own; those with a null doc_id
+    are linked like others, and component_id is null if all ids of a component are.
     """
-    sets = stage(digest_sets(docs, doc_id, text, width))
-    sketch = add_sketches(sets.where("part is not null").select("part", "task", "counts"))
-    rows = sets.where("part is null").select("doc_id", "n", "digest")
-    classes = stage(rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")))
-    reps = prefixes(docs, doc_id, text, width, percent, sketch)
-    chosen = classes.where("rep is not null").select("digest", F.col("rep").alias("doc_id"))
-    reps = stage(reps.join(chosen, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id"]))
-    roots = connected(links(docs, reps, doc_id, text, width, percent))
-    named = classes.join(roots, classes["rep"] == roots["node"], "left").select(
-        "digest", F.coalesce("root", "rep").alias("root"))
-    # A row that repeats a class's doc_id with another text follows its own class.
-    out = rows.join(named, "digest", "left")
-    return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("component_id"))
+    return similar_rows(docs, doc_id, text, width, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without those similar to an earlier one: of each component its first stays.
+
+    The first has the smallest doc_id (null last), then the smallest hash of its text; rows
+    alike in both stay together. Texts without words stay.
+    """
+    found = stage(similar_rows(docs, doc_id, text, width, percent).where("node is not null").select(*ROW, "node"))
+    first = found.groupBy("node").agg(_first().alias("first"))
+    gone = found.join(first.hint("merge"), "node").where(
+        "doc <> first.doc or has = first.none or mark <> first.mark").select(*ROW).distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    return _identified(docs, doc_id, text, whole).join(gone.hint("merge"), ROW, "left_anti").select("_row.*")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
