@@ -52,7 +52,8 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fir
     Returns the struct ``_doc`` of the columns ``keep`` (default: all), and
     keep_id, group_size, kept, text_sha256. Of a group the row with the most code
     points in its text stays, then the smallest doc_id (null last), then any one of
-    rows alike in both. A null text is empty, and empty texts are equal.
+    rows alike in both. A null text is empty, and empty texts are equal. Ids may be of any
+    type that has an order.
     """
     id_, value = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
     norm = without_space(value)
@@ -76,11 +77,11 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fir
                                         F.lit(True).alias("kept"), F.col("_sha").alias("text_sha256"))
     many = done.where("_n > 1")
     best = many.groupBy("_level", "_group").agg(
-        F.max(F.struct("_chars", F.col("_id").isNotNull().alias("has"), (-F.col("_id")).alias("id"), (-F.col("_row")).alias("row")))
-        .alias("_best"))
+        F.min(F.struct((-F.col("_chars")).alias("chars"), F.col("_id").isNull().alias("none"), F.col("_id").alias("id"),
+                       F.col("_row").alias("row"))).alias("_best"))
     many = many.join(best.hint("merge"), ["_level", "_group"]).select(
-        "_doc", (-F.col("_best.id")).alias("keep_id"), F.col("_n").alias("group_size"),
-        (F.col("_row") == -F.col("_best.row")).alias("kept"), F.col("_sha").alias("text_sha256"))
+        "_doc", F.col("_best.id").alias("keep_id"), F.col("_n").alias("group_size"),
+        (F.col("_row") == F.col("_best.row")).alias("kept"), F.col("_sha").alias("text_sha256"))
     return alone.unionByName(many)
 
 

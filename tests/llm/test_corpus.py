@@ -85,6 +85,14 @@ def test_exact_repeated_rows_keep_one(with_repeats, nothing):
     assert exact.exact_dedup(nothing).count() == 0
 
 
+@pytest.mark.parametrize("kind,ids", [("bigint", [-(1 << 63), 5, (1 << 63) - 1, None]), ("string", ["a", "b", "c", None])])
+def test_exact_ids_of_any_kind(spark, kind, ids):
+    rows = [(i, t) for i in ids for t in ("one text", "a b")] + [(ids[1], "onetext ")]
+    found = exact.exact_dedup(spark.createDataFrame(rows, f"doc_id {kind}, text string")).collect()
+    assert {(r["_doc"]["doc_id"], r["_doc"]["text"]) for r in found if r["kept"]} == {(ids[0], "one text"), (ids[0], "a b")}
+    assert {r["keep_id"] for r in found} == {ids[0]} and {r["group_size"] for r in found} == {4, 5}
+
+
 # --- near copies ---
 
 def shingle_sets(rows, width):
@@ -131,11 +139,60 @@ def test_jaccard_chains_and_blocks(spark, monkeypatch):
     assert got == want
 
 
+def rows_of_components(rows, width, percent):
+    """Rows (doc_id, text) by place: size of the set, place of the component's root."""
+    sets = shingle_sets({k: t or "" for k, (_, t) in enumerate(rows)}, width)
+    return sets, components_of(sets, percent)
+
+
 def test_jaccard_awkward(with_repeats, nothing):
-    assert jaccard.jaccard_components(with_repeats).count() == with_repeats.count()
+    rows = [(r["doc_id"], r["text"]) for r in with_repeats.collect()]
+    sets, root = rows_of_components(rows, 4, 85)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[root[k]] = min((x for x in (least.get(root[k]), i) if x is not None), default=None)
+    want = [(i, len(sets[k]), least[root[k]] if sets[k] else i) for k, (i, _) in enumerate(rows)]
+    got = [tuple(r) for r in jaccard.jaccard_components(with_repeats).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
     assert jaccard.jaccard_components(nothing).count() == 0
 
 
+def test_links_hold_for_repeated_and_null_ids(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"{k}{rng.randint(0, 999)}" for _ in range(60)) for k in "abcd")
+    rows = [(1, a), (1, b), (2, a + " q"), (3, b + " q"), (4, c), (None, c + " q"), (None, d), (None, d + " q"), (5, "lone text of its own"),
+            (2, d + "".join(f" z{k}" for k in range(30)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["doc_id"], r["mark"]): r["component_id"] for r in jaccard.similar_rows(df).collect()}
+    marks = {r["text"]: r["mark"] for r in df.select("text", F.xxhash64("text").alias("mark")).collect()}
+    want = [1, 1, 1, 1, 4, 4, None, None, 5, 2]
+    assert [got[i, marks[t]] for i, t in rows] == want
+
+
+def test_one_of_each(spark, with_repeats, nothing):
+    """Of each component one row stays, also when ids repeat or are null; columns and clashing names stay."""
+    rng = random.Random(9)
+    a, b = (" ".join(f"{k}{rng.randint(0, 999)}" for _ in range(60)) for k in "ab")
+    rows = [(1, a), (None, a + " q"), (2, b), (2, a + " z"), (3, None), (4, ""), (None, b + " q"), (None, "quite another text")]
+    df = spark.createDataFrame([(*r, 7, "m") for r in rows], "doc_id bigint, text string, node int, mark string")
+    out = jaccard.one_of_each(df, width=5, percent=80)
+    assert out.columns == df.columns
+    assert {(r["doc_id"], r["text"]) for r in out.collect()} == {(1, a), (2, b), (3, None), (4, ""), (None, "quite another text")}
+    assert jaccard.one_of_each(nothing).count() == 0
+    every = [(r["doc_id"], r["text"]) for r in with_repeats.collect()]
+    sets, root = rows_of_components(every, 5, 80)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.one_of_each(with_repeats, width=5, percent=80).collect()]
+    groups = {}
+    for k, row in enumerate(every):
+        if sets[k]:
+            groups.setdefault(root[k], []).append(row)
+    for members in groups.values():
+        ids = [i for i, _ in members if i is not None]
+        left = {row for row in kept if row in members}
+        assert len(left) == 1 and next(iter(left))[0] == (min(ids) if ids else None)
+    assert sum(not shingle_sets({0: t or ""}, 5)[0] for _, t in kept) == sum(not x for x in sets.values())
+
+
 def test_bitmaps_never_rule_out_a_link():
     rng = np.random.default_rng(0)
     for _ in range(200):
@@ -255,7 +312,6 @@ def test_pack(docs, nothing):
 
     path = P.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = packing.pack(docs, path, P.PATTERN, with_ids=True).collect()
     for doc, text in texts(docs).items():
         ids = tokenizer.encode(text, add_special_tokens=False).ids + [2]
@@ -272,6 +328,15 @@ def test_pack(docs, nothing):
     assert packing.pack(nothing, path, P.PATTERN).count() == 0
 
 
+def test_added_tokens_follow_the_file():
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    tokenizer, own = Tokenizer.from_file(path), packing.WordIds(path, P.PATTERN)
+    for text in ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b", "<|endoftext|", "plain words"]:
+        assert np.frombuffer(own(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_equals_tiktoken(docs, nothing):
     import tiktoken
 
@@ -411,6 +476,55 @@ def test_toxicity_learns(spark):
     assert all(0 <= r["score"] <= 1 for r in toxicity.score_column(docs, flat).collect())
 
 
+def test_toxicity_training_equals_dense_steps():
+    """Ratios, features and Adam steps against plain dense matrices."""
+    rng = np.random.default_rng(3)
+    bits, texts = 6, 30
+    grams = [np.flatnonzero(rng.random(1 << bits) < 0.2).astype(np.int32) for _ in range(texts)]
+    grams[4] = np.zeros(0, np.int32)
+    labels = (rng.random(texts) < 0.4).astype(int)
+    model = toxicity.train(grams, labels, 0.4, bits)
+    has = np.zeros((texts, 1 << bits))
+    for k, g in enumerate(grams):
+        has[k, g] = 1
+    bad, good = has[labels == 1], has[labels == 0]
+    ratio = np.log((bad.sum(0) + 1) / (len(bad) + 2)) - np.log((good.sum(0) + 1) / (len(good) + 2))
+    x = has * ratio * (has.sum(0) >= toxicity.LEAST_TEXTS) / np.sqrt(np.maximum(1, has.sum(1)))[:, None]
+    weight = np.where(labels == 1, 0.4 / labels.mean(), 0.6 / (1 - labels.mean())) / texts
+    w, b, m, v = np.zeros(1 << bits), np.log(0.4 / 0.6), np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
+    for t in range(1, toxicity.STEPS + 1):
+        error = weight * (1 / (1 + np.exp(-(x @ w + b))) - labels)
+        grad = np.append(x.T @ error + toxicity.PENALTY / texts * w, error.sum())
+        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
+        step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-10)
+        w, b = w - step[:-1], b - step[-1]
+    assert np.allclose(model.weights, w * ratio, atol=1e-5) and np.isclose(model.intercept, b)
+
+
+def test_models_reach_tasks_without_the_package(tmp_path):
+    """The package is importable on the driver only; scores must come all the same."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+from demandspark.llm import langid, toxicity
+rows = [(i, ("vile grub " if i % 2 else "good bread ") * 9, "ab"[i % 2], i % 2) for i in range(40)]
+docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, toxic int")
+model = toxicity.fit(docs, docs.select("doc_id", "toxic"), F.lit(True))
+assert toxicity.score_column(docs, model).where("(score >= 0.5) = (toxic = 1)").count() == 40
+assert langid.identify(docs, langid.fit(docs, F.lit(True))).where("lang_pred = lang").count() == 40
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=400)
+    assert done.returncode == 0, done.stderr[-3000:]
+
+
 def test_language_id_learns(spark):
     rng = random.Random(6)
     stems = {"aa": "zon rik bel tam".split(), "bb": "qua xir vey hup".split()}
