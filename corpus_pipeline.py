@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.llm import exact, jaccard, packing, suffixes, toxicity
-from demandspark.llm.common import held_out, shared_dir, table
+from demandspark.llm.common import held_out, stage_tidily, table
 
 TOXIC = 0.5
 # SQL has no classifier; tests compare the stages to brute force instead.
@@ -32,9 +32,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each component of five-word-shingle similarity 0.8 or more."""
-    found = jaccard.jaccard_components(docs, width=5, percent=80)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    return jaccard.one_of_each(docs, width=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +56,6 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        path = f"{shared_dir(spark)}-{name}"
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+    for _, stage in STAGES:
+        docs = stage_tidily(stage(spark, docs, sf_dir))
     return docs
