@@ -116,6 +116,23 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "replace")
 
 
+# What a row is known by where ids may repeat or be null.
+ROW = ["doc", "has", "mark"]
+ROW_TYPES = "doc bigint, has boolean, mark bigint"
+
+
+def identified(docs: DataFrame, doc_id: str, text: str, carried: Column | None = None) -> DataFrame:
+    """``ROW`` and text, or what is carried in its place.
+
+    ``ROW`` is the id as a whole number (0 if null), whether there is one, and the xxhash64
+    of the text (null is empty).
+    """
+    own, value = F.col(f"`{doc_id}`").cast("bigint"), F.col(f"`{text}`")
+    return docs.select(F.coalesce(own, F.lit(0)).alias("doc"), own.isNotNull().alias("has"),
+                       F.xxhash64(F.coalesce(value, F.lit(""))).alias("mark"),
+                       value.alias("text") if carried is None else carried)
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text, modulo ``parts``, is ``part``; false for a null id."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % parts == part, F.lit(False))

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import stage, table
+from demandspark.llm.common import stage_tidily as stage
+from demandspark.llm.common import ROW, identified, table
 
 FIRST_RUN = 256
 WIDEN = 16
@@ -85,6 +86,23 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fir
     return alone.unionByName(many)
 
 
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`exact_dedup` keeps.
+
+    Texts are compared without the rows they belong to, which are moved only once, at the
+    end. Ids are whole numbers. Of rows alike in id and text one stays.
+    """
+    rows = identified(docs, doc_id, text)
+    own = F.when(F.col("has"), F.col("doc")).alias("own")
+    found = exact_dedup(rows.select(*ROW, own, "text"), "own", "text", keep=ROW)
+    facts = stage(found.groupBy(*[F.col(f"_doc.{c}").alias(c) for c in ROW]).agg(
+        F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_alike")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    kept = identified(docs, doc_id, text, whole).join(facts.where("_kept").hint("merge"), ROW)
+    single = kept.where("_alike = 1").select("_row.*")
+    return single.unionByName(kept.where("_alike > 1").dropDuplicates(ROW).select("_row.*"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("_doc.doc_id", "keep_id", "group_size", "kept", "text_sha256")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.llm.bytesets import Powers, set_digest, shingles
-from demandspark.llm.common import map_rows, table, utf8
+from demandspark.llm.common import ROW, ROW_TYPES, identified, map_rows, table, utf8
 from demandspark.llm.common import stage_tidily as stage
 from demandspark.llm.components import connected
 
@@ -59,18 +59,6 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-ROW = ["doc", "has", "mark"]
-ROW_TYPES = "doc bigint, has boolean, mark bigint"
-
-
-def _identified(docs: DataFrame, doc_id: str, text: str, carried: Column | None = None) -> DataFrame:
-    """``ROW`` and text, or what is carried in its place. A row is known by its id (0 if null), whether it has one, and a hash of its text, as ids may repeat."""
-    own, value = F.col(f"`{doc_id}`").cast("bigint"), F.col(f"`{text}`")
-    return docs.select(F.coalesce(own, F.lit(0)).alias("doc"), own.isNotNull().alias("has"),
-                       F.xxhash64(F.coalesce(value, F.lit(""))).alias("mark"),
-                       value.alias("text") if carried is None else carried)
-
-
 def _first() -> Column:
     """First row of a group: the smallest id (null last), then the smallest hash."""
     return F.min(F.struct((~F.col("has")).alias("none"), "doc", "mark"))
@@ -319,7 +307,7 @@ def similar_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     class, whatever their ids; node numbers the component of a row's class (null without
     words), and component_id is the smallest doc_id in it (null if all are).
     """
-    rows = _identified(docs, doc_id, text)
+    rows = identified(docs, doc_id, text)
     sets = stage(digest_sets(rows, width))
     sketch = add_sketches(sets.where("part is not null").select("part", "task", "counts"))
     short = sets.where("part is null").select(*ROW, "n", "digest")
@@ -363,7 +351,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wid
     gone = found.join(first.hint("merge"), "node").where(
         "doc <> first.doc or has = first.none or mark <> first.mark").select(*ROW).distinct()
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    return _identified(docs, doc_id, text, whole).join(gone.hint("merge"), ROW, "left_anti").select("_row.*")
+    return identified(docs, doc_id, text, whole).join(gone.hint("merge"), ROW, "left_anti").select("_row.*")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

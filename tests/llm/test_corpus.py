@@ -85,6 +85,24 @@ def test_exact_repeated_rows_keep_one(with_repeats, nothing):
     assert exact.exact_dedup(nothing).count() == 0
 
 
+def test_one_row_of_equal_texts(docs, with_repeats, nothing):
+    """Whole rows, with columns that clash with names used inside; rows alike in id and text leave one."""
+    for df in (docs, with_repeats):
+        own = df.withColumn("mark", F.lit("m")).withColumn("has", F.lit(5))
+        got = exact.one_of_each(own)
+        assert got.columns == own.columns
+        groups = {}
+        for r in own.collect():
+            groups.setdefault(squeezed(r["text"]), []).append(r)
+        rows = got.collect()
+        assert len(rows) == len(groups)
+        for r in rows:
+            assert r in groups[squeezed(r["text"])]
+            best = min(groups[squeezed(r["text"])], key=lambda x: (-len(x["text"] or ""), x["doc_id"] is None, x["doc_id"] or 0))
+            assert (r["doc_id"], len(r["text"] or "")) == (best["doc_id"], len(best["text"] or ""))
+    assert exact.one_of_each(nothing).count() == 0
+
+
 @pytest.mark.parametrize("kind,ids", [("bigint", [-(1 << 63), 5, (1 << 63) - 1, None]), ("string", ["a", "b", "c", None])])
 def test_exact_ids_of_any_kind(spark, kind, ids):
     rows = [(i, t) for i in ids for t in ("one text", "a b")] + [(ids[1], "onetext ")]
