@@ -40,9 +40,11 @@ FRAGMENTS = 4
 SKETCH_BITS = 18
 SKETCH_PARTS = 16
 SKETCH_FAN_IN = 256
-# Bitmap bits for each n-gram, and classes of a block when a bucket is compared in blocks.
+# Bitmap bits for each n-gram, and classes and n-grams of a block when a bucket is compared in blocks. A bitmap
+# has at most a byte for each n-gram, so the n-grams bound the bytes of the bitmaps that a row holds.
 BITS_EACH = 4
 BLOCK = 1024
+BLOCK_GRAMS = 1 << 24
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -210,14 +212,14 @@ def _blocks(reps: DataFrame, percent: int) -> DataFrame:
     members = stage(rows.join(shared.hint("merge"), "gram"))
     # Bands a little wider than the ratio of sizes, so that rounding of logarithms never parts a pair.
     band = F.floor(F.log("n") / float(-np.log(percent / 100 - 1e-6))).cast("int")
-    members = members.select("node", "gram", F.explode(F.array(band, band + 1)).alias("band"))
+    members = members.select("node", "n", "gram", F.explode(F.array(band, band + 1)).alias("band"))
     buckets = members.groupBy("gram", "band").agg(
-        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("s"),
+        F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"), F.bit_xor(F.xxhash64("node")).alias("s"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")).where("m > 1")
-    buckets = buckets.groupBy("m", "s", "t").agg(F.min(F.struct("gram", "band")).alias("one"))
-    buckets = stage(buckets.select("one.gram", "one.band", "m", F.monotonically_increasing_id().alias("bucket")))
-    members = members.join(buckets.hint("merge"), ["gram", "band"]).select(
-        "node", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"))
+    buckets = buckets.groupBy("m", "grams", "s", "t").agg(F.min(F.struct("gram", "band")).alias("one"))
+    cuts = F.greatest(F.ceil(F.col("m") / BLOCK), F.least("m", F.ceil(F.col("grams") / BLOCK_GRAMS))).cast("int").alias("nb")
+    buckets = stage(buckets.select("one.gram", "one.band", cuts, F.monotonically_increasing_id().alias("bucket")))
+    members = members.drop("n").join(buckets.hint("merge"), ["gram", "band"]).select("node", "bucket", "nb")
     members = members.join(reps.select("node", "n", "bitmap").hint("merge"), "node")
     own = F.pmod(F.xxhash64("node", F.lit(2)), F.col("nb")).cast("int")
     members = members.withColumn("b", own).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))

@@ -140,9 +140,10 @@ def test_jaccard_components(docs, width, percent):
         assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), want[r["doc_id"]])
 
 
-def test_jaccard_chains_and_blocks(spark, monkeypatch):
-    """Sliding sets form one chain; a block size of 4 compares a bucket in pieces."""
-    monkeypatch.setattr(jaccard, "BLOCK", 4)
+@pytest.mark.parametrize("bound, most", [("BLOCK", 4), ("BLOCK_GRAMS", 64)])
+def test_jaccard_chains_and_blocks(spark, monkeypatch, bound, most):
+    """Sliding sets form one chain; small blocks compare a bucket in pieces."""
+    monkeypatch.setattr(jaccard, bound, most)
     rng = random.Random(3)
     words = [f"w{i}" for i in range(200)]
     rows = {i: " ".join(words[2 * i:2 * i + 40]) for i in range(40)}
