@@ -20,6 +20,7 @@ buckets are, never what the result is.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -248,19 +249,26 @@ def _candidates(blocks: DataFrame, many: int, percent: int, known: DataFrame | N
 
 
 def fragments(rows: DataFrame, reps: DataFrame, width: int) -> DataFrame:
-    """node, n, fragment, hashes of the sets of ``reps`` (node, ``ROW``, digest, n), cut by hash range."""
-    texts = rows.join(reps.hint("merge"), ROW)
+    """node, n, fragment, hashes of the sets of ``reps`` (node, ``ROW``, digest, n), cut by hash range.
+
+    Texts travel to their classes compressed one by one, in two thirds of the space.
+    """
+    def pack(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for doc, has, mark, value in rows:
+            yield doc, has, mark, zlib.compress(utf8(value), 1)
+
+    texts = map_rows(rows, [*ROW, "text"], f"{ROW_TYPES}, packed binary", pack, 256).join(reps.hint("merge"), ROW)
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         tables = Powers()
         edges = np.array([(k << 64) // FRAGMENTS for k in range(1, FRAGMENTS)], np.uint64)
-        for node, value, digest, n in rows:
-            found = shingles(utf8(value), width, tables)
+        for node, packed, digest, n in rows:
+            found = shingles(zlib.decompress(packed), width, tables)
             if set_digest(found) == digest:
                 for k, part in enumerate(np.split(found, np.searchsorted(found, edges))):
                     yield node, n, k, part.view(np.int64)
 
-    found = map_rows(texts, ["node", "text", "digest", "n"], "node bigint, n int, fragment int, hashes array<bigint>", run, 256)
+    found = map_rows(texts, ["node", "packed", "digest", "n"], "node bigint, n int, fragment int, hashes array<bigint>", run, 256)
     return stage(found.dropDuplicates(["node", "fragment"]))
 
 
