@@ -200,6 +200,39 @@ def test_fit_on_odd_labels(spark):
     assert set(model.forests) == set(isolation.FORESTS)
 
 
+def test_quality_learns_from_all_labelled_rows(spark, monkeypatch):
+    """Thresholds as those of all labelled rows together, and trees drawn from all of them, however few the driver holds."""
+    rng = random.Random(8)
+    rows = [(i, " ".join("x" * rng.randint(1, 9 + i % 7) for _ in range(rng.randint(20, 90))), int(rng.random() < 0.8)) for i in range(600)]
+    rows += [(700 + i, " ".join("y" * 40 for _ in range(30)) + f" #{i}#", 0) for i in range(9)]
+    docs = spark.createDataFrame(rows + rows[:50], "doc_id bigint, text string, quality int")
+    labels = docs.select("doc_id", "quality")
+    stats, good = np.array([isolation.rule_stats(r[1]) for r in rows + rows[:50]]), np.array([r[2] == 1 for r in rows + rows[:50]])
+    usual = ~isolation.fails_base(stats)
+    for pool in (64, 10_000):
+        drawn, plain = [], isolation.IsolationForest.fit
+        monkeypatch.setattr(isolation.IsolationForest, "fit", staticmethod(lambda x, *more: drawn.append(x) or plain(x, *more)))
+        model = isolation.fit(docs, labels, pool, 20, 32)
+        monkeypatch.setattr(isolation.IsolationForest, "fit", staticmethod(plain))
+        assert all(len(x) > 200 for x in drawn) and len(drawn) == 2
+        x = isolation.features(stats[usual])
+        for name, forest in model.forests.items():
+            score = forest.score(x[:, isolation.FORESTS[name]])
+            assert model.thresholds[name] == isolation.calibrate(score, good[usual])
+
+
+def test_thresholds_equal_those_of_one_array(spark):
+    rng = np.random.default_rng(6)
+    scores = np.round(rng.random(3000), 3)
+    good = rng.random(3000) > scores ** 3
+    rows = spark.createDataFrame([(bool(g), float(s), float(1 - s)) for g, s in zip(good, scores)], "good boolean, a double, b double")
+    for lost in (0.0, 0.01, 0.3):
+        got = isolation.thresholds(rows, ["a", "b"], lost)
+        assert got == {"a": isolation.calibrate(scores, good, lost), "b": isolation.calibrate(np.array([1 - s for s in scores]), good, lost)}
+    assert isolation.thresholds(rows.where("good"), ["a"]) == {"a": isolation.calibrate(scores[good], good[good])}
+    assert isolation.thresholds(rows.where("not good"), ["a"]) == {"a": float("inf")}
+
+
 def test_quality_query_against_its_labels(spark):
     """The whole query: statistics of all texts by brute force, and what the labels say of its verdicts."""
     sf = "/root/testdata/sf0.01"
