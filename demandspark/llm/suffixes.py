@@ -121,6 +121,14 @@ def least_owner(strings: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
 
 # --- minimizers -----------------------------------------------------------------------------------------------------
 
+def _spread(least: np.ndarray) -> np.ndarray:
+    """Keys of least hashes, one to one. The least of many hashes is mostly small; keys are spread evenly."""
+    low, half = np.uint64((1 << KEY_BITS) - 1), np.uint64(KEY_BITS // 2)
+    for odd in (0x9E3779B97F4B, 0xC2B2AE3D27D5):
+        least = (least ^ (least >> half)) * np.uint64(odd) & low
+    return least ^ (least >> half)
+
+
 def minimizers(data: bytes, tables: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one minimizer: its key, the first window, one past the last."""
     b = np.frombuffer(data, np.uint8)
@@ -137,7 +145,7 @@ def minimizers(data: bytes, tables: Powers) -> tuple[np.ndarray, np.ndarray, np.
         least = np.minimum(least[:span - wide], least[wide - span:])
     turns = np.flatnonzero(least[1:] != least[:-1]) + 1
     first = np.concatenate([[0], turns])
-    return least[first], first, np.concatenate([turns, [len(least)]])
+    return _spread(least[first]), first, np.concatenate([turns, [len(least)]])
 
 
 def share_of(key: np.ndarray, shares: int) -> np.ndarray:

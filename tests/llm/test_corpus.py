@@ -299,6 +299,18 @@ def test_shares_ascend_with_keys_at_any_number():
     assert suffixes.share_of(last, 131_072)[0] == 131_071
 
 
+def test_minimizers_fill_all_shares_alike():
+    """Minimizers are the least of many hashes; no share gets more of them than the others for that."""
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(60_000)).encode()
+    keys = suffixes.minimizers(text, suffixes.Powers())[0]
+    counts = np.bincount(suffixes.share_of(keys, 100), minlength=100)
+    assert counts.max() < 1.5 * counts.mean() and counts.min() > 0.5 * counts.mean()
+    assert (keys >> np.uint64(suffixes.KEY_BITS)).max() == 0
+    some = np.unique(np.random.default_rng(1).integers(0, 1 << suffixes.KEY_BITS, 100_000, np.uint64))
+    assert len(np.unique(suffixes._spread(some))) == len(some)
+
+
 # --- packing and byte-pair encoding ---
 
 def test_plan_is_best_fit_decreasing():
