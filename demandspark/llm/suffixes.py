@@ -516,7 +516,8 @@ def cut_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_cha
     lost = map_rows(cut, ["doc", "mark", "text", "spans"], "_doc bigint, _mark bigint, _left string", run, 256)
     gone = short.where(whole(F.col("copy"), F.col("n_bytes"))).select(
         F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.lit("").alias("_left"))
-    changed = lost.unionByName(gone).dropDuplicates(["_doc", "_mark"])
+    # Written by itself, so that the texts' shuffle is gone before whole rows move.
+    changed = stage(lost.unionByName(gone).dropDuplicates(["_doc", "_mark"]))
     value = F.col(f"`{text}`")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                         F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(LAST_ID)).alias("_doc"),

@@ -108,7 +108,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_R
     """Learn from up to ``fit_rows`` labelled documents of each class for which ``learn`` holds.
 
     ``labels`` has doc_id and toxic (rows with a null are skipped). The chosen ids,
-    of bounded number, are broadcast; n-grams are found in tasks.
+    of bounded number, are broadcast; n-grams are found in tasks. One task learns from
+    them, so that only the weights reach the driver.
     """
     known = labels.where(learn).where("doc_id is not null and toxic in (0, 1)").select("doc_id", "toxic").distinct()
     found = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -123,11 +124,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_R
         for doc, text, toxic in rows:
             yield doc, toxic, grams(text).tobytes()
 
-    rows = map_rows(texts, ["doc_id", "text", "toxic"], "doc_id bigint, toxic int, grams binary", run, 64).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["toxic"], bytes(r["grams"])))
-    grams, marks = [np.frombuffer(r["grams"], np.int32) for r in rows], np.array([r["toxic"] for r in rows])
-    del rows
-    return train(grams, marks, found.get(1, 0) / max(1, sum(found.values())))
+    prior = found.get(1, 0) / max(1, sum(found.values()))
+
+    def learn_all(rows: Iterator[tuple]) -> Iterator[tuple]:
+        rows = sorted(rows)
+        model = train([np.frombuffer(g, np.int32) for _, _, g in rows], np.array([t for _, t, _ in rows]), prior)
+        yield model.weights.tobytes(), model.intercept
+
+    rows = map_rows(texts, ["doc_id", "text", "toxic"], "doc_id bigint, toxic int, grams binary", run, 64)
+    got = map_rows(rows.repartition(1), ["doc_id", "toxic", "grams"], "weights binary, intercept double", learn_all).first()
+    if got is None:
+        return train([], np.zeros(0, int), prior)
+    return NaiveBayesLinear(np.frombuffer(bytes(got["weights"]), np.float32), got["intercept"])
 
 
 def score_column(docs: DataFrame, model: NaiveBayesLinear, text: str = "text", out: str = "score") -> DataFrame:
