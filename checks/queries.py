@@ -1028,15 +1028,20 @@ def incremental_ingest(s, d):
                         F.lit(second["raw_partitions_invalid"]).cast("bigint").alias("refused"))
 
 
+PART_ROWS = 500_000  # rows that one task sorts
+
+
 @query
 def large_sheets(s, d):
-    """Line items as one large sheet per return flag, with exact row numbers from its blocks."""
+    """Line items as one large sheet per return flag, written in sorted parts, with exact row numbers from their blocks."""
     path = _scratch(s)
     lines = table(s, d, "lineitem").select(
         "l_returnflag", "l_orderkey", "l_linenumber", F.concat_ws(",", "l_orderkey", "l_linenumber", "l_quantity").alias("line"))
-    (lines.repartition("l_returnflag").sortWithinPartitions("l_returnflag", "l_orderkey", "l_linenumber", "line")
+    order = ["l_returnflag", "l_orderkey", "l_linenumber", "line"]
+    parts = max(1, -(-lines.count() // PART_ROWS))
+    (lines.repartitionByRange(parts, *order).sortWithinPartitions(*order)
           .select("l_returnflag", "line").write.partitionBy("l_returnflag").text(path))
-    g = grid.read_large_sheets(s, path, pattern=r"l_returnflag=([^/]+)/")
+    g = grid.read_large_sheets(s, path, pattern=r"l_returnflag=([^/]+)/", in_parts=True)
     return g.select("partition_key", "row_idx", F.get("cells", F.lit(0)).cast("bigint").alias("l_orderkey"),
                     F.get("cells", F.lit(1)).cast("bigint").alias("l_linenumber"), F.size("cells").cast("bigint").alias("n_cells"))
 

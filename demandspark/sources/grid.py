@@ -57,11 +57,13 @@ def read_sheets(spark: SparkSession, path: str | Sequence[str], width: int | Non
     return explode_sheets(files, width)
 
 
-def read_large_sheets(spark: SparkSession, path: str, width: int | None = None, pattern: str = KEY_PATTERN) -> DataFrame:
+def read_large_sheets(spark: SparkSession, path: str, width: int | None = None, pattern: str = KEY_PATTERN,
+                      in_parts: bool = False) -> DataFrame:
     """The same grid with each file cut over many tasks.
 
     Lines are read block by block. A line's number is its place in its block plus the lines
-    of the blocks before it in the file, which are counted, one row per block. Lines end at
+    of the blocks before it in the file, which are counted, one row per block. With ``in_parts``
+    the files of one key are the parts of one sheet, in order of their paths. Lines end at
     a line feed, a carriage return or both. Runs a job: the lines are staged, as their places
     must not change between two reads.
     """
@@ -70,8 +72,9 @@ def read_large_sheets(spark: SparkSession, path: str, width: int | None = None,
         F.monotonically_increasing_id().alias("_mark"))
     lines = cut_lineage(lines)
     blocks = lines.groupBy("_file", "_block").agg(F.min("_mark").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    ahead = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sheet = sheet_key(F.col("_file"), pattern) if in_parts else F.col("_file")
+    ahead = Window.partitionBy(sheet).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
     row = F.col("_before") + F.col("_mark") - F.col("_first")
-    return lines.join(blocks, ["_file", "_block"]).select(
+    return lines.join(F.broadcast(blocks), ["_file", "_block"]).select(
         sheet_key(F.col("_file"), pattern).alias("partition_key"), row.alias("row_idx"), split_cells(F.col("value"), width).alias("cells"))

@@ -279,6 +279,22 @@ def test_large_sheets_equal_whole_ones(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_large_sheet_in_sorted_parts(spark, tmp_path):
+    """Parts of one sheet, each in blocks, are numbered on; they come from many sorted tasks."""
+    path = str(tmp_path / "parts")
+    lines = spark.range(500).select(F.expr("if(id % 3 = 0, 'a', 'b')").alias("k"), F.format_string("%04d,x", "id").alias("line"))
+    lines.repartitionByRange(5, "k", "line").sortWithinPartitions("k", "line").write.partitionBy("k").text(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        got = grid.read_large_sheets(spark, path, pattern=r"k=([^/]+)/", in_parts=True)
+        got = sorted((r["partition_key"], r["row_idx"], r["cells"][0]) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    each = {k: [f"{i:04d}" for i in range(500) if (i % 3 == 0) == (k == "a")] for k in "ab"}
+    assert got == [(k, i, v) for k in "ab" for i, v in enumerate(each[k])]
+
+
 def test_promotion_is_whole_or_not_at_all(spark, tmp_path):
     from demandspark.operators import select
 
