@@ -26,6 +26,8 @@ from demandspark.keys import SeriesKeys
 from demandspark.sources.tables import cut_lineage
 
 SALTS = 16
+# Rows of a training matrix that one task holds.
+ROWS_EACH = 32_768
 
 
 def null_safe_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -200,6 +202,16 @@ def stage(df: DataFrame) -> DataFrame:
     return out
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """A matrix of so many rows on enough tasks for a fit that reads it in thousands of jobs.
+
+    Adaptive execution puts compact rows into few tasks, whatever is made of them later. A
+    matrix that is on enough tasks already is returned as it is.
+    """
+    parts = -(-rows // ROWS_EACH)
+    return df if parts <= df.rdd.getNumPartitions() else df.repartition(parts)
+
+
 def drop_helpers(df: DataFrame) -> DataFrame:
     """Remove the underscore columns the helpers above add."""
     return df.drop(*[c for c in df.columns if c.startswith("_")])

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.calendar import add_calendar, by_prefix, exogenous_names, no_gaps
 from demandspark.keys import SeriesKeys, epoch_seconds, shift_time
-from demandspark.operators.chunks import null_safe_join, series_join, stage
+from demandspark.operators.chunks import null_safe_join, series_join, spread, stage
 from demandspark.operators.dedup import keep_last
 from demandspark.operators.fill import fill_both
 from demandspark.operators.lags import seasonal_difference, shift_columns
@@ -290,9 +290,12 @@ def fit_variant(prepared: DataFrame, keys: SeriesKeys, variant: str, params: Tre
     ensure_checkpoint_dir(prepared.sparkSession)
     training = _assemble(rows, keys, features, [label]).select(
         "features", F.col(label).cast("double").alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
+    found = training
     try:
-        if training.isEmpty():
+        rows = found.count()
+        if not rows:
             raise ValueError(f"no complete training row for variant {variant!r}")
+        training = spread(found, rows).persist(StorageLevel.MEMORY_AND_DISK)
         members: dict[str, object] = {}
         if variant == "ensemble":
             members["huber"] = LinearRegression(
@@ -302,6 +305,7 @@ def fit_variant(prepared: DataFrame, keys: SeriesKeys, variant: str, params: Tre
             members[name] = _tree_model(params).fit(training)
     finally:
         training.unpersist()
+        found.unpersist()
     return Forecaster(name, variant, keys, features, members, scale)
 
 

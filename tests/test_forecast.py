@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from demandspark.operators import decompose, drift, metrics, naive, select, split, stats, trees
+from demandspark.operators import chunks, decompose, drift, metrics, naive, select, split, stats, trees
 from demandspark.operators.lags import add_lags
 from tests.conftest import T0, column
 
@@ -321,3 +321,17 @@ def test_search_is_seeded_and_within_range(series, daily_pattern):
     ranges = {**trees.SEARCH_RANGES, "trees": (2, 4, "int"), "depth": (2, 3, "int")}
     best, score = trees.search(trees.prepare_training(df, k), k, "stable", 2, 48, ranges=ranges)
     assert best in trees.draw_params(2, ranges=ranges) and 0 < score < 1
+
+
+def test_training_rows_are_spread_by_their_number(spark, series, monkeypatch):
+    """A fit over many rows that came in one task runs on several; few rows stay as they are."""
+    rows = spark.range(0, 100, 1, 1).select((F.col("id") * 1.0).alias("x"))
+    assert chunks.spread(rows, 100) is rows
+    monkeypatch.setattr(chunks, "ROWS_EACH", 30)
+    wide = chunks.spread(rows, 100)
+    assert wide.rdd.getNumPartitions() == 4 and sorted(r["x"] for r in wide.collect()) == list(range(100))
+    seen, fit = [], trees.GBTRegressor.fit
+    monkeypatch.setattr(trees.GBTRegressor, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    df, k = series({"a": [float(i % 96) for i in range(200)]})
+    trees.fit_variant(trees.prepare_training(df, k), k, "stable", trees.TreeParams(trees=1, depth=2))
+    assert seen[0] >= 200 // 30
