@@ -507,6 +507,23 @@ def test_toxicity_learns(spark):
     assert all(0 <= r["score"] <= 1 for r in toxicity.score_column(docs, flat).collect())
 
 
+def test_toxicity_learns_in_a_task(spark, monkeypatch):
+    """The labelled texts' n-grams do not reach the driver."""
+    import os
+
+    docs = spark.createDataFrame([(i, f"text {i} " * 9, i % 2) for i in range(20)], "doc_id bigint, text string, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda grams, *more: toxicity.NaiveBayesLinear(
+        np.full(1 << toxicity.BITS, len(grams), np.float32), float(os.getpid())))
+    model = toxicity.fit(docs, docs.select("doc_id", "toxic"), F.lit(True))
+    assert model.intercept != os.getpid() and set(model.weights.tolist()) == {20.0}
+
+
+def test_cut_texts_are_written_before_whole_rows_move(with_repeats):
+    """What is returned joins rows to written texts and cuts nothing itself, so the cut's shuffles are gone."""
+    plan = suffixes.cut_texts(with_repeats)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan
+
+
 def test_toxicity_training_equals_dense_steps():
     """Ratios, features and Adam steps against plain dense matrices."""
     rng = np.random.default_rng(3)
