@@ -7,7 +7,8 @@ Between classes:
   enough share an n-gram of their prefixes. Classes that share one form a bucket;
   buckets with the same classes are one. A parity bitmap of each set bounds the
   size of a pair's symmetric difference from below and leaves the pairs that may be
-  linked; of these, a bucket hands on a spanning forest only.
+  linked; of these, a bucket hands on a spanning forest only. Bitmaps folded to a few
+  bytes go first, so that only classes with a possible partner bring whole ones.
 * *Vertical partitioning.* The n-gram order (hashes) is cut into fragments. The
   overlap of a pair is counted in each fragment by itself and summed per pair.
 * A bucket whose forest holds a pair that is not linked is looked at again without
@@ -20,6 +21,7 @@ buckets are, never what the result is.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -46,6 +48,10 @@ SKETCH_FAN_IN = 256
 BITS_EACH = 4
 BLOCK = 1024
 BLOCK_GRAMS = 1 << 24
+# Least bytes of a folded bitmap, and parts that a larger one is folded from. A bit for every one or two n-grams is
+# enough for two unlike sets to differ in more bits than links allow.
+FOLDED = 32
+FOLDS = 8
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -108,8 +114,14 @@ def _bitmap(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def _folded(bitmap: bytes) -> bytes:
+    """Xor of the parts of a bitmap: the parity over fewer bits, in which two sets differ no more."""
+    size = max(min(FOLDED, len(bitmap)), len(bitmap) // FOLDS)
+    return np.bitwise_xor.reduce(np.frombuffer(bitmap, np.uint8).reshape(-1, size)).tobytes()
+
+
 def prefixes(rows: DataFrame, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """``ROW``, n, digest, prefix n-grams (rare first) and bitmap of every row with a set."""
+    """``ROW``, n, digest, prefix n-grams (rare first), bitmap and folded bitmap of every row with a set."""
     rank = np.argsort(np.argsort(sketch, kind="stable"), kind="stable").astype(np.int32)
     sent = rows.sparkSession.sparkContext.broadcast(rank)  # of fixed size
 
@@ -120,10 +132,11 @@ def prefixes(rows: DataFrame, width: int, percent: int, sketch: np.ndarray) -> D
             if len(found):
                 take = prefix_length(len(found), percent)
                 order = np.lexsort((found, ranks[_cells(found)]))[:take]
-                yield doc, has, mark, len(found), set_digest(found), found[order].view(np.int64), _bitmap(found)
+                bitmap = _bitmap(found)
+                yield doc, has, mark, len(found), set_digest(found), found[order].view(np.int64), bitmap, _folded(bitmap)
 
     return map_rows(rows, [*ROW, "text"],
-                    f"{ROW_TYPES}, n int, digest binary, prefix array<bigint>, bitmap binary", run, 256)
+                    f"{ROW_TYPES}, n int, digest binary, prefix array<bigint>, bitmap binary, folded binary", run, 256)
 
 
 class Sets:
@@ -201,12 +214,13 @@ def forests(ids: list[int], sizes: np.ndarray, bitmaps: list[bytes], links: list
 
 
 def _blocks(reps: DataFrame, percent: int) -> DataFrame:
-    """Buckets cut into blocks of bounded size: bucket, i, j, members.
+    """Buckets cut into blocks of bounded size: bucket, i, j, nodes, same.
 
     A bucket holds the classes that share a prefix n-gram and are close enough in
     size: two sets that may be linked are in the same band of sizes or in adjacent
     ones, so each goes to its own band and the next. Buckets with the same classes
-    are kept once. Every pair that may be linked is together in a row.
+    are kept once, blocks that come down to the same classes too. Every pair that may be
+    linked is together in a row.
     """
     rows = reps.select("node", "n", F.explode("prefix").alias("gram"))
     shared = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
@@ -221,15 +235,40 @@ def _blocks(reps: DataFrame, percent: int) -> DataFrame:
     cuts = F.greatest(F.ceil(F.col("m") / BLOCK), F.least("m", F.ceil(F.col("grams") / BLOCK_GRAMS))).cast("int").alias("nb")
     buckets = stage(buckets.select("one.gram", "one.band", cuts, F.monotonically_increasing_id().alias("bucket")))
     members = members.drop("n").join(buckets.hint("merge"), ["gram", "band"]).select("node", "bucket", "nb")
-    members = members.join(reps.select("node", "n", "bitmap").hint("merge"), "node")
+    members = members.join(reps.select("node", "n", "folded").hint("merge"), "node")
     own = F.pmod(F.xxhash64("node", F.lit(2)), F.col("nb")).cast("int")
     members = members.withColumn("b", own).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    return stage(members.groupBy("bucket", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j")).agg(
-        F.collect_list(F.struct("node", "n", "bitmap")).alias("members")).where(F.size("members") > 1))
+    thin = members.groupBy("bucket", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j")).agg(
+        F.collect_list(F.struct("node", "n", "folded")).alias("members")).where(F.size("members") > 1)
+    return stage(_partnered(thin, percent).dropDuplicates(["same"]))
+
+
+def _partnered(blocks: DataFrame, percent: int) -> DataFrame:
+    """bucket, i, j, nodes, same: members of each block that may be linked to another one, and their digest."""
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for bucket, i, j, members in rows:
+            members = list({m["node"]: m for m in members}.values())
+            some = np.zeros(len(members), bool)
+            for a, b, _ in possible_pairs(np.array([m["n"] for m in members], np.int64), [m["folded"] for m in members], percent):
+                some[a] = some[b] = True
+            if some.any():
+                nodes = np.sort(np.array([m["node"] for m in members], "<i8")[some])
+                yield bucket, i, j, nodes, hashlib.sha256(nodes.tobytes()).digest()
+
+    return map_rows(blocks, ["bucket", "i", "j", "members"],
+                    "bucket bigint, i int, j int, nodes array<bigint>, same binary", run, 256)
+
 
+def _candidates(blocks: DataFrame, reps: DataFrame, many: int, percent: int, known: DataFrame | None = None) -> DataFrame:
+    """bucket, i, j, a, b: forest pairs of each block, given what is known of its earlier pairs.
 
-def _candidates(blocks: DataFrame, many: int, percent: int, known: DataFrame | None = None) -> DataFrame:
-    """bucket, i, j, a, b: forest pairs of each block, given what is known of its earlier pairs."""
+    Only the classes of the blocks looked at bring their bitmaps.
+    """
+    if known is not None:
+        blocks = blocks.join(known.hint("merge").select("bucket", "i", "j"), ["bucket", "i", "j"], "left_semi")
+    blocks = blocks.select("bucket", "i", "j", F.explode("nodes").alias("node")).join(
+        reps.select("node", "n", "bitmap").hint("merge"), "node").groupBy("bucket", "i", "j").agg(
+        F.collect_list(F.struct("node", "n", "bitmap")).alias("members"))
     if known is not None:
         blocks = blocks.join(known.hint("merge"), ["bucket", "i", "j"])
     else:
@@ -288,7 +327,7 @@ def links(rows: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFra
     Joins of what grows with the corpus are merge joins at every size.
     """
     blocks = _blocks(reps, percent)
-    asked = stage(_candidates(blocks, 1, percent))
+    asked = stage(_candidates(blocks, reps, 1, percent))
     nodes = asked.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     parts = fragments(rows, reps.select("node", *ROW, "digest", "n").join(nodes.hint("merge"), "node", "left_semi"), width)
     known = stage(overlaps(asked.select("a", "b").distinct(), parts, percent))
@@ -302,7 +341,7 @@ def links(rows: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFra
         pair = F.struct("a", "b")
         sofar = sofar.join(wrong.hint("merge"), ["bucket", "i", "j"], "left_semi").groupBy("bucket", "i", "j").agg(
             F.collect_list(F.when(F.col("ok"), pair)).alias("yes"), F.collect_list(F.when(~F.col("ok"), pair)).alias("no"))
-        asked = stage(_candidates(blocks, many, percent, sofar))
+        asked = stage(_candidates(blocks, reps, many, percent, stage(sofar)))
         fresh = asked.select("a", "b").distinct().join(known.hint("merge"), ["a", "b"], "left_anti")
         known = stage(known.unionByName(overlaps(fresh, parts, percent)))
         history.append(stage(asked.join(known.hint("merge"), ["a", "b"])))

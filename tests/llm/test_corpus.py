@@ -224,6 +224,30 @@ def test_bitmaps_never_rule_out_a_link():
             assert pairs and pairs[0][2][0] <= differ
 
 
+def test_folded_bitmaps_never_rule_out_what_whole_ones_leave():
+    rng = np.random.default_rng(1)
+    for n in (1, 9, 40, 300, 3000, 20000):
+        for _ in range(10):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            b = np.unique(np.concatenate([a[rng.random(len(a)) > 0.05], rng.integers(0, 1 << 63, n // 10 + 1).astype(np.uint64)]))
+            whole, sizes = [jaccard._bitmap(a), jaccard._bitmap(b)], np.array([len(a), len(b)])
+            if list(jaccard.possible_pairs(sizes, whole, 80)):
+                assert list(jaccard.possible_pairs(sizes, [jaccard._folded(x) for x in whole], 80))
+
+
+def test_unlike_texts_of_one_bucket_bring_no_bitmaps(spark):
+    """Of texts that share a rare passage only those with a possible partner are left in a block, once."""
+    rng = random.Random(6)
+    rows = [(i, "one two three four " + " ".join(f"{i}x{rng.randint(0, 10 ** 6)}" for _ in range(200 if i < 9 else 900))) for i in range(12)]
+    rows += [(20, rows[2][1] + " q"), (21, rows[10][1] + " q")]
+    docs = jaccard.identified(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text")
+    reps = jaccard.prefixes(docs, 4, 85, np.zeros(1 << jaccard.SKETCH_BITS, np.uint64)).withColumn("node", F.col("doc"))
+    shared = jaccard.shingles(b"one two three four", 4, jaccard.Powers()).view(np.int64).tolist()
+    reps = reps.withColumn("prefix", F.concat("prefix", F.array(*[F.lit(x) for x in shared])))
+    blocks = [r["nodes"] for r in jaccard._blocks(reps, 85).collect()]
+    assert sorted(blocks) == [[2, 20], [10, 21]]
+
+
 def test_connected(spark):
     rng = random.Random(5)
     edges = [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(50)] + [(100 + i, 101 + i) for i in range(40)]
