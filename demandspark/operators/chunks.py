@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.keys import SeriesKeys
-from demandspark.sources.tables import cut_lineage
+from demandspark.sources.tables import cut_lineage, ensure_checkpoint_dir
 
 SALTS = 16
 # Rows of a training matrix that one task holds.
@@ -203,13 +203,24 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, rows: int) -> DataFrame:
-    """A matrix of so many rows on enough tasks for a fit that reads it in thousands of jobs.
+    """A matrix of so many rows on as many tasks as a fit needs that reads it in thousands of jobs.
 
-    Adaptive execution puts compact rows into few tasks, whatever is made of them later. A
-    matrix that is on enough tasks already is returned as it is.
+    Adaptive execution puts compact rows into few tasks, whatever is made of them later, and
+    a shuffle leaves a few rows on as many tasks as the session names. A matrix on enough
+    tasks, but at most twice as many, is returned as it is.
     """
-    parts = -(-rows // ROWS_EACH)
-    return df if parts <= df.rdd.getNumPartitions() else df.repartition(parts)
+    parts = max(1, -(-rows // ROWS_EACH))
+    return df if parts <= df.rdd.getNumPartitions() <= 2 * parts else df.repartition(parts)
+
+
+def fit_matrix(df: DataFrame, rows: int) -> DataFrame:
+    """:func:`spread` and written to the checkpoint folder, without the lineage of its rows.
+
+    Every task of every job of a fit is sent that lineage and unpacks it; behind windows and
+    joins this takes longer than the work. Runs a job; partitions and their order stay.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return spread(df, rows).checkpoint()
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:

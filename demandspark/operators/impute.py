@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.calendar import baseline_features, no_gaps
 from demandspark.keys import SeriesKeys
-from demandspark.operators.chunks import spread, stage
+from demandspark.operators.chunks import fit_matrix, stage
 from demandspark.operators.outliers import null_outliers
-from demandspark.sources.tables import ensure_checkpoint_dir
 
 # Features of the imputation model.
 IMPUTE_FEATURES = (
@@ -58,11 +57,10 @@ def model_impute(df: DataFrame, keys: SeriesKeys, config: ImputeConfig = ImputeC
     try:
         if unknown.isEmpty() or not (rows := training.count()):
             return df.withColumn("is_imputed", F.lit(False))
-        ensure_checkpoint_dir(df.sparkSession)
         model = GBTRegressor(
             featuresCol="_features", labelCol="label", predictionCol="_yhat", maxIter=config.trees,
             stepSize=config.learning_rate, maxDepth=config.depth, seed=config.seed,
-        ).fit(spread(training, rows))
+        ).fit(fit_matrix(training, rows))
     finally:
         training.unpersist()
     gaps = no_gaps(unknown.withColumns({f"_f_{f}": F.col(f) for f in config.features}),

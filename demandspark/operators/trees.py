@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.calendar import add_calendar, by_prefix, exogenous_names, no_gaps
 from demandspark.keys import SeriesKeys, epoch_seconds, shift_time
-from demandspark.operators.chunks import null_safe_join, series_join, spread, stage
+from demandspark.operators.chunks import fit_matrix, null_safe_join, series_join, stage
 from demandspark.operators.dedup import keep_last
 from demandspark.operators.fill import fill_both
 from demandspark.operators.lags import seasonal_difference, shift_columns
@@ -37,7 +37,6 @@ from demandspark.operators.rolling import add_ewm, add_rolling, trailing
 from demandspark.operators.select import BASELINE_NAME
 from demandspark.operators.spine import bounds, future_frame, insert_missing, time_spine
 from demandspark.operators.split import test_part, train_part
-from demandspark.sources.tables import ensure_checkpoint_dir
 
 SEASON = 96
 LAGS = (1, 96, 97, 672)  # fixed values: rows back, of the seasonal difference
@@ -287,25 +286,22 @@ def fit_variant(prepared: DataFrame, keys: SeriesKeys, variant: str, params: Tre
         features = [*exog, *BLOCK_FEATURES]
         rows = block_frame(prepared, keys).na.drop(subset=["_z", *LAG_FEATURES])
         label = "_z"
-    ensure_checkpoint_dir(prepared.sparkSession)
-    training = _assemble(rows, keys, features, [label]).select(
+    found = _assemble(rows, keys, features, [label]).select(
         "features", F.col(label).cast("double").alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
-    found = training
     try:
         rows = found.count()
         if not rows:
             raise ValueError(f"no complete training row for variant {variant!r}")
-        training = spread(found, rows).persist(StorageLevel.MEMORY_AND_DISK)
-        members: dict[str, object] = {}
-        if variant == "ensemble":
-            members["huber"] = LinearRegression(
-                featuresCol="features", labelCol="label", loss="huber", maxIter=100).fit(training)
-            members["mae"] = _tree_model(replace(params, seed=123)).fit(training)
-        else:
-            members[name] = _tree_model(params).fit(training)
+        training = fit_matrix(found, rows)
     finally:
-        training.unpersist()
         found.unpersist()
+    members: dict[str, object] = {}
+    if variant == "ensemble":
+        members["huber"] = LinearRegression(
+            featuresCol="features", labelCol="label", loss="huber", maxIter=100).fit(training)
+        members["mae"] = _tree_model(replace(params, seed=123)).fit(training)
+    else:
+        members[name] = _tree_model(params).fit(training)
     return Forecaster(name, variant, keys, features, members, scale)
 
 

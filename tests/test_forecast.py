@@ -335,3 +335,16 @@ def test_training_rows_are_spread_by_their_number(spark, series, monkeypatch):
     df, k = series({"a": [float(i % 96) for i in range(200)]})
     trees.fit_variant(trees.prepare_training(df, k), k, "stable", trees.TreeParams(trees=1, depth=2))
     assert seen[0] >= 200 // 30
+
+
+def test_few_training_rows_are_on_few_tasks_and_without_their_lineage(spark, series, monkeypatch):
+    """Jobs of a fit have neither as many tasks as the session shuffles to, nor the windows behind the rows."""
+    rows = spark.range(0, 100, 1, 16).select((F.col("id") * 1.0).alias("x"))
+    few = chunks.spread(rows, 100)
+    assert few.rdd.getNumPartitions() == 1 and sorted(r["x"] for r in few.collect()) == list(range(100))
+    seen, fit = [], trees.GBTRegressor.fit
+    monkeypatch.setattr(trees.GBTRegressor, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    df, k = series({"a": [float(i % 7) for i in range(1100)], "b": [float(i % 5) for i in range(1100)]}, chunk=256)
+    trees.fit_variant(trees.prepare_training(df, k), k, "anchored", trees.TreeParams(trees=1, depth=2))
+    lineage = seen[0].rdd.toDebugString().decode()
+    assert seen[0].rdd.getNumPartitions() == 1 and "ReliableCheckpointRDD" in lineage and "ShuffledRowRDD" not in lineage
